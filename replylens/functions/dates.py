@@ -51,8 +51,8 @@ def normalize_date(c, as_of=None, strict: bool = False) -> Column:
     dmy = DMY_STRICT if strict else DMY_LENIENT
     one_space = F.regexp_replace(s, r"\s+", " ")
     return (
-        F.when(s.rlike(dmy), F.try_to_date(s, F.lit("d/M/yyyy")))
-        .when(s.rlike(ISO_DATE), F.try_to_date(s, F.lit("yyyy-MM-dd")))
+        F.when(s.rlike(dmy), F.try_to_date(s, "d/M/yyyy"))
+        .when(s.rlike(ISO_DATE), F.try_to_date(s, "yyyy-MM-dd"))
         .when(s.rlike(ISO_DATETIME),
               F.to_date(F.try_to_timestamp(one_space, F.lit("yyyy-MM-dd HH:mm:ss"))))
     )
@@ -61,19 +61,19 @@ def normalize_date(c, as_of=None, strict: bool = False) -> Column:
 def coerce_iso_date(c) -> Column:
     """History cells: only ``yyyy-m-d`` text is a date, anything else null."""
     s = strip(col_of(c).cast("string"))
-    return F.when(s.rlike(ISO_DATE_LOOSE), F.try_to_date(s, F.lit("yyyy-M-d")))
+    return F.when(s.rlike(ISO_DATE_LOOSE), F.try_to_date(s, "yyyy-M-d"))
 
 
 def sheet_date(c) -> Column:
     """Schedule cell date: ISO date, ISO date-time or d/m/yyyy; else null."""
     s = strip(col_of(c).cast("string"))
     return (
-        F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(s, F.lit("yyyy-M-d")))
+        F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(s, "yyyy-M-d"))
         .when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2})?$"),
               F.to_date(F.coalesce(
                   F.try_to_timestamp(F.regexp_replace(s, "T", " "), F.lit("yyyy-M-d H:mm:ss")),
                   F.try_to_timestamp(F.regexp_replace(s, "T", " "), F.lit("yyyy-M-d H:mm")))))
-        .when(s.rlike(DMY_LENIENT), F.try_to_date(s, F.lit("d/M/yyyy")))
+        .when(s.rlike(DMY_LENIENT), F.try_to_date(s, "d/M/yyyy"))
     )
 
 

@@ -43,7 +43,8 @@ def select_wanted(df: DataFrame) -> DataFrame | None:
     present = [c for c in S.NEW_LEAD_HEADERS if c in df.columns]
     if not present:
         return None
-    out = df.select(*present)
+    lineage = [c for c in ("source_file",) if c in df.columns]
+    out = df.select(*present, *lineage)
     if "ID_LEAD" not in out.columns and S.ALT_LEAD_ID_HEADER in out.columns:
         out = out.withColumn("ID_LEAD", F.col(S.ALT_LEAD_ID_HEADER))
     return out.drop(S.ALT_LEAD_ID_HEADER)

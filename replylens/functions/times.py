@@ -8,39 +8,32 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from .text import col_of, strip
 
-# H:M[:S[.fraction]] with the field ranges of a wall clock.
-_TIME = r"^(2[0-3]|[01]?\d):([0-5]?\d)(?::([0-5]?\d)(?:\.(\d{1,9}))?)?$"
-_HMS = r"^(2[0-3]|[01]?\d):([0-5]?\d):([0-5]?\d)$"
+# H:M:S.fraction (the only form whose fraction is cut before parsing).
+_FRACTION = r"^\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,9}$"
+
+
+def _clock(s: Column, pattern: str) -> Column:
+    return F.try_to_timestamp(s, F.lit(pattern))
 
 
 def normalize_time(c) -> Column:
-    """'H:M:S.f', 'H:M:S' or 'H:M' -> 'HH:mm:ss' (fraction truncated); else null."""
+    """'H:M:S.f' (1-9 fraction digits), 'H:M:S' or 'H:M' -> 'HH:mm:ss' (fraction
+    truncated); anything else (or out of range) -> null. Uses the datetime
+    parser (range checks included); a regex only for the fraction form."""
     s = strip(col_of(c).cast("string"))
-    h = F.regexp_extract(s, _TIME, 1).cast("int")
-    m = F.regexp_extract(s, _TIME, 2).cast("int")
-    sec = F.regexp_extract(s, _TIME, 3)
-    sec = F.when(F.length(sec) > 0, sec.cast("int")).otherwise(F.lit(0))
-    return F.when(s.rlike(_TIME), F.format_string("%02d:%02d:%02d", h, m, sec))
+    whole = F.when(s.rlike(_FRACTION), F.substring_index(s, ".", 1)).otherwise(s)
+    ts = F.coalesce(_clock(whole, "H:m:s"), F.when(~s.contains("."), _clock(s, "H:m")))
+    return F.date_format(ts, "HH:mm:ss")
 
 
 def coerce_hms(c) -> Column:
     """Strict 'H:M:S' below 24 h (history cells) -> 'HH:mm:ss'; else null."""
-    s = strip(col_of(c).cast("string"))
-    return F.when(
-        s.rlike(_HMS),
-        F.format_string(
-            "%02d:%02d:%02d",
-            F.regexp_extract(s, _HMS, 1).cast("int"),
-            F.regexp_extract(s, _HMS, 2).cast("int"),
-            F.regexp_extract(s, _HMS, 3).cast("int"),
-        ),
-    )
+    return F.date_format(_clock(strip(col_of(c).cast("string")), "H:m:s"), "HH:mm:ss")
 
 
 def hour_of(c) -> Column:
     """Hour of a strict 'H:M:S' text, else null."""
-    s = strip(col_of(c).cast("string"))
-    return F.when(s.rlike(_HMS), F.regexp_extract(s, _HMS, 1).cast("int"))
+    return F.hour(_clock(strip(col_of(c).cast("string")), "H:m:s"))
 
 
 def hms_to_seconds(c) -> Column:

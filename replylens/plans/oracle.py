@@ -214,3 +214,12 @@ SELECT name, CASE WHEN length(safe) > 0 THEN safe ELSE 'todos_los_chats' END AS
 oracle("date_in_text", f"""
 WITH {CHAT_ROWS}
 SELECT rtrim(meta) AS meta, CAST(ts AS DATE) AS found FROM chat""")
+
+oracle("chat_export_scan", ORACLE["meta_parse"])
+
+oracle("inbox_scan_skip_bad_files", f"""WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT}""".replace(
+    "FROM inbox WHERE inbox_id BETWEEN 0 AND 4", "FROM inbox WHERE inbox_id BETWEEN 0 AND 4 AND inbox_id <> 2"))
+
+oracle("export_by_executive", f"""
+WITH r AS (WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT})
+SELECT executive, count(*) AS leads FROM r GROUP BY executive""")

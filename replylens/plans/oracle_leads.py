@@ -387,3 +387,8 @@ _IN_WIN = """EXISTS (SELECT 1 FROM win WHERE win.executive = r5.executive AND wi
 
 oracle("in_shift_leads", f"{_LEADS_AND_WINDOWS} SELECT {SCORED_COLS} FROM r5 WHERE {_IN_WIN}")
 oracle("off_shift_leads", f"{_LEADS_AND_WINDOWS} SELECT {SCORED_COLS} FROM r5 WHERE NOT {_IN_WIN}")
+
+oracle("scan_mixed_headers", f"""
+WITH {FACTS},{NEW}
+SELECT executive, lead_id, has_inbound, has_outbound, in_date, nullif(in_time_raw, '') AS in_time, out_date,
+       out_time, response_time, score, entry_segment, source_rank, source_file FROM new""")

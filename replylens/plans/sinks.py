@@ -1,3 +1,83 @@
-"""Queries: sinks."""
+"""Queries that write files with the sinks and read them back with the scanners.
+
+Fixture files are written by Spark from the test tables into the shared
+checkpoint folder (a fresh sub-folder per call), then scanned.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..dims import dim_inbox
+from ..operators.chats import parse_chat_export
+from ..operators.inbox import inbox_first_response
+from ..session import scratch_path
+from ..sinks import write_by_executive, write_snapshot
+from ..sources.adapters import AS_OF, chat_export_rows, inbox_messages, read_table
+from ..sources.csv_scan import read_chat_export, read_history, read_inbox_export, read_new_leads
+from .leads import files, new_file_frames, scored_leads
+from .registry import query
+
+
+def _csv(df, path):
+    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+
+
+@query("scan_mixed_headers")
+def q_scan_mixed_headers(spark, sf):
+    """Three lead-file layouts (different header orders, one without ID_LEAD, one
+    without reply columns, one in a sub-folder) plus files with no wanted column."""
+    root = scratch_path(spark, "lead-files")
+    _, new = files(spark, sf)
+    for i, f in enumerate(new_file_frames(new)):
+        _csv(f, f"{root}/week/sub/batch_{i}" if i == 2 else f"{root}/batch_{i}")
+    _csv(read_table(spark, sf, "events").select("event_id", "event_type"), f"{root}/unrelated")
+    return read_new_leads(spark, [root, f"{root}/missing-folder"], AS_OF)
+
+
+@query("chat_export_scan")
+def q_chat_export_scan(spark, sf):
+    """Raw chat exports, one folder per executive, read back strictly and parsed."""
+    root = scratch_path(spark, "chat-export")
+    raw = chat_export_rows(read_table(spark, sf, "events"))
+    raw.write.partitionBy("executive").option("header", True).option("escape", '"').csv(root)
+    msgs = parse_chat_export(read_chat_export(spark, root))
+    return msgs.select("executive", "contact", "dt", "msg_time", "author")
+
+
+def inbox_fixture(spark, sf):
+    """Inbox export files, one per inbox; inbox 2's file has unparsable
+    timestamps and a further file lacks the ``sent_at`` column."""
+    root = scratch_path(spark, "inbox-export")
+    m = inbox_messages(read_table(spark, sf, "events"))
+    txt = F.date_format("sent_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    m = m.withColumn("sent_at", F.when((F.col("inbox_id") == 2) & (F.col("message_id") % 97 == 0),
+                                       F.lit("not a date")).otherwise(txt))
+    m.withColumn("box", F.col("inbox_id")).repartition("box").write.partitionBy("box") \
+        .option("header", True).option("escape", '"').csv(root)
+    _csv(m.where(F.col("inbox_id") == 1).drop("sent_at"), f"{root}/no_sent_at")
+    return root
+
+
+@query("inbox_scan_skip_bad_files")
+def q_inbox_scan_skip_bad_files(spark, sf):
+    root = inbox_fixture(spark, sf)
+    return inbox_first_response(read_inbox_export(spark, root, recursive=True), dim_inbox(spark))
+
+
+@query("export_by_executive")
+def q_export_by_executive(spark, sf):
+    """Per-executive export folders, read back and counted per executive."""
+    root = scratch_path(spark, "exports")
+    leads = inbox_first_response(inbox_messages(read_table(spark, sf, "events")), dim_inbox(spark))
+    write_by_executive(leads, root, AS_OF)
+    back = spark.read.option("header", True).csv(root)
+    return back.groupBy("executive").agg(F.count(F.lit(1)).alias("leads"))
+
+
+@query("lead_csv_roundtrip")
+def q_lead_csv_roundtrip(spark, sf):
+    """Scored leads written as a history snapshot and read back as the next run's history."""
+    root = scratch_path(spark, "history")
+    path = write_snapshot(scored_leads(spark, sf), root, AS_OF)
+    return read_history(spark, path)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..dims import TEST_EXECUTIVES
+from ..operators.partitioning import spread
 
 AS_OF = _dt.date(2026, 1, 22)
 SHEET_NAME = "week_grid"
@@ -22,8 +23,15 @@ SHEET_SHIFT_TEXTS = ["Mañana", "manana", "TARDE", "turno tarde", "libre", "Tard
 SHEET_OPERATORS = ["AGENT_A", "agent_b", " ag.c ", "agent_d", "agent_e"]
 
 
+# Fact tables whose rows feed CPU-heavy text work (parsed per row).
+FACT_TABLES = ("events", "orders", "conversations", "pages")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; fact tables are spread over the cluster's cores when the file
+    has fewer splits than cores (a no-op on large inputs)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _agent(n) -> F.Column:

@@ -223,3 +223,7 @@ oracle("inbox_scan_skip_bad_files", f"""WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_IN
 oracle("export_by_executive", f"""
 WITH r AS (WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT})
 SELECT executive, count(*) AS leads FROM r GROUP BY executive""")
+
+oracle("stream_message_dedupe", f"""
+WITH {CHAT_ROWS}
+SELECT DISTINCT contact, meta, regexp_extract(text, '^(\\S+)', 1) AS text FROM chat""")

@@ -392,3 +392,5 @@ oracle("scan_mixed_headers", f"""
 WITH {FACTS},{NEW}
 SELECT executive, lead_id, has_inbound, has_outbound, in_date, nullif(in_time_raw, '') AS in_time, out_date,
        out_time, response_time, score, entry_segment, source_rank, source_file FROM new""")
+
+oracle("stream_consolidate", f"{SCORED} SELECT {SCORED_COLS} FROM r5")

@@ -1,3 +1,78 @@
-"""Queries: streams."""
+"""Streaming queries: staged input files -> availableNow stream -> sink, read back.
+
+Input files are staged in event-time order (one write per part, one file per
+part) so micro-batches arrive in order; results are read back from the sink.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..dims import dim_owner
+from ..operators.chats import mark_owner, parse_chat_export
+from ..operators.leads import coerce_history
+from ..session import scratch_path
+from ..sources.adapters import AS_OF, chat_export_rows, read_table
+from ..streaming import consolidate_stream, dedupe_stream, first_response_stream, run_available, session_counts
+from .leads import files, new_file_frames
+from .registry import query
+
+PARTS = 5
+
+
+def _stage(df, root, part):
+    """Write ``df`` as one parquet file per part, parts in order (one write each)."""
+    for p in range(PARTS):
+        df.where(part == p).coalesce(1).write.parquet(f"{root}/part-{p:03d}")
+
+
+def _chat_stream_input(spark, sf):
+    msgs = parse_chat_export(chat_export_rows(read_table(spark, sf, "events")))
+    msgs = mark_owner(msgs, dim_owner(spark)).withColumn("ts", F.col("dt").cast("timestamp"))
+    msgs = msgs.withColumn("text", F.regexp_extract("text", r"^(\S+)", 1))
+    root = scratch_path(spark, "stream-in")
+    _stage(msgs.select("executive", "contact", "meta", "text", "role", "ts"), root,
+           F.floor((F.dayofmonth("ts") - 1) / 6).cast("int"))
+    schema = spark.read.parquet(root + "/part-000").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", "true").parquet(root)
+    return stream
+
+
+def _run(spark, stream, name):
+    sink = scratch_path(spark, f"{name}-out")
+    run_available(stream, sink, scratch_path(spark, f"{name}-ckpt"))
+    return spark.read.parquet(sink)
+
+
+@query("stream_message_dedupe")
+def q_stream_message_dedupe(spark, sf):
+    out = _run(spark, dedupe_stream(_chat_stream_input(spark, sf), "ts", "1 hour"), "dedupe")
+    return out.select("contact", "meta", "text").distinct()
+
+
+@query("stream_sessions")
+def q_stream_sessions(spark, sf):
+    out = _run(spark, session_counts(_chat_stream_input(spark, sf), "ts", "30 minutes", "1 hour"), "sessions")
+    return out.select("contact", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      F.col("session_end").cast("timestamp_ntz").alias("session_end"), "messages")
+
+
+@query("stream_first_response")
+def q_stream_first_response(spark, sf):
+    out = _run(spark, first_response_stream(_chat_stream_input(spark, sf), "ts", "2 hours", "1 hour"), "first")
+    return out.select("executive", "contact", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      "has_inbound", "has_outbound", F.col("in_ts").cast("timestamp_ntz").alias("in_ts"),
+                      F.col("out_ts").cast("timestamp_ntz").alias("out_ts"))
+
+
+@query("stream_consolidate")
+def q_stream_consolidate(spark, sf):
+    """New lead files arrive as three batches; each batch is merged into a new snapshot."""
+    history, new = files(spark, sf)
+    inbox = scratch_path(spark, "lead-inbox")
+    for i, f in enumerate(new_file_frames(new)):
+        f.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{inbox}/batch_{i}")
+    snap = consolidate_stream(spark, inbox, scratch_path(spark, "snapshots"), coerce_history(history), AS_OF,
+                              scratch_path(spark, "consolidate-ckpt"), max_files_per_trigger=1)
+    return spark.read.parquet(snap)

@@ -1,0 +1,7 @@
+"""Structured Streaming forms of the incremental operators (T1-T4)."""
+
+from .incremental import consolidate_stream, latest_snapshot
+from .operators import dedupe_stream, first_response_stream, run_available, session_counts
+
+__all__ = ["consolidate_stream", "latest_snapshot", "dedupe_stream", "first_response_stream",
+           "run_available", "session_counts"]

@@ -12,9 +12,14 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.isspace() accepts (what str.strip() removes).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip(c) -> Column:
-    """Remove leading/trailing Unicode whitespace (``F.trim`` only removes spaces)."""
-    return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading/trailing Unicode whitespace (``F.trim`` alone only removes
+    spaces); a character-set trim, no regex."""
+    return F.trim(col_of(c), F.lit(WHITESPACE))
 
 
 def fix_spaces(c) -> Column:

@@ -14,10 +14,16 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+    The check result is remembered per session and plan (semantic hash)."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _CHECKED[key] else df
 
 
 def next_after(rows: DataFrame, keys: list[str], value: str, anchors: DataFrame,

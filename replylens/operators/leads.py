@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions import (canonical_id, coerce_hms, coerce_iso_date, combine, empty_cell, hms_to_seconds,
+from ..functions import (strip, canonical_id, coerce_hms, coerce_iso_date, combine, empty_cell, hms_to_seconds,
                          normalize_date, normalize_time, score_code, score_from_label, segment_code,
                          segment_from_label, seconds_between, seconds_to_hms, yes_flag)
 from .joins import bounded_broadcast
@@ -50,27 +50,42 @@ def select_wanted(df: DataFrame) -> DataFrame | None:
     return out.drop(S.ALT_LEAD_ID_HEADER)
 
 
-def prepare_new_leads(df: DataFrame, as_of, source_rank: int = 1) -> DataFrame | None:
-    """A new lead file (Spanish headers, all text) -> canonical typed rows.
-    Dates are parsed leniently (relative words resolved against ``as_of``);
-    times are normalised later, after the union."""
-    wanted = select_wanted(df)
-    if wanted is None:
+def raw_new_leads(frames) -> DataFrame | None:
+    """New lead files (Spanish headers, text cells, any layout) -> one raw text frame
+    in canonical names; files without any wanted column are skipped."""
+    out = None
+    for df in ([frames] if isinstance(frames, DataFrame) else frames):
+        wanted = select_wanted(df) if df is not None else None
+        if wanted is None:
+            continue
+        d = rename_headers(wanted)
+        d = align_to(d, [c for c in CANONICAL[:8]] + ["source_file"])
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def prepare_new_leads(df, as_of, source_rank: int = 1) -> DataFrame | None:
+    """New lead files (one frame or a list; Spanish headers, all text) -> canonical
+    typed rows. The layouts are unioned as text first, so the parsing
+    expressions are built and run once. Dates are parsed leniently (relative
+    words resolved against ``as_of``); times are normalised after the union
+    with the history."""
+    d = raw_new_leads(df)
+    if d is None:
         return None
-    d = rename_headers(wanted)
-    cols = {
-        "executive": F.col("executive") if "executive" in d.columns else None,
-        "lead_id": canonical_id(F.col("lead_id")) if "lead_id" in d.columns else None,
-        "has_inbound": yes_flag(F.col("has_inbound")) if "has_inbound" in d.columns else None,
-        "has_outbound": yes_flag(F.col("has_outbound")) if "has_outbound" in d.columns else None,
-        "in_date": normalize_date(F.col("in_date"), as_of) if "in_date" in d.columns else None,
-        "in_time": F.col("in_time") if "in_time" in d.columns else None,
-        "out_date": normalize_date(F.col("out_date"), as_of) if "out_date" in d.columns else None,
-        "out_time": F.col("out_time") if "out_time" in d.columns else None,
-    }
-    extra = [c for c in d.columns if c in ("source_file",)]
-    out = d.select(*[e.alias(n) for n, e in cols.items() if e is not None], *extra)
-    out = out.withColumn("source_rank", F.lit(source_rank))
+    # Clean text once in its own projection; the parsers below read it many times.
+    d = d.select(*[strip(F.col(c).cast("string")).alias(c) for c in d.columns])
+    out = d.select(
+        F.col("executive").alias("executive"),
+        canonical_id(F.col("lead_id")).alias("lead_id"),
+        yes_flag(F.col("has_inbound")).alias("has_inbound"),
+        yes_flag(F.col("has_outbound")).alias("has_outbound"),
+        normalize_date(F.col("in_date"), as_of).alias("in_date"),
+        F.col("in_time").alias("in_time"),
+        normalize_date(F.col("out_date"), as_of).alias("out_date"),
+        F.col("out_time").alias("out_time"),
+        F.col("source_file").alias("source_file"),
+    ).withColumn("source_rank", F.lit(source_rank))
     return align_to(out, CANONICAL, _TYPES)
 
 
@@ -78,6 +93,7 @@ def coerce_history(df: DataFrame) -> DataFrame:
     """History snapshot (canonical names, text cells) -> typed rows. Only ISO dates
     and 'H:M:S' times below 24 h survive; labels become codes."""
     d = rename_headers(df)
+    d = d.select(*[strip(F.col(c).cast("string")).alias(c) for c in d.columns])
     out = d.select(
         F.col("executive").cast("string").alias("executive"),
         canonical_id(F.col("lead_id")).alias("lead_id"),
@@ -158,18 +174,17 @@ def with_response_time(df: DataFrame) -> DataFrame:
     """Fill ``response_time`` ('HH:MM:SS', hours unbounded) where it is blank and the
     reply exists and is not earlier than the inbound message. Adds the
     helper columns ``_in_ts``, ``_out_ts`` and ``_filled``."""
-    in_ts = combine(F.col("in_date"), F.col("in_time"))
-    out_ts = combine(F.col("out_date"), F.col("out_time"))
-    d = df.withColumn("_in_ts", in_ts).withColumn("_out_ts", out_ts)
+    d = df.withColumns({"_in_ts": combine(F.col("in_date"), F.col("in_time")),
+                        "_out_ts": combine(F.col("out_date"), F.col("out_time"))})
     target = empty_cell(F.col("response_time"))
     has_out = F.col("out_date").isNotNull() & F.col("out_time").isNotNull()
     valid = F.col("_in_ts").isNotNull() & F.col("_out_ts").isNotNull() & (F.col("_out_ts") >= F.col("_in_ts"))
     filled = target & has_out & valid
-    return d.withColumn("_filled", filled).withColumn(
-        "response_time",
-        F.when(F.col("_filled"), seconds_to_hms(seconds_between(F.col("_in_ts"), F.col("_out_ts"))))
+    return d.withColumns({
+        "_filled": filled,
+        "response_time": F.when(filled, seconds_to_hms(seconds_between(F.col("_in_ts"), F.col("_out_ts"))))
         .otherwise(F.when(~target, F.col("response_time"))),
-    )
+    })
 
 
 def with_score(df: DataFrame, score_owner_first: bool = False) -> DataFrame:
@@ -177,7 +192,9 @@ def with_score(df: DataFrame, score_owner_first: bool = False) -> DataFrame:
     computed now (or no score exists yet); then 'outbound' (reply before
     inbound) and 'not_answered' (no reply, complete inbound) for rows left blank."""
     d = df if "_filled" in df.columns else with_response_time(df)
-    secs = hms_to_seconds(F.col("response_time"))
+    # Seconds once, in its own projection: the bucket chain reads it many times.
+    d = d.withColumn("_secs", hms_to_seconds(F.col("response_time")))
+    secs = F.col("_secs")
     complete = (F.col("in_date").isNotNull() & F.col("in_time").isNotNull()
                 & F.col("out_date").isNotNull() & F.col("out_time").isNotNull())
     pair = F.col("_in_ts").isNotNull() & F.col("_out_ts").isNotNull()
@@ -196,17 +213,23 @@ def with_score(df: DataFrame, score_owner_first: bool = False) -> DataFrame:
     return d.withColumn("score", F.coalesce(pt1, rest))
 
 
-def with_entry_segment(df: DataFrame) -> DataFrame:
-    """Fill blank segments from the inbound hour; still blank -> 'not_registered'."""
+def entry_segment_col():
+    """Blank segments filled from the inbound hour; still blank -> 'not_registered'."""
     seg = F.when(F.col("entry_segment").isNotNull(), F.col("entry_segment")).otherwise(segment_code(F.col("in_time")))
-    return df.withColumn("entry_segment", F.coalesce(seg, F.lit(S.SEGMENT_NOT_REGISTERED[0])))
+    return F.coalesce(seg, F.lit(S.SEGMENT_NOT_REGISTERED[0]))
+
+
+def with_entry_segment(df: DataFrame) -> DataFrame:
+    return df.withColumn("entry_segment", entry_segment_col())
 
 
 def score_leads(df: DataFrame, score_owner_first: bool = False, keep_helpers: bool = False) -> DataFrame:
     """response time -> score -> segment; adds ``response_seconds``."""
-    out = with_entry_segment(with_score(with_response_time(df), score_owner_first))
-    out = out.withColumn("response_seconds", hms_to_seconds(F.col("response_time")))
-    return out if keep_helpers else out.drop("_filled", "_in_ts", "_out_ts")
+    out = with_score(with_response_time(df.withColumn("entry_segment", entry_segment_col())), score_owner_first)
+    cols = [c for c in out.columns if c not in ("_filled", "_in_ts", "_out_ts", "_secs")]
+    if keep_helpers:
+        return out.withColumnRenamed("_secs", "response_seconds")
+    return out.select(*cols, F.col("_secs").alias("response_seconds"))
 
 
 def map_executive(df: DataFrame, aliases: DataFrame, col: str = "executive") -> DataFrame:

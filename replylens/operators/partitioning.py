@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame) -> DataFrame:
+_PARTS: dict[tuple, int] = {}
+
+
+def spread(df: DataFrame, key=None) -> DataFrame:
     """Round-robin an under-partitioned input before CPU-heavy row work (regex
     parsing). Only when the input has fewer partitions than the cluster's
     default parallelism, which at scale (thousands of file splits) never
     happens, so large inputs are not reshuffled. Round-robin repartitioning is
     made retry-safe by Spark's sort-before-repartition."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    k = (id(df.sparkSession), key) if key is not None else None
+    if k is None or k not in _PARTS:
+        n = df.rdd.getNumPartitions()
+        if k is not None:
+            _PARTS[k] = n
+    else:
+        n = _PARTS[k]
+    return df.repartition(target) if n < target else df

@@ -9,7 +9,7 @@ from ..functions import normalize_date, normalize_time, null_if_token
 from ..operators import leads as L
 from ..operators import profile as P
 from ..sources.adapters import AS_OF, lead_files, lead_table, read_table
-from .registry import query
+from .registry import query, shared
 
 # Column subsets of the three new-file layouts (one lacks ID_LEAD, one lacks the reply).
 NEW_FILE_LAYOUTS = {
@@ -22,8 +22,13 @@ NEW_FILE_LAYOUTS = {
 }
 
 
+@shared
+def _styled_files(spark, sf):
+    return lead_files(read_table(spark, sf, "orders"), True)
+
+
 def files(spark, sf, styled=True):
-    return lead_files(read_table(spark, sf, "orders"), styled)
+    return _styled_files(spark, sf) if styled else lead_files(read_table(spark, sf, "orders"), False)
 
 
 def new_file_frames(new):
@@ -45,15 +50,17 @@ def history_table(spark, sf):
 def consolidated(spark, sf):
     history, new = files(spark, sf)
     base = L.coerce_history(history)
-    return L.consolidate(base, [L.prepare_new_leads(f, AS_OF) for f in new_file_frames(new)])
+    return L.consolidate(base, L.prepare_new_leads(new_file_frames(new), AS_OF))
 
 
+@shared
 def scored_leads(spark, sf):
     history, new = files(spark, sf)
-    prepared = [L.prepare_new_leads(f, AS_OF) for f in new_file_frames(new)]
+    prepared = L.prepare_new_leads(new_file_frames(new), AS_OF)
     return L.build_leads(L.coerce_history(history), prepared)
 
 
+@shared
 def typed_leads(spark, sf):
     return lead_table(read_table(spark, sf, "orders"))
 
@@ -61,11 +68,7 @@ def typed_leads(spark, sf):
 @query("align_schema")
 def q_align_schema(spark, sf):
     _, new = files(spark, sf)
-    frames = [L.prepare_new_leads(f, AS_OF) for f in new_file_frames(new)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return L.prepare_new_leads(new_file_frames(new), AS_OF)
 
 
 @query("coerce_history")

@@ -9,9 +9,10 @@ from ..functions import classify_shift
 from ..operators import schedule as SC
 from ..sources.adapters import lead_facts, read_table, schedule_sheet
 from .leads import scored_leads
-from .registry import query
+from .registry import query, shared
 
 
+@shared
 def sheet(spark, sf):
     facts = lead_facts(read_table(spark, sf, "orders"))
     return schedule_sheet(facts.select(F.to_date("in_ts").alias("in_date")))
@@ -22,10 +23,12 @@ def sunday_rule(spark):
     return rules.where((F.col("priority") == 10))
 
 
+@shared
 def full_schedule(spark, sf):
     return SC.expand_schedule(sheet(spark, sf), dim_shift_rule(spark), dim_shift(spark), dim_alias(spark))
 
 
+@shared
 def windows(spark, sf):
     return SC.shift_windows(full_schedule(spark, sf))
 

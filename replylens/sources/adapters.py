@@ -30,8 +30,9 @@ FACT_TABLES = ("events", "orders", "conversations", "pages")
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; fact tables are spread over the cluster's cores when the file
     has fewer splits than cores (a no-op on large inputs)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(df, key=path) if name in FACT_TABLES else df
 
 
 def _agent(n) -> F.Column:

@@ -94,14 +94,12 @@ def read_new_leads(spark: SparkSession, folders, as_of, ext: str = ".csv") -> Da
     """All new lead files under ``folders`` (recursive), aligned to the lead schema;
     files without any wanted column are skipped. None when nothing usable."""
     from ..operators.leads import prepare_new_leads
-    out = None
+    frames = []
     for df in scan_csv(spark, folders, ext):
         d = df.withColumn("source_file", F.coalesce(F.col("source_file"), F.col("_file"))) \
             if "source_file" in df.columns else df.withColumnRenamed("_file", "source_file")
-        p = prepare_new_leads(d.drop("_file", "_path"), as_of)
-        if p is not None:
-            out = p if out is None else out.unionByName(p)
-    return out
+        frames.append(d.drop("_file", "_path"))
+    return prepare_new_leads(frames, as_of)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

@@ -1,20 +1,17 @@
 """Raw chat exports -> parsed messages -> one lead row per chat.
 
 A chat is ``(executive, contact)``: many export files are read at once, one per
-executive. Per chat three scalar minima are taken in one hash aggregate
-(partial + final, so a huge chat is merged map-side): the first minute, the
-first minute with a contact (non-owner) author, and the first minute with an
-owner author. Only chats whose first owner message falls in the very first
-minute need the next owner minute, found with ``next_after``.
+executive. See ``chat_first_response`` for the plan (two aggregates and a
+window over per-minute rows; raw messages parsed once).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import norm_name, strip, time_text, with_parsed_meta
-from .joins import bounded_broadcast, next_after
+from .joins import bounded_broadcast, small_values
 from .partitioning import spread
 
 CHAT = ["executive", "contact"]
@@ -31,13 +28,19 @@ def parse_chat_export(raw: DataFrame, strict_ampm: bool = False, keep_unparsed:
 
 def mark_owner(msgs: DataFrame, owners: DataFrame) -> DataFrame:
     """Add ``role``: 'owner' when the normalised author is a listed owner name or
-    the chat's executive, 'contact' for any other author, null without author."""
-    names = bounded_broadcast(owners.select(norm_name(F.col("name")).alias("_owner")).distinct())
+    the chat's executive, 'contact' for any other author, null without author.
+    A small owner list becomes an ``isin`` test (size-checked); a large one a join."""
+    names = owners.select(norm_name(F.col("name")).alias("_owner"))
+    listed = small_values(names, "_owner")
     a = norm_name(F.col("author"))
-    df = msgs.withColumn("_na", a).join(names, F.col("_na") == F.col("_owner"), "left")
-    is_owner = F.col("_owner").isNotNull() | (F.col("_na") == norm_name(F.col("executive")))
+    if listed is not None:
+        df = msgs.withColumn("_na", a).withColumn("_own", F.col("_na").isin(listed))
+    else:
+        df = msgs.withColumn("_na", a).join(bounded_broadcast(names.distinct()), F.col("_na") == F.col("_owner"), "left")
+        df = df.withColumn("_own", F.col("_owner").isNotNull()).drop("_owner")
+    is_owner = F.col("_own") | (F.col("_na") == norm_name(F.col("executive")))
     role = F.when(F.col("author").isNull(), F.lit(None).cast("string")).when(is_owner, "owner").otherwise("contact")
-    return df.withColumn("role", role).drop("_na", "_owner")
+    return df.withColumn("role", role).drop("_na", "_own")
 
 
 def chat_first_response(msgs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -48,20 +51,27 @@ def chat_first_response(msgs: DataFrame, owners: DataFrame) -> DataFrame:
     * (inbound, no reply);
     * (no inbound, outbound): nobody but the owner (or no author) wrote in the
       first minute; the outbound fields are the first minute.
+
+    Messages carry minute precision, so the plan first reduces them to one row
+    per (chat, minute) with contact/owner flags - a partially aggregated
+    shuffle that merges a huge chat map-side - and then finds the first minute
+    with a window over each chat's distinct minutes (bounded by the length of
+    the chat in minutes, not by its message count). Raw messages are read
+    and parsed once.
     """
     m = mark_owner(msgs, owners)
-    firsts = m.groupBy(*CHAT).agg(
-        F.min("dt").alias("first_dt"),
-        F.min(F.when(F.col("role") == "contact", F.col("dt"))).alias("contact_dt"),
-        F.min(F.when(F.col("role") == "owner", F.col("dt"))).alias("owner_dt"),
+    minutes = m.groupBy(*CHAT, "dt").agg(
+        F.max(F.coalesce((F.col("role") == "contact").cast("int"), F.lit(0))).alias("_c"),
+        F.max(F.coalesce((F.col("role") == "owner").cast("int"), F.lit(0))).alias("_o"),
     )
-    inbound = F.coalesce(F.col("contact_dt") == F.col("first_dt"), F.lit(False))
-    needs_next = firsts.where(inbound & (F.col("owner_dt") == F.col("first_dt")))
-    nxt = next_after(m.where(F.col("role") == "owner"), CHAT, "dt", needs_next, "first_dt", "_next")
-    out = firsts.join(nxt, CHAT, "left").withColumn("_in", inbound)
-    reply = F.when(F.col("owner_dt") > F.col("first_dt"), F.col("owner_dt")).otherwise(F.col("_next"))
+    minutes = minutes.withColumn("first_dt", F.min("dt").over(Window.partitionBy(*CHAT)))
+    out = minutes.groupBy(*CHAT).agg(
+        F.min("first_dt").alias("first_dt"),
+        F.max(F.when(F.col("dt") == F.col("first_dt"), F.col("_c"))).alias("_in"),
+        F.min(F.when((F.col("_o") == 1) & (F.col("dt") > F.col("first_dt")), F.col("dt"))).alias("_reply"),
+    ).withColumn("_in", F.col("_in") == 1)
     in_ts = F.when(F.col("_in"), F.col("first_dt"))
-    out_ts = F.when(F.col("_in"), reply).otherwise(F.col("first_dt"))
+    out_ts = F.when(F.col("_in"), F.col("_reply")).otherwise(F.col("first_dt"))
     return out.select(
         "executive",
         F.col("contact").alias("lead_id"),

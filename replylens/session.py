@@ -22,6 +22,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # No Python call-site capture per Column call (a debugging aid; costs py4j round trips).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import is_valid_title, media_text, norm_title, preview, strip
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, join_per_key
 
 
 def dedupe_messages(msgs: DataFrame) -> DataFrame:
@@ -62,7 +62,9 @@ def apply_capture_policy(msgs: DataFrame, capture_log: DataFrame, keep_partial:
     log = capture_log.select("contact", "status")
     keep = ["ok", "timed_out"] if keep_partial else ["ok"]
     ok = log.where(F.col("status").isin(keep))
-    return msgs.join(ok, "contact", "inner").withColumn(
+    # One log row per chat; a chat holding a huge share of messages is joined
+    # by broadcast of its log row (join_per_key), the rest by shuffle join.
+    return join_per_key(msgs, ok, ["contact"], "inner").withColumn(
         "partial", F.col("status") == "timed_out").drop("status")
 
 

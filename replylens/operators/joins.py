@@ -27,19 +27,63 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if _CHECKED[key] else df
 
 
+# A key with more rows than this is "hot": its partner row is broadcast instead
+# of shuffling its rows to one task. At most MAX_HOT_KEYS hot keys are kept
+# (rows / HOT_KEY_ROWS bounds their number); beyond that all keys stay cold.
+HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
+HOT_KEY_CONF = "replylens.skew.hotKeyRows"
+
+
+def hot_threshold(spark, hot_rows: int | None = None) -> int:
+    """Explicit value, else the session setting ``replylens.skew.hotKeyRows``, else the default."""
+    if hot_rows is not None:
+        return int(hot_rows)
+    return int(spark.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None,
+             max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """Keys holding more than ``hot_rows`` rows, as a small DataFrame (None when
+    there is none or more than ``max_keys``). One partially aggregated count;
+    the bounded key list is fixed once, so a retried stage sees the same set."""
+    limit = hot_threshold(df.sparkSession, hot_rows)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    rows = counts.select(*keys).limit(max_keys + 1).collect()
+    if not rows or len(rows) > max_keys:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
+
+
+def join_per_key(big: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner",
+                 hot_rows: int | None = None) -> DataFrame:
+    """Join ``big`` with ``per_key`` (at most one row per key) without sending a hot
+    key's rows to one task: hot keys meet their broadcast partner rows where
+    they are (no shuffle of their rows), other keys use the ordinary shuffle
+    join. Both routes are exact; the hot set only chooses the route."""
+    hot = hot_keys(big, keys, hot_rows)
+    if hot is None:
+        return big.join(per_key, keys, how)
+    hot_b = F.broadcast(hot)
+    partners = per_key.join(hot_b, keys, "left_semi")       # <= one row per hot key
+    hot_part = big.join(hot_b, keys, "left_semi").join(F.broadcast(partners), keys, how)
+    cold_part = big.join(hot_b, keys, "left_anti").join(per_key.join(hot_b, keys, "left_anti"), keys, how)
+    return hot_part.unionByName(cold_part)
+
+
 def next_after(rows: DataFrame, keys: list[str], value: str, anchors: DataFrame,
-               anchor: str, out: str) -> DataFrame:
+               anchor: str, out: str, hot_rows: int | None = None) -> DataFrame:
     """Per key, the smallest ``value`` strictly greater than the key's ``anchor``.
 
     ``anchors`` holds one row per key (only the keys that need an answer).
     This replaces a window over the whole group: the group is never gathered
-    in one task. The join is a shuffle join on ``keys`` (AQE splits a hot
-    key's partition, or broadcasts ``anchors`` when it is small), and the
-    final ``min`` is partially aggregated before its shuffle.
+    in one task. The join is skew-safe (``join_per_key``: hot keys meet a
+    broadcast anchor, the rest a shuffle join, which AQE may turn into a
+    broadcast at run time), and the final ``min`` is partially aggregated
+    before its shuffle.
     """
     return (
-        rows.select(*keys, value)
-        .join(anchors.select(*keys, anchor), keys, "inner")
+        join_per_key(rows.select(*keys, value), anchors.select(*keys, anchor), keys, "inner", hot_rows)
         .where(F.col(value) > F.col(anchor))
         .groupBy(*keys)
         .agg(F.min(value).alias(out))

@@ -394,3 +394,12 @@ SELECT executive, lead_id, has_inbound, has_outbound, in_date, nullif(in_time_ra
        out_time, response_time, score, entry_segment, source_rank, source_file FROM new""")
 
 oracle("stream_consolidate", f"{SCORED} SELECT {SCORED_COLS} FROM r5")
+
+# Scored leads written as a snapshot and read back as history: response times of
+# 24 h or more are not valid history cells; the source becomes the history.
+oracle("lead_csv_roundtrip", f"""{SCORED}
+SELECT executive, lead_id, has_inbound, has_outbound, in_date, in_time, out_date, out_time,
+       CASE WHEN regexp_full_match(coalesce(response_time, ''), '(2[0-3]|[01]?\\d):([0-5]?\\d):([0-5]?\\d)')
+            THEN response_time END AS response_time,
+       score, entry_segment, 0 AS source_rank, 'history' AS source_file
+FROM r5""")

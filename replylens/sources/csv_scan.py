@@ -165,3 +165,22 @@ def read_chat_export(spark: SparkSession, folder: str, ext: str = ".csv") -> Dat
     executive = F.when(base.startswith("part-") & (F.length(folder_exec) > 0),
                        F.expr("url_decode(regexp_extract(_path, 'executive=([^/]+)/[^/]+$', 1))")).otherwise(base)
     return out.select(executive.alias("executive"), "contact", "meta", "text")
+
+
+def read_schedule_sheet(spark: SparkSession, path: str, ext: str = ".csv") -> DataFrame:
+    """Headerless weekly shift sheets -> (sheet, row_no, c0, c1, c2); the sheet is
+    the file's base name and ``row_no`` the line order inside the file
+    (file offset of the split, then position inside the split). Cells are
+    read as text; a file with fewer than three columns gets nulls."""
+    schema = "c0 string, c1 string, c2 string"
+    df = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
+          .option("pathGlobFilter", _ci_glob(ext)).option("recursiveFileLookup", "true").csv(path)
+          .select("c0", "c1", "c2", F.col("_metadata.file_name").alias("_name"),
+                  F.col("_metadata.file_block_start").alias("_start"))
+          .withColumn("_pos", F.monotonically_increasing_id()))
+    sheet = F.regexp_extract("_name", r"^(.*)\.[^.]+$", 1)
+    # Within a split, monotonically_increasing_id grows with the line order; the
+    # split offset orders the splits of one file. (offset, id) -> a long rank.
+    row_no = F.col("_start") * F.lit(1 << 20) + (F.col("_pos") % F.lit(1 << 20))
+    return df.select(sheet.alias("sheet"), row_no.cast("bigint").alias("row_no"),
+                     *[null_if_token(strip(F.col(c)), [""]).alias(c) for c in ("c0", "c1", "c2")])

@@ -70,3 +70,22 @@ def test_chat_export_executive_from_file_name(spark, tmpdir_fresh):
     rows = read_chat_export(spark, d).collect()
     assert [r["executive"] for r in rows] == ["agent_q", "agent_q"]
     assert rows[1]["meta"] == "NA"    # no NA tokens in chat exports
+
+
+def test_schedule_sheet_file(spark, tmpdir_fresh):
+    from replylens.dims import dim_alias, dim_shift, dim_shift_rule
+    from replylens.operators.schedule import expand_schedule
+    from replylens.sources.csv_scan import read_schedule_sheet
+    d = tmpdir_fresh
+    write(f"{d}/weeks.csv", "agent_a,,Mañana\n2024-01-08,13/1/2024,\nagent_a,,Mañana\nAgent B,,turno tarde\n"
+                           "2024-01-15,20/1/2024,\nagent_a,,TARDE\n", bom=True)
+    sheet = read_schedule_sheet(spark, d)
+    rows = sheet.orderBy("row_no").collect()
+    assert [r["c0"] for r in rows][:2] == ["agent_a", "2024-01-08"]          # BOM gone, file order kept
+    assert rows[0]["sheet"] == "weeks" and rows[1]["c2"] is None
+    sched = expand_schedule(sheet, dim_shift_rule(spark), dim_shift(spark), dim_alias(spark))
+    got = {(r["executive"], r["fecha"].isoformat(), r["hora_inicio"]) for r in sched.collect()}
+    assert ("agent_a", "2024-01-08", "09:00") in got and ("agent_a", "2024-01-13", "09:00") in got
+    assert ("agent_b", "2024-01-13", "14:00") in got      # agent_b's own rule shadows the Saturday rule
+    assert ("agent_a", "2024-01-15", "14:00") in got and ("agent_a", "2024-01-20", "18:00") in got
+    assert len([g for g in got if g[0] == "agent_a"]) == 12   # two weeks Mon-Sat; the stray first row is ignored

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import null_if_token, strip
+from ..operators.joins import bounded_broadcast
 
 log = logging.getLogger(__name__)
 
@@ -136,9 +137,10 @@ def read_inbox_export(spark: SparkSession, folder: str, ext: str = ".csv", recur
     if msgs is None:
         return spark.createDataFrame([], S.INBOX_SCHEMA)
     bad = F.col("_raw_sent_at").isNotNull() & F.col("sent_at").isNull()
-    # One row per file with a bad timestamp (file-count sized), anti-joined away.
+    # One row per file with a bad timestamp: bounded by the file listing, so it is
+    # broadcast (size-checked) and a huge file's rows are never shuffled to one task.
     bad_files = msgs.groupBy("_path").agg(F.max(bad.cast("int")).alias("_bad")).where(F.col("_bad") == 1)
-    good = msgs.join(bad_files.select("_path"), "_path", "left_anti")
+    good = msgs.join(bounded_broadcast(bad_files.select("_path")), "_path", "left_anti")
     for f in S.INBOX_SCHEMA.fieldNames():
         if f not in good.columns:
             good = good.withColumn(f, F.lit(None).cast(S.INBOX_SCHEMA[f].dataType))

@@ -198,3 +198,14 @@ def test_page_nodes(spark):
                                   "page_id bigint, html string")
     rows = page_nodes(pages).orderBy("pos").collect()
     assert [(r["value"], r["text"]) for r in rows] == [("/x", "X"), ("/y.ogg", "")]
+
+
+def test_dedupe_keep_latest_answer(spark):
+    new = lead_rows(spark, [
+        ("agent_a", "9", "SI", "NO", "2024-01-01", "09:00:00", None, None, "a.csv"),
+        ("agent_b", "9", "SI", "SI", "2024-01-01", "09:00:00", "2024-01-02", "10:00:00", "b.csv"),
+        ("agent_c", "9", "SI", "SI", "2024-01-01", "09:00:00", "2024-01-05", "08:00:00", "c.csv"),
+    ])
+    rows = prepare_new_leads(new, dt.date(2026, 1, 22))
+    assert dedupe_leads(rows).first()["executive"] == "agent_a"                       # export order
+    assert dedupe_leads(rows, keep="latest_answer").first()["executive"] == "agent_c"  # latest reply

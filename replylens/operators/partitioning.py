@@ -12,9 +12,10 @@ def spread(df: DataFrame, key=None) -> DataFrame:
     """Spread an under-partitioned input over the cores before CPU-heavy row work
     (text parsing). Only when the input has fewer partitions than the
     cluster's default parallelism, which at scale (thousands of file splits)
-    never happens, so large inputs are not reshuffled. Hash partitioning over
-    all columns is deterministic (a retried task gets the same rows) without
-    the extra sort round-robin needs for that."""
+    never happens, so large inputs are not reshuffled. Round-robin references
+    no column, so column pruning still reaches the scan (a hash over the
+    columns would force reading all of them); Spark's sort-before-repartition
+    makes it retry-safe."""
     target = df.sparkSession.sparkContext.defaultParallelism
     k = (id(df.sparkSession), key) if key is not None else None
     if k is None or k not in _PARTS:
@@ -23,4 +24,4 @@ def spread(df: DataFrame, key=None) -> DataFrame:
             _PARTS[k] = n
     else:
         n = _PARTS[k]
-    return df.repartition(target, *[df[c] for c in df.columns]) if n < target else df
+    return df.repartition(target) if n < target else df

@@ -87,9 +87,9 @@ def inbox_first_response(messages: DataFrame, dim_inbox: DataFrame, *, since=Non
     first_ts = F.col("first_real.k.sent_at")
     out = out.where(~strip(F.coalesce(F.col("first_real.contact_name"), F.lit("nan"))).endswith(group_suffix))
     if since is not None:
-        out = out.where(first_ts >= F.lit(_as_ts(since)))
+        out = out.where(first_ts >= _ntz(since))
     if until is not None:
-        out = out.where(first_ts <= F.lit(_as_ts(until)))
+        out = out.where(first_ts <= _ntz(until))
     reply_ts = F.col("_reply.sent_at")
     return out.select(
         F.col("first_real.executive").alias("executive"),
@@ -103,10 +103,13 @@ def inbox_first_response(messages: DataFrame, dim_inbox: DataFrame, *, since=Non
     )
 
 
-def _as_ts(x) -> _dt.datetime:
-    """Bound as timestamp; a date-only bound means that day's midnight."""
+def _ntz(x):
+    """Bound as a TIMESTAMP_NTZ literal (wall clock, independent of the session
+    time zone); a date-only bound means that day's midnight."""
     if isinstance(x, _dt.datetime):
-        return x
-    if isinstance(x, _dt.date):
-        return _dt.datetime(x.year, x.month, x.day)
-    return _dt.datetime.fromisoformat(str(x))
+        ts = x
+    elif isinstance(x, _dt.date):
+        ts = _dt.datetime(x.year, x.month, x.day)
+    else:
+        ts = _dt.datetime.fromisoformat(str(x))
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")

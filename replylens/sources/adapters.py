@@ -84,7 +84,7 @@ def chat_export_rows(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- B5 conversations
 def conversation_export_rows(conversations: DataFrame) -> DataFrame:
     """conversations -> raw chat export rows; assistant = owner, user = contact, system = no author."""
-    base = F.lit(_dt.datetime(2026, 1, 1))
+    base = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")   # NTZ literal: session time zone plays no part
     dt = (base + F.make_dt_interval(hours=F.col("conv_id").cast("int"))
           + F.make_dt_interval(mins=(F.col("turn") * 7).cast("int")))
     contact = F.concat(F.lit("conv "), F.col("conv_id").cast("string"))

@@ -40,3 +40,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "score" in df.columns
+
+
+@pytest.mark.parametrize("name", ["conversation_first_response", "inbox_date_window", "scored_leads",
+                                  "chat_first_response", "stream_first_response"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Lima")
+    try:
+        df = QUERIES[name](spark, SMOKE)
+        a, _ = rows_of(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    cur = con.execute(ORACLES[name])
+    b, _ = rows_of([d[0] for d in cur.description], cur.fetchall())
+    assert a == b

@@ -62,8 +62,12 @@ def header_groups(spark: SparkSession, folders, ext: str = ".csv", recursive: bo
     )
     heads = lines.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
     heads = heads.select("file", F.regexp_replace("header", "^" + BOM, "").alias("header"))
-    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return sorted((r["header"], list(r["files"])) for r in groups)
+    # One (header, file) pair per file comes back - the same file metadata the
+    # driver already lists - and is grouped here; no task gathers a file list.
+    groups: dict[str, list[str]] = {}
+    for r in heads.collect():
+        groups.setdefault(r["header"], []).append(r["file"])
+    return sorted((h, sorted(fs)) for h, fs in groups.items())
 
 
 def _split_header(header: str) -> list[str]:

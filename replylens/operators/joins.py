@@ -7,6 +7,7 @@ join; AQE can still switch it to a broadcast at run time from measured sizes.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-_CHECKED: dict[tuple, bool] = {}
+_CHECKED: dict[tuple, tuple] = {}
 _VALUES: dict[tuple, list | None] = {}
 
 
@@ -23,8 +24,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     The check result is remembered per session and plan (semantic hash)."""
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _CHECKED[key] else df
+        # Persist while checking: a frame within the bound is small by proof,
+        # and the check has then computed it once for the join to reuse.
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        small = kept.limit(max_rows + 1).count() <= max_rows
+        if not small:
+            kept.unpersist()
+        _CHECKED[key] = (small, kept if small else df)
+    small, frame = _CHECKED[key]
+    return F.broadcast(frame) if small else df
 
 
 # A key with more rows than this is "hot": its partner row is broadcast instead

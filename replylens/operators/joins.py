@@ -22,7 +22,8 @@ _VALUES: dict[tuple, list | None] = {}
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
     The check result is remembered per session and plan (semantic hash)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    # The semantic hash ignores output names, so the names are part of the key.
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(df.columns), max_rows)
     if key not in _CHECKED:
         # Persist while checking: a frame within the bound is small by proof,
         # and the check has then computed it once for the join to reuse.

@@ -103,7 +103,7 @@ def small_values(df: DataFrame, col: str, max_rows: int = 10_000) -> list | None
     """Distinct values of a small dimension column as a Python list (for an
     ``isin`` test kept inside the scan stage), or None when the dimension
     has more than ``max_rows`` values (callers then join)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), col, max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(df.columns), col, max_rows)
     if key not in _VALUES:
         vals = [r[0] for r in df.select(col).distinct().limit(max_rows + 1).collect()]
         _VALUES[key] = sorted(v for v in vals if v is not None) if len(vals) <= max_rows else None

@@ -82,6 +82,12 @@ def capture_summary(capture_log: DataFrame) -> DataFrame:
     )
 
 
+def chats_with_status(capture_log: DataFrame, status: str = "timed_out") -> DataFrame:
+    """The chats of one capture status (e.g. the timed-out list of a run summary),
+    as rows - a filter, never a list gathered in one task."""
+    return capture_log.where(F.col("status") == status).select("contact", "messages")
+
+
 def page_nodes(pages: DataFrame, attribute: str = "href", id_col: str = "page_id",
                html_col: str = "html") -> DataFrame:
     """Anchor-like nodes ``<a ... attribute="value" ...>text</a>`` of each page:

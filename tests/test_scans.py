@@ -89,3 +89,20 @@ def test_schedule_sheet_file(spark, tmpdir_fresh):
     assert ("agent_b", "2024-01-13", "14:00") in got      # agent_b's own rule shadows the Saturday rule
     assert ("agent_a", "2024-01-15", "14:00") in got and ("agent_a", "2024-01-20", "18:00") in got
     assert len([g for g in got if g[0] == "agent_a"]) == 12   # two weeks Mon-Sat; the stray first row is ignored
+
+
+def test_write_messages_header_order_and_empty_guard(spark, tmpdir_fresh):
+    from replylens.operators.capture import capture_summary, chats_with_status
+    from replylens.sinks import write_messages
+    d = tmpdir_fresh
+    msgs = spark.createDataFrame([("x", "[9:00, 3/1/2024] c:", "hi", "c1")], "text string, meta string, kind string, contact string")
+    assert write_messages(msgs, f"{d}/out")
+    parts = [f for f in os.listdir(f"{d}/out") if f.endswith(".csv")]
+    with open(f"{d}/out/{parts[0]}", encoding="utf-8") as f:
+        assert f.readline().strip() == "contact,meta,text"
+    assert not write_messages(msgs.limit(0), f"{d}/empty") and not os.path.exists(f"{d}/empty")
+    log = spark.createDataFrame([("a", "ok", 3), ("b", "timed_out", 1), ("c", "timed_out", 2)],
+                                "contact string, status string, messages bigint")
+    assert sorted(r["contact"] for r in chats_with_status(log).collect()) == ["b", "c"]
+    total = [r for r in capture_summary(log).collect() if r["is_total"]][0]
+    assert (total["chats"], total["messages"]) == (3, 6)

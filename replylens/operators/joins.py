@@ -1,8 +1,11 @@
-"""Join helpers: size-checked broadcast and the "next value after an anchor" join.
+"""Join helpers: size-checked broadcast, skew-safe per-key join, the "next value
+after an anchor" join, and small dimension values.
 
 Broadcast is only used behind a row-count check (a bounded ``limit().count()``
 job). Above the bound the plain join is returned and Spark plans a shuffle
 join; AQE can still switch it to a broadcast at run time from measured sizes.
+Keys holding very many rows take a broadcast route of their own
+(``join_per_key``), so no hot key's rows are shuffled into one task.
 """
 
 from __future__ import annotations

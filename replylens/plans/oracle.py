@@ -217,8 +217,12 @@ SELECT rtrim(meta) AS meta, CAST(ts AS DATE) AS found FROM chat""")
 
 oracle("chat_export_scan", ORACLE["meta_parse"])
 
+# Files are (inbox, message_id % 64); a file of inbox 2 holding a row with
+# message_id % 97 = 0 (unparsable timestamp) is skipped whole.
 oracle("inbox_scan_skip_bad_files", f"""WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT}""".replace(
-    "FROM inbox WHERE inbox_id BETWEEN 0 AND 4", "FROM inbox WHERE inbox_id BETWEEN 0 AND 4 AND inbox_id <> 2"))
+    "FROM inbox WHERE inbox_id BETWEEN 0 AND 4",
+    "FROM inbox WHERE inbox_id BETWEEN 0 AND 4 AND NOT (inbox_id = 2 AND message_id % 64 IN "
+    "(SELECT DISTINCT message_id % 64 FROM inbox WHERE inbox_id = 2 AND message_id % 97 = 0))"))
 
 oracle("export_by_executive", f"""
 WITH r AS (WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT})

@@ -45,17 +45,23 @@ def q_chat_export_scan(spark, sf):
     return msgs.select("executive", "contact", "dt", "msg_time", "author")
 
 
+FIXTURE_BUCKETS = 64
+
+
 def inbox_fixture(spark, sf):
-    """Inbox export files, one per inbox; inbox 2's file has unparsable
-    timestamps and a further file lacks the ``sent_at`` column."""
+    """Inbox export files, one per (inbox, message-id bucket): a file holds a
+    64th of an inbox, never a whole one. Some of inbox 2's rows carry
+    unparsable timestamps (their files must be skipped whole), and a further
+    file lacks the ``sent_at`` column."""
     root = scratch_path(spark, "inbox-export")
     m = inbox_messages(read_table(spark, sf, "events"))
     txt = F.date_format("sent_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     m = m.withColumn("sent_at", F.when((F.col("inbox_id") == 2) & (F.col("message_id") % 97 == 0),
                                        F.lit("not a date")).otherwise(txt))
-    m.withColumn("box", F.col("inbox_id")).repartition("box").write.partitionBy("box") \
+    m = m.withColumn("box", F.col("inbox_id")).withColumn("bucket", F.col("message_id") % FIXTURE_BUCKETS)
+    m.repartition("box", "bucket").write.partitionBy("box", "bucket") \
         .option("header", True).option("escape", '"').csv(root)
-    _csv(m.where(F.col("inbox_id") == 1).drop("sent_at"), f"{root}/no_sent_at")
+    _csv(m.where(F.col("inbox_id") == 1).drop("sent_at", "box", "bucket"), f"{root}/no_sent_at")
     return root
 
 

@@ -55,13 +55,15 @@ def write_snapshot(df: DataFrame, base: str, as_of, fmt: str = "csv") -> str:
 
 
 def write_by_executive(df: DataFrame, base: str, run_date) -> str:
-    """One folder per run date and executive (K3). The executive column is kept in
-    the file body too, since partition columns leave the body."""
+    """One folder per run date and executive (K3; the folder is the per-executive
+    unit). The executive column is kept in the file body too, since partition
+    columns leave the body."""
     day = run_date.isoformat() if isinstance(run_date, (_dt.date, _dt.datetime)) else str(run_date)
     out = lead_export_frame(df).withColumn("run_date", F.lit(day)).withColumn(
         "executive", safe_name(F.col("Ejecutivo")))
-    out.repartition("run_date", "executive").write.mode("append").partitionBy("run_date", "executive") \
-        .option("header", True).csv(base)
+    # One folder per (run date, executive); each task writes its own part file,
+    # so a very large executive is written by many tasks, not one.
+    out.write.mode("append").partitionBy("run_date", "executive").option("header", True).csv(base)
     return base
 
 

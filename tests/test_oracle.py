@@ -13,8 +13,10 @@ from .conftest import ROOT, SMOKE
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 from oracle_check import duck, rows_of  # noqa: E402
 
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
+from replylens.plans import all_oracles, all_queries  # noqa: E402
+
+ORACLES = all_oracles()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -110,9 +110,13 @@ def distances(words: Counter, grams: Grams, codes: np.ndarray, ranks: np.ndarray
     return np.where(there == size, size, np.abs(there - place)).sum(0) / (size * len(top))
 
 
-def predict(docs: DataFrame, profiles, extra: list[str], size: int = PROFILE, reject_above: float = REJECT_ABOVE) -> DataFrame:
+RESULT = ("lang_pred", "score", "distance", "rejected")
+
+
+def predict(docs: DataFrame, profiles, extra: list[str], size: int = PROFILE, reject_above: float = REJECT_ABOVE,
+            names: tuple[str, ...] = RESULT) -> DataFrame:
     """``extra`` columns + lang_pred, score (1 - best distance / second best, 0..1), distance (share of the largest)
-    and rejected (no letter, or like none of the languages)."""
+    and rejected (no letter, or like none of the languages), under the given ``names``."""
     langs, codes, ranks = rank_table(profiles, size)
 
     def score(batches):
@@ -132,9 +136,10 @@ def predict(docs: DataFrame, profiles, extra: list[str], size: int = PROFILE, re
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in extra], pa.array(pred, pa.string()), pa.array(conf, pa.float64()),
                  pa.array(dist, pa.float64()), pa.array([p == "und" or x > reject_above for p, x in zip(pred, dist)])],
-                names=[*extra, "lang_pred", "score", "distance", "rejected"])
+                names=[*extra, *names])
 
     rows = docs.select(*dict.fromkeys([*extra, "text"]))
     kept = [f for f in rows.schema.fields if f.name in extra]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sorted(kept, key=lambda f: extra.index(f.name)))
-    return rows.mapInArrow(score, f"{kinds}, lang_pred string, score double, distance double, rejected boolean")
+    new = ", ".join(f"`{n}` {t}" for n, t in zip(names, ("string", "double", "double", "boolean")))
+    return rows.mapInArrow(score, f"{kinds}, {new}")

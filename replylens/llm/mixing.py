@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialize, word_count
+from .common import WORD_RUN, materialize, word_count
 
 BLOCK_WORDS = 64
 SHARD_ROWS = 100_000
@@ -141,21 +141,23 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: a document is repeated once per whole pass and, where
     blocks are taken once more, once with just those words (joined by one space
     unless the text is taken whole). Documents of no words are not in a mix."""
-    def keyed(df, words):
-        return df.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).withColumn("_words", words)
-
-    plan = keyed(mix(docs, **options), F.col("size"))
-    plan = plan.groupBy("_id", "_words").agg(F.sort_array(F.collect_list(F.struct("taken", "passes", "parts"))).alias("_takes"))
-    rows = keyed(docs, word_count(F.col("text"))).where("_words > 0").join(plan, ["_id", "_words"], "inner")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id")
+    plan = mix(docs, **options)
+    plan = (plan.select(key, F.col("size").alias("words"), F.struct("taken", "passes", "parts").alias("take"))
+            .groupBy("id", "words").agg(F.sort_array(F.collect_list("take")).alias("takes")))
+    # The whole row travels as one column, so no column of the documents can clash.
+    rows = docs.select(key, word_count(F.col("text")).alias("words"), F.struct("*").alias("doc")).where("words > 0")
+    rows = rows.join(plan, ["id", "words"], "inner")
     # Rows of one id and size are numbered where the join put them, so each gets a take of its own.
-    nth = F.row_number().over(W.partitionBy("_id", "_words").orderBy(F.xxhash64("text", "source")))
-    joined = rows.withColumn("_take", F.get("_takes", nth - 1)).select("*", "_take.*").where("taken > 0")
-    words = F.regexp_extract_all(F.col("text"), F.lit("(" + r"[^\x20\x09-\x0D]+" + ")"), F.lit(1))
-    rest = F.col("taken") - F.col("passes") * F.col("_words")
-    cut = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")
-    extra = F.when(rest == 0, F.array().cast("array<string>")).when(rest == F.col("_words"), F.array("text")).otherwise(F.array(cut))
-    copies = F.concat(F.array_repeat(F.col("text"), F.col("passes").cast("int")), extra)
-    out = joined.withColumn("text", F.explode(copies))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    nth = F.row_number().over(W.partitionBy("id", "words").orderBy(F.xxhash64("doc.text", "doc.source")))
+    rows = rows.withColumn("take", F.get("takes", nth - 1)).where("take.taken > 0")
+    text = F.col("doc.text")
+    words = F.regexp_extract_all(text, F.lit("(" + WORD_RUN + ")"), F.lit(1))
+    rest = F.col("take.taken") - F.col("take.passes") * F.col("words")
+    cut = F.array_join(F.flatten(F.transform("take.parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    extra = F.when(rest == 0, F.array().cast("array<string>")).when(rest == F.col("words"), F.array(text)).otherwise(F.array(cut))
+    copies = F.concat(F.array_repeat(text, F.col("take.passes").cast("int")), extra)
+    out = rows.select("doc", F.explode(copies).alias("new"))
+    kept = [F.col("new").alias(c) if c == "text" else F.length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+            else F.col("doc").getField(c).alias(c) for c in docs.columns]
+    return out.select(*kept)

@@ -5,15 +5,19 @@ them toxic. With class prior p and losses l(+), l(-) the risk is
 
     p * E_pos[l(+)] + max(0, E_unl[l(-)] - p * E_pos[l(-)])
 
-The bracket estimates the risk on clean texts; where it falls below zero the
-step goes the other way (the non-negative correction). Linear models on word
-presence are trained by Adam in numpy, one for each seed on its own draw of the
-sample, and their logits are averaged.
+The difference estimates the risk on clean texts; where it falls below zero (by
+more than the small ``SLACK`` of a sampled estimate) a short step goes the other
+way (the non-negative correction). Linear models on the
+presence of words and of word beginnings (4 and 5 letters, for inflected forms)
+are trained by Adam in numpy, one for each seed on its own draw of the sample,
+and their logits are averaged. Features are those that toxic rows hold clearly
+more often than the others.
 
 The fit takes at most ``MAX_POSITIVE`` toxic and ``MAX_UNLABELLED`` other rows
 (documented sample bound, chosen by seeded hash of the id); whole texts of all
 rows are scored. The prior is the share of toxic rows among all labelled rows
-of the learning folds.
+of the learning folds, but not more than the unlabelled sample can hold: a
+feature is at most as frequent there as p times its share in toxic rows allows.
 
 Defined cases: null and empty texts score the bias alone; without toxic rows
 every score is the prior; repeated rows are scored as rows; extra columns are ignored.
@@ -32,27 +36,32 @@ from pyspark.sql import functions as F
 from .common import bounded_ids
 
 MAX_POSITIVE = 4_000
-MAX_UNLABELLED = 12_000
+MAX_UNLABELLED = 8_000
 FEATURES = 2_048
+MIN_GAIN = 5.0                  # log-likelihood ratio a feature needs
 MIN_POSITIVE_DOCS = 3
-EPOCHS = 60
+STEPS = 250
+SLACK = 0.02
+STEP_BACK = 0.3
 MODELS = 3
 CACHE = 500_000                  # words a worker remembers at most
 WORD = re.compile(r"[^\W_]+")
 
 
-def word_code(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+def word_codes(word: str) -> tuple[int, ...]:
+    """Feature codes of a word: itself and its beginnings."""
+    forms = ["w" + word, *(f"{n}{word[:n]}" for n in (4, 5) if len(word) >= n)]
+    return tuple(zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in forms)
 
 
 def presence(docs: DataFrame, extra: list[str]) -> DataFrame:
-    """``extra`` + the sorted codes of a text's distinct words, as bytes."""
+    """``extra`` + the sorted codes of a text's features, as bytes."""
     def codes(batches):
         for b in batches:
             out = []
             for text in b.column("text").to_pylist():
-                words = set(WORD.findall((text or "").lower()))
-                out.append(np.unique(np.fromiter(map(word_code, words), "<u4", len(words))).tobytes())
+                found = {c for w in set(WORD.findall((text or "").lower())) for c in word_codes(w)}
+                out.append(np.sort(np.fromiter(found, "<u4", len(found))).tobytes())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in extra], pa.array(out, pa.binary())], names=[*extra, "codes"])
 
     rows = docs.select(*extra, "text")
@@ -61,7 +70,7 @@ def presence(docs: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def choose_features(pos: list[np.ndarray], unl: list[np.ndarray], size: int = FEATURES) -> np.ndarray:
-    """Codes that tell the two samples apart best (log-likelihood ratio of their document counts)."""
+    """Codes that toxic rows hold more often than the others, by log-likelihood ratio of the document counts."""
     if not pos:
         return np.empty(0, "u4")
     codes, n = np.unique(np.concatenate(pos), return_counts=True)
@@ -76,8 +85,9 @@ def choose_features(pos: list[np.ndarray], unl: list[np.ndarray], size: int = FE
 
     share = (n + in_other + 0.5) / (len(pos) + len(unl) + 1)
     gain = side(n, len(pos), share) + side(in_other, max(1, len(unl)), share)
+    gain = np.where(n / len(pos) > in_other / max(1, len(unl)), gain, 0.0)
     keep = np.lexsort((codes, -gain))[:size]
-    return np.sort(codes[keep])
+    return np.sort(codes[keep[gain[keep] >= MIN_GAIN]])
 
 
 def design(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
@@ -94,31 +104,34 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -50, 50)))
 
 
-def nnpu_fit(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int, epochs: int = EPOCHS, lr: float = 0.03, l2: float = 1e-4,
-             batches: int = 8):
-    """Weights and bias of a linear model under the non-negative risk with logistic loss."""
-    rng = np.random.default_rng(seed)
-    w, b = np.zeros(xp.shape[1]), np.log(prior / (1 - prior))
-    m, v, t = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
-    for _ in range(epochs):
-        ps, us = np.array_split(rng.permutation(len(xp)), batches), np.array_split(rng.permutation(len(xu)), batches)
-        for p, u in zip(ps, us):
-            if not len(p) or not len(u):
-                continue
-            zp, zu = xp[p] @ w + b, xu[u] @ w + b
-            clean_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            # d l(+)/dz = sigmoid(z) - 1, d l(-)/dz = sigmoid(z).
-            gp, gu = sigmoid(zp), sigmoid(zu) / len(u)
-            if clean_risk >= 0:
-                dp, du = prior * (gp - 1) / len(p) - prior * gp / len(p), gu
-            else:                                      # step back out of the negative estimate
-                dp, du = prior * gp / len(p), -gu
-            g = np.append(xp[p].T @ dp + xu[u].T @ du + l2 * w, dp.sum() + du.sum())
-            t += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            step = lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-            w, b = w - step[:-1], b - step[-1]
-    return w, b
+def nnpu_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = STEPS, lr: float = 0.05, l2: float = 1e-5):
+    """Weights and bias of a linear model under the non-negative risk with logistic loss (Adam on whole samples:
+    the difference of two risks is too noisy on small batches)."""
+    w, b = np.zeros(xp.shape[1], np.float32), np.float32(np.log(prior / (1 - prior)))
+    m, v = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
+    for t in range(1, steps + 1):
+        zp, zu = xp @ w + b, xu @ w + b
+        clean_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        # d l(+)/dz = sigmoid(z) - 1, d l(-)/dz = sigmoid(z).
+        gp, gu = sigmoid(zp) / len(xp), sigmoid(zu) / len(xu)
+        if clean_risk >= -SLACK:
+            dp, du = np.full(len(xp), -prior / len(xp)), gu           # p * (l(+)' - l(-)') is constant
+        else:                                          # step back out of the negative estimate
+            dp, du = STEP_BACK * prior * gp, -STEP_BACK * gu
+        g = np.append(xp.T @ dp.astype(np.float32) + xu.T @ du.astype(np.float32) + l2 * w, dp.sum() + du.sum()).astype(np.float32)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        step = lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return w.astype(float), float(b)
+
+
+def held_prior(xp: np.ndarray, xu: np.ndarray, prior: float, least: int = 20) -> float:
+    """The prior cut to what the features frequent in toxic rows say: the median of their share in the
+    unlabelled sample over their share in toxic rows."""
+    n, m = xp.sum(axis=0), xu.sum(axis=0)
+    top = np.argsort(-n, kind="stable")[:least]
+    top = top[n[top] >= MIN_POSITIVE_DOCS]
+    return float(min(prior, np.median((m[top] + 0.5) / len(xu) / (n[top] / len(xp))))) if len(top) else prior
 
 
 def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float):
@@ -128,10 +141,11 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float):
     if not len(features) or not unl:
         return features[:0], np.zeros(0), float(np.log(prior / (1 - prior)))
     xp, xu = design(pos, features), design(unl, features)
+    prior = max(1e-3, held_prior(xp, xu, prior))
     got = []
     for seed in range(MODELS):
         draw = np.random.default_rng(100 + seed).permutation(len(xu))[: max(1, len(xu) * 2 // 3)]
-        got.append(nnpu_fit(xp, xu[draw], prior, seed))
+        got.append(nnpu_fit(xp, xu[draw], prior))
     return features, np.mean([g[0] for g in got], axis=0), float(np.mean([g[1] for g in got]))
 
 
@@ -159,19 +173,20 @@ def score(docs: DataFrame, model, extra: list[str], threshold: float = 0.7) -> D
     weight = dict(zip(map(int, features), map(float, weights)))
 
     def run(batches):
-        known = {}
+        known = {}                                     # word -> the features of the model it has
         for b in batches:
             z = np.empty(b.num_rows)
             for i, text in enumerate(b.column("text").to_pylist()):
-                total = 0.0
-                for w in sorted(set(WORD.findall(text.lower()))) if text else ():
+                found = set()
+                for w in set(WORD.findall(text.lower())) if text else ():
                     x = known.get(w)
                     if x is None:
                         if len(known) >= CACHE:
                             known.clear()
-                        x = known[w] = weight.get(word_code(w), 0.0)
-                    total += x
-                z[i] = bias + total
+                        x = known[w] = tuple(c for c in word_codes(w) if c in weight)
+                    if x:
+                        found.update(x)
+                z[i] = bias + sum(weight[c] for c in sorted(found))
             s = sigmoid(z)
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in extra], pa.array(s), pa.array((s >= threshold).astype("i4"))],
                                              names=[*extra, "score", "predicted"])

@@ -46,23 +46,6 @@ def dim_excluded_chat(spark: SparkSession, titles=None) -> DataFrame:
     return spark.createDataFrame([(t,) for t in titles], "title string")
 
 
-def dim_score(spark: SparkSession) -> DataFrame:
-    rows = [(c, l, b) for c, l, b in S.SCORE_BUCKETS] + [
-        (S.SCORE_OUTBOUND[0], S.SCORE_OUTBOUND[1], None),
-        (S.SCORE_NOT_ANSWERED[0], S.SCORE_NOT_ANSWERED[1], None),
-    ]
-    return spark.createDataFrame(rows, "code string, label string, upper_seconds bigint")
-
-
-def dim_segment(spark: SparkSession) -> DataFrame:
-    rows, lo = [], 0
-    for code, label, hi in S.SEGMENTS:
-        rows.append((code, label, lo, hi))
-        lo = hi
-    rows.append((S.SEGMENT_NOT_REGISTERED[0], S.SEGMENT_NOT_REGISTERED[1], None, None))
-    return spark.createDataFrame(rows, "code string, label string, hour_from int, hour_to int")
-
-
 def dim_shift(spark: SparkSession, rows=None) -> DataFrame:
     """shift keyword -> default start/end 'HH:mm'."""
     rows = rows if rows is not None else S.SHIFT_HOURS
@@ -70,22 +53,23 @@ def dim_shift(spark: SparkSession, rows=None) -> DataFrame:
 
 
 def dim_shift_rule(spark: SparkSession, rows=None) -> DataFrame:
-    """Calendar rules (see schema.SHIFT_RULE_SCHEMA). Defaults are invented test rules
-    covering: no Sundays, a closed date, days off, a special-hours date, an
-    operator rule that shadows the Saturday rule, a Mon-Fri operator override,
-    Saturday hours per shift and a global early close."""
+    """Calendar rules (see schema.SHIFT_RULE_SCHEMA). The defaults are made up for the
+    tests; between them they use every shape of rule: no Sundays, a closed date,
+    a closed date for one person, hours by person and date, by person and
+    weekdays, by person and shift, by weekday and shift, by date and shift, a
+    rule that restores the default hours, and early closing."""
     d = _dt.date
     rows = rows if rows is not None else [
         (10, None, None, 6, 6, None, "off", None, None),
-        (20, None, d(1998, 12, 31), None, None, None, "off", None, None),
-        (30, "agent_b", d(1997, 3, 10), None, None, None, "off", None, None),
-        (30, "agent_b", d(1997, 3, 15), None, None, None, "off", None, None),
-        (31, "agent_b", d(1997, 3, 14), None, None, None, "hours", "09:00", "16:00"),
-        (32, "agent_b", None, 0, 6, None, "default", None, None),
-        (40, "agent_d", d(1999, 6, 12), None, None, None, "hours", "09:00", "13:00"),
-        (50, "agent_c", None, 0, 4, None, "hours", "08:00", "15:00"),
-        (60, None, None, 5, 5, "mañana", "hours", "09:00", "13:00"),
-        (61, None, None, 5, 5, "tarde", "hours", "18:00", "22:00"),
-        (0, None, d(1998, 12, 30), None, None, None, "cutoff", None, "13:00"),
+        (15, None, d(1996, 5, 2), None, None, None, "off", None, None),
+        (22, "agent_e", d(1998, 8, 18), None, None, None, "off", None, None),
+        (23, "agent_e", d(1998, 8, 20), None, None, None, "hours", "10:20", "12:45"),
+        (27, None, d(1997, 2, 7), None, None, "mañana", "hours", "06:40", "11:05"),
+        (33, "agent_a", None, 2, 3, None, "hours", "07:15", "11:45"),
+        (34, "agent_a", None, None, None, "tarde", "default", None, None),
+        (45, None, None, 4, 4, "tarde", "hours", "15:35", "20:10"),
+        (46, "agent_d", None, 0, 1, "mañana", "hours", "11:25", "19:50"),
+        (0, None, d(1999, 9, 7), None, None, None, "cutoff", None, "16:20"),
+        (0, None, d(1996, 11, 22), None, None, None, "cutoff", None, "11:10"),
     ]
     return spark.createDataFrame(rows, S.SHIFT_RULE_SCHEMA)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify_shift, combine, sheet_date, strip
 from .joins import bounded_broadcast
+from .leads import map_executive
 
 DAY_KEY = ["sheet", "row_no", "fecha"]
 
@@ -67,20 +68,20 @@ def apply_rules(days: DataFrame, rules: DataFrame, shifts: DataFrame) -> DataFra
     shifts starting at or after the cutoff."""
     prio = rules.where(F.col("action") != "cutoff")
     cut = rules.where(F.col("action") == "cutoff").select(F.col("date").alias("_cdate"), F.col("end").alias("_cut"))
+    # A rule names each of executive, date, weekday and shift or leaves it open, so a
+    # day meets its rules by equality on 16 key forms (named or open): one hash join.
+    named = lambda c: F.concat(F.lit("="), c.cast("string"))
+    open_ = F.lit("*")
+    days_of = F.when(F.col("weekday_from").isNull() & F.col("weekday_to").isNull(), F.array(open_)).otherwise(F.transform(
+        F.sequence(F.coalesce("weekday_from", F.lit(0)), F.coalesce("weekday_to", F.lit(6))), named))
     r = bounded_broadcast(prio.select(
-        F.col("priority").alias("_p"), F.lower(F.col("executive")).alias("_ex"), F.col("date").alias("_d"),
-        F.col("weekday_from").alias("_wf"), F.col("weekday_to").alias("_wt"), F.col("shift").alias("_sh"),
-        F.col("action").alias("_a"), F.col("start").alias("_s"), F.col("end").alias("_e")))
-    cond = (
-        (F.col("_ex").isNull() | (F.col("_ex") == F.lower(F.col("executive"))))
-        & (F.col("_d").isNull() | (F.col("_d") == F.col("fecha")))
-        & (F.col("_wf").isNull() | (F.col("weekday") >= F.col("_wf")))
-        & (F.col("_wt").isNull() | (F.col("weekday") <= F.col("_wt")))
-        & (F.col("_sh").isNull() | (F.col("_sh") == F.col("shift")))
-    )
-    # days x (tens of rules): a small broadcast nested-loop join, then the
-    # winning rule per day by a min(struct) aggregate.
-    matched = days.join(r, cond, "left")
+        F.coalesce(named(F.lower("executive")), open_).alias("_ex"), F.coalesce(named(F.col("date")), open_).alias("_d"),
+        F.explode(days_of).alias("_w"), F.coalesce(named(F.col("shift")), open_).alias("_sh"),
+        F.col("priority").alias("_p"), F.col("action").alias("_a"), F.col("start").alias("_s"), F.col("end").alias("_e")))
+    own = [named(F.lower("executive")), named(F.col("fecha")), named(F.col("weekday")), named(F.col("shift"))]
+    forms = [F.struct(*[(own[i] if form >> i & 1 else open_).alias(n) for i, n in enumerate(("_ex", "_d", "_w", "_sh"))])
+             for form in range(16)]
+    matched = days.withColumn("_f", F.explode(F.array(*forms))).select("*", "_f.*").drop("_f").join(r, ["_ex", "_d", "_w", "_sh"], "left")
     keys = DAY_KEY + ["executive", "shift", "weekday"]
     won = matched.groupBy(*keys).agg(
         F.min(F.when(F.col("_p").isNotNull(), F.struct("_p", "_a", "_s", "_e"))).alias("_r"))
@@ -162,14 +163,17 @@ def _windows_side(windows: DataFrame) -> DataFrame:
         F.col("inicio_dt").alias("_ws"), F.col("fin_dt").alias("_wend")))
 
 
-def in_shift(leads: DataFrame, windows: DataFrame) -> DataFrame:
+def in_shift(leads: DataFrame, windows: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Leads whose inbound timestamp falls inside their executive's window that day
-    (closed interval); original columns only."""
+    (closed interval); original columns only. ``aliases``: the schedule's alias
+    table, applied to the leads' executives first."""
     cols = leads.columns
+    leads = map_executive(leads, aliases) if aliases is not None else leads
     return _lead_keys(leads).join(_windows_side(windows), _in_window_cond(), "left_semi").select(*cols)
 
 
-def off_shift(leads: DataFrame, windows: DataFrame) -> DataFrame:
+def off_shift(leads: DataFrame, windows: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """The complement of ``in_shift`` (also leads without schedule or inbound time)."""
     cols = leads.columns
+    leads = map_executive(leads, aliases) if aliases is not None else leads
     return _lead_keys(leads).join(_windows_side(windows), _in_window_cond(), "left_anti").select(*cols)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import oracle
+from .oracle import ORACLE, oracle
 
 AS_OF = "DATE '2026-01-22'"
 
@@ -290,16 +290,15 @@ def sheet_date(x: str) -> str:
 RULES_ALL = """
 rules(p, ex, d, wf, wt, sh, a, s, e) AS (VALUES
   (10, NULL, NULL, 6, 6, NULL, 'off', NULL, NULL),
-  (20, NULL, DATE '1998-12-31', NULL, NULL, NULL, 'off', NULL, NULL),
-  (30, 'agent_b', DATE '1997-03-10', NULL, NULL, NULL, 'off', NULL, NULL),
-  (30, 'agent_b', DATE '1997-03-15', NULL, NULL, NULL, 'off', NULL, NULL),
-  (31, 'agent_b', DATE '1997-03-14', NULL, NULL, NULL, 'hours', '09:00', '16:00'),
-  (32, 'agent_b', NULL, 0, 6, NULL, 'default', NULL, NULL),
-  (40, 'agent_d', DATE '1999-06-12', NULL, NULL, NULL, 'hours', '09:00', '13:00'),
-  (50, 'agent_c', NULL, 0, 4, NULL, 'hours', '08:00', '15:00'),
-  (60, NULL, NULL, 5, 5, 'mañana', 'hours', '09:00', '13:00'),
-  (61, NULL, NULL, 5, 5, 'tarde', 'hours', '18:00', '22:00')),
-cutoffs(cd, cut) AS (VALUES (DATE '1998-12-30', '13:00'))"""
+  (15, NULL, DATE '1996-05-02', NULL, NULL, NULL, 'off', NULL, NULL),
+  (22, 'agent_e', DATE '1998-08-18', NULL, NULL, NULL, 'off', NULL, NULL),
+  (23, 'agent_e', DATE '1998-08-20', NULL, NULL, NULL, 'hours', '10:20', '12:45'),
+  (27, NULL, DATE '1997-02-07', NULL, NULL, 'mañana', 'hours', '06:40', '11:05'),
+  (33, 'agent_a', NULL, 2, 3, NULL, 'hours', '07:15', '11:45'),
+  (34, 'agent_a', NULL, NULL, NULL, 'tarde', 'default', NULL, NULL),
+  (45, NULL, NULL, 4, 4, 'tarde', 'hours', '15:35', '20:10'),
+  (46, 'agent_d', NULL, 0, 1, 'mañana', 'hours', '11:25', '19:50')),
+cutoffs(cd, cut) AS (VALUES (DATE '1999-09-07', '16:20'), (DATE '1996-11-22', '11:10'))"""
 
 RULES_SUNDAY = """
 rules(p, ex, d, wf, wt, sh, a, s, e) AS (VALUES
@@ -403,3 +402,10 @@ SELECT executive, lead_id, has_inbound, has_outbound, in_date, in_time, out_date
             THEN response_time END AS response_time,
        score, entry_segment, 0 AS source_rank, 'history' AS source_file
 FROM r5""")
+
+oracle("slice_csv_roundtrip", ORACLE["lead_csv_roundtrip"]
+       + " WHERE executive = 'agent_b' AND in_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'")
+
+oracle("history_own_columns", f"""WITH {FACTS},{HISTORY}
+SELECT executive, lead_id, in_date, in_time, CASE WHEN CAST(lead_id AS BIGINT) % 7 = 0 THEN 'VIP manual' ELSE score END AS score,
+       entry_segment, 'nota "' || lead_id || '", fin' AS "Notas" FROM history""")

@@ -63,9 +63,9 @@ def q_shift_join(spark, sf):
 
 @query("in_shift_leads")
 def q_in_shift_leads(spark, sf):
-    return SC.in_shift(scored_leads(spark, sf), windows(spark, sf))
+    return SC.in_shift(scored_leads(spark, sf), windows(spark, sf), dim_alias(spark))
 
 
 @query("off_shift_leads")
 def q_off_shift_leads(spark, sf):
-    return SC.off_shift(scored_leads(spark, sf), windows(spark, sf))
+    return SC.off_shift(scored_leads(spark, sf), windows(spark, sf), dim_alias(spark))

@@ -135,33 +135,40 @@ def sheet(spark, rows):
 
 def test_schedule_expansion_and_shift_membership(spark):
     s = sheet(spark, [
-        ("s", 0, "agent_a", None, "Mañana"),              # before any header: ignored
-        ("s", 1, "1997-03-10", "15/3/1997", None),        # Monday..Saturday
-        ("s", 2, "Agent B", None, "turno tarde"),         # alias -> agent_b; agent_b rules apply
-        ("s", 3, "agent_c", None, "MANANA"),
+        ("s", 0, "agent_b", None, "Mañana"),              # before any header: ignored
+        ("s", 1, "1998-08-17", "23/8/1998", None),        # Monday..Sunday
+        ("s", 2, "AGENT_A", None, "turno tarde"),         # alias -> agent_a
+        ("s", 3, "agent_e", None, "MANANA"),
         ("s", 4, "agent_d", None, "libre"),               # unknown word: ignored
-        ("s", 5, "1997-03-22", "17/3/1997", None),        # reversed week: no rows
-        ("s", 6, "agent_a", None, "Tarde"),
+        ("s", 5, "1998-08-30", "24/8/1998", None),        # reversed week: no rows
+        ("s", 6, "agent_b", None, "Tarde"),
     ])
     sched = expand_schedule(s, dim_shift_rule(spark), dim_shift(spark), dim_alias(spark))
     rows = sched.collect()
-    by = {(r["executive"], r["fecha"]): r for r in rows}
-    assert {r["executive"] for r in rows} == {"agent_b", "agent_c"}
-    assert (("agent_b", dt.date(1997, 3, 10)) not in by) and (("agent_b", dt.date(1997, 3, 15)) not in by)
-    assert by[("agent_b", dt.date(1997, 3, 14))]["hora_fin"] == "16:00"
-    assert by[("agent_b", dt.date(1997, 3, 11))]["hora_inicio"] == "14:00"
-    assert by[("agent_c", dt.date(1997, 3, 11))]["hora_inicio"] == "08:00"    # Mon-Fri override
-    assert by[("agent_c", dt.date(1997, 3, 15))]["hora_fin"] == "13:00"       # Saturday morning
+    day = lambda n: dt.date(1998, 8, n)
+    by = {(r["executive"], r["fecha"]): (r["hora_inicio"], r["hora_fin"]) for r in rows}
+    assert {r["executive"] for r in rows} == {"agent_a", "agent_e"}
+    assert not any(d == day(23) for _, d in by)           # Sunday
+    assert ("agent_e", day(18)) not in by                 # that person's closed date
+    assert by[("agent_e", day(20))] == ("10:20", "12:45")
+    assert by[("agent_e", day(17))] == ("09:00", "18:00")
+    assert by[("agent_a", day(19))] == ("07:15", "11:45")  # person and weekday
+    assert by[("agent_a", day(21))] == ("14:00", "22:00")  # person and shift beats weekday and shift
     windows = shift_windows(sched)
     leads = spark.createDataFrame([
-        ("agent_c", "1", dt.date(1997, 3, 11), "09:00:00"), ("agent_c", "2", dt.date(1997, 3, 11), "15:00:00"),
-        ("agent_c", "3", dt.date(1997, 3, 11), "15:00:01"), ("agent_x", "4", dt.date(1997, 3, 11), "10:00:00"),
-        ("agent_c", "5", dt.date(1997, 3, 11), None),
+        ("agent_e", "1", day(20), "10:20:00"), ("agent_e", "2", day(20), "12:45:00"),
+        ("agent_e", "3", day(20), "12:45:01"), ("agent_x", "4", day(20), "11:00:00"),
+        ("agent_e", "5", day(20), None),
     ], "executive string, lead_id string, in_date date, in_time string")
     inside = {r["lead_id"] for r in in_shift(leads, windows).collect()}
     outside = {r["lead_id"] for r in off_shift(leads, windows).collect()}
     assert inside == {"1", "2"} and outside == {"3", "4", "5"}
-    assert inside.isdisjoint(outside) and inside | outside == {"1", "2", "3", "4", "5"}
+
+
+def test_rules_need_no_nested_loop(spark):
+    s = sheet(spark, [("s", 1, "1998-08-17", "22/8/1998", None), ("s", 2, "agent_e", None, "Tarde")])
+    plan = expand_schedule(s, dim_shift_rule(spark), dim_shift(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_empty_schedule_gives_empty_frame(spark):
@@ -188,16 +195,21 @@ def test_message_rules(spark):
     log = spark.createDataFrame([("a", "ok", 2), ("b", "timed_out", 1), ("c", "error", 0)],
                                 "contact string, status string, messages bigint")
     m = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "contact string, x int")
-    assert {r["contact"] for r in apply_capture_policy(m, log, False).collect()} == {"a"}
-    assert {(r["contact"], r["partial"]) for r in apply_capture_policy(m, log, True).collect()} == \
-        {("a", False), ("b", True)}
+    log = log.unionByName(log)                                  # a chat logged twice counts once
+    assert sorted(r["contact"] for r in apply_capture_policy(m, log, False).collect()) == ["a", "c", "d"]
+    assert sorted((r["contact"], r["partial"]) for r in apply_capture_policy(m, log, True).collect()) == \
+        [("a", False), ("b", True), ("c", False), ("d", False)]
 
 
 def test_page_nodes(spark):
-    pages = spark.createDataFrame([(1, '<p><a href="/x">X</a> <a class="k" href="/y.ogg"></a></p>')],
+    pages = spark.createDataFrame([(1, '<p><a href="/x">X</a> <a class="k" href="/y.ogg"></a>'
+                                       "<A HREF='/z'><b>Z</b> z</A><a data-href=\"/no\">n</a></p>"
+                                       '<div data-meta="[9:00] Ana:"><span>Hi</span> there</div>')],
                                   "page_id bigint, html string")
     rows = page_nodes(pages).orderBy("pos").collect()
-    assert [(r["value"], r["text"]) for r in rows] == [("/x", "X"), ("/y.ogg", "")]
+    assert [(r["value"], r["text"]) for r in rows] == [("/x", "X"), ("/y.ogg", ""), ("/z", "Z z")]
+    rows = page_nodes(pages, "data-meta", tag=None).collect()
+    assert [(r["value"], r["text"]) for r in rows] == [("[9:00] Ana:", "Hi there")]
 
 
 def test_dedupe_keep_latest_answer(spark):

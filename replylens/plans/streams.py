@@ -1,7 +1,9 @@
-"""Streaming queries: staged input files -> availableNow stream -> sink, read back.
+"""Streaming queries: staged input -> availableNow stream -> sink, read back.
 
-Input files are staged in event-time order (one write per part, one file per
-part) so micro-batches arrive in order; results are read back from the sink.
+The input is staged in two distributed writes cut at the middle of its time
+range, oldest first, and the stream runs once after each: the second run starts
+from the first one's checkpoint and its rows are never older than the watermark.
+Every row goes to exactly one of the two (rows without a time to the second).
 """
 
 from __future__ import annotations
@@ -17,50 +19,57 @@ from ..streaming import consolidate_stream, dedupe_stream, first_response_stream
 from .leads import files, new_file_frames
 from .registry import query
 
-PARTS = 5
 
+def middle(df, ts="ts"):
+    """The middle of the time range (one aggregated row), or None for no rows."""
+    r = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).first()
+    return r["a"] + (r["b"] - r["a"]) / 2 if r["a"] is not None else None
 
-def _stage(df, root, part):
-    """Write ``df`` as one parquet file per part, parts in order (one write each)."""
-    for p in range(PARTS):
-        df.where(part == p).coalesce(1).write.parquet(f"{root}/part-{p:03d}")
 
+def halves(df, ts="ts"):
+    """(earlier rows, all other rows): no row is in neither or in both."""
+    cut = middle(df, ts)
+    early = F.coalesce(F.col(ts) < F.lit(cut), F.lit(False)) if cut is not None else F.lit(False)
+    return df.where(early), df.where(~early)
 
-def _chat_stream_input(spark, sf):
-    msgs = parse_chat_export(chat_export_rows(read_table(spark, sf, "events")))
-    msgs = mark_owner(msgs, dim_owner(spark)).withColumn("ts", F.col("dt").cast("timestamp"))
-    msgs = msgs.withColumn("text", F.regexp_extract("text", r"^(\S+)", 1))
-    root = scratch_path(spark, "stream-in")
-    _stage(msgs.select("executive", "contact", "meta", "text", "role", "ts"), root,
-           F.floor((F.dayofmonth("ts") - 1) / 6).cast("int"))
-    schema = spark.read.parquet(root + "/part-000").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option(
-        "recursiveFileLookup", "true").parquet(root)
-    return stream
-
-
-def _run(spark, stream, name):
-    sink = scratch_path(spark, f"{name}-out")
-    run_available(stream, sink, scratch_path(spark, f"{name}-ckpt"))
+
+def run_staged(spark, df, make, name, ts="ts"):
+    """Feed ``df`` through ``make(stream)`` in two runs over one checkpoint; the sink's rows."""
+    inbox, sink, ckpt = (scratch_path(spark, f"{name}-{x}") for x in ("in", "out", "ckpt"))
+    for i, part in enumerate(halves(df, ts)):
+        part.write.parquet(f"{inbox}/part-{i}")
+        stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(inbox)
+        run_available(make(stream), sink, ckpt)
     return spark.read.parquet(sink)
 
 
+def _messages(spark, sf, collected_again=False):
+    """Parsed chat messages with whole texts; ``collected_again`` adds a second copy of every fifth
+    event, as a collector that scrolls back would."""
+    events = read_table(spark, sf, "events")
+    if collected_again:
+        events = events.unionByName(events.where(F.col("event_id") % 5 == 0))
+    msgs = parse_chat_export(chat_export_rows(events))
+    msgs = mark_owner(msgs, dim_owner(spark)).withColumn("ts", F.col("dt").cast("timestamp"))
+    return msgs.select("executive", "contact", "meta", "text", "role", "ts")
+
+
 @query("stream_message_dedupe")
 def q_stream_message_dedupe(spark, sf):
-    out = _run(spark, dedupe_stream(_chat_stream_input(spark, sf), "ts", "1 hour"), "dedupe")
-    return out.select("contact", "meta", "text").distinct()
+    out = run_staged(spark, _messages(spark, sf, collected_again=True), lambda m: dedupe_stream(m, "ts", "1 hour"), "dedupe")
+    return out.select("contact", "meta", "text")
 
 
 @query("stream_sessions")
 def q_stream_sessions(spark, sf):
-    out = _run(spark, session_counts(_chat_stream_input(spark, sf), "ts", "30 minutes", "1 hour"), "sessions")
+    out = run_staged(spark, _messages(spark, sf), lambda m: session_counts(m, "ts", "30 minutes", "1 hour"), "sessions")
     return out.select("contact", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "messages")
 
 
 @query("stream_first_response")
 def q_stream_first_response(spark, sf):
-    out = _run(spark, first_response_stream(_chat_stream_input(spark, sf), "ts", "2 hours", "1 hour"), "first")
+    out = run_staged(spark, _messages(spark, sf), lambda m: first_response_stream(m, "ts", "2 hours", "1 hour"), "first")
     return out.select("executive", "contact", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       "has_inbound", "has_outbound", F.col("in_ts").cast("timestamp_ntz").alias("in_ts"),
                       F.col("out_ts").cast("timestamp_ntz").alias("out_ts"))
@@ -68,11 +77,11 @@ def q_stream_first_response(spark, sf):
 
 @query("stream_consolidate")
 def q_stream_consolidate(spark, sf):
-    """New lead files arrive as three batches; each batch is merged into a new snapshot."""
+    """New lead files of three layouts arrive and are merged into a new snapshot."""
     history, new = files(spark, sf)
     inbox = scratch_path(spark, "lead-inbox")
     for i, f in enumerate(new_file_frames(new)):
-        f.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{inbox}/batch_{i}")
+        f.write.option("header", True).option("escape", '"').csv(f"{inbox}/batch_{i}")
     snap = consolidate_stream(spark, inbox, scratch_path(spark, "snapshots"), coerce_history(history), AS_OF,
-                              scratch_path(spark, "consolidate-ckpt"), max_files_per_trigger=1)
+                              scratch_path(spark, "consolidate-ckpt"), max_files_per_trigger=1_000)
     return spark.read.parquet(snap)

@@ -16,29 +16,41 @@ from pyspark.sql import functions as F
 from ..operators.leads import build_leads
 from ..sources.csv_scan import read_new_leads
 
-SNAPSHOT = "epoch"
+SNAPSHOT = "version"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def latest_snapshot(spark: SparkSession, base: str) -> str | None:
+    """The complete snapshot with the highest version, or None."""
+    done = snapshots_in(spark, base)
+    return max(done)[1] if done else None
+
+
+def snapshots_in(spark: SparkSession, base: str, complete: bool = True) -> list[tuple[int, str]]:
+    """(version, path) of the snapshots under ``base`` (one entry per load, like any file listing)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(base)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
-        return None
+        return []
     done = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith(f"{SNAPSHOT}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if name.startswith(f"{SNAPSHOT}=") and (not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             done.append((int(name.split("=", 1)[1]), st.getPath().toString()))
-    return max(done)[1] if done else None
+    return done
 
 
 def consolidate_stream(spark: SparkSession, inbox: str, snapshots: str, history: DataFrame, as_of,
-                       checkpoint: str, max_files_per_trigger: int = 1) -> str:
+                       checkpoint: str, max_files_per_trigger: int = 1_000) -> str:
     """Run the incremental load over everything in ``inbox`` now; returns the
-    path of the newest snapshot (parquet, canonical scored leads)."""
+    path of the newest snapshot (parquet, canonical scored leads).
+
+    Snapshot versions only grow, whatever checkpoint a run uses, and a batch writes
+    a version no other has: it never overwrites what it (or a reader) reads. A
+    batch that is replayed merges the same files again, which changes nothing.
+    Rows of the previous snapshot count as history in the next merge."""
     files = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[cC][sS][vV]").option("maxFilesPerTrigger", max_files_per_trigger)
@@ -50,10 +62,11 @@ def consolidate_stream(spark: SparkSession, inbox: str, snapshots: str, history:
         if not paths:
             return
         prev = latest_snapshot(spark, snapshots)
-        base = spark.read.parquet(prev).drop("response_seconds") if prev else history
+        base = spark.read.parquet(prev).drop("response_seconds").withColumn("source_rank", F.lit(0)) if prev else history
         new = read_new_leads(spark, paths, as_of)
         out = build_leads(base, [new] if new is not None else None)
-        out.write.mode("overwrite").parquet(f"{snapshots}/{SNAPSHOT}={epoch:09d}")
+        version = max([v for v, _ in snapshots_in(spark, snapshots, complete=False)], default=0) + 1
+        out.write.mode("errorifexists").parquet(f"{snapshots}/{SNAPSHOT}={version:09d}")
 
     q = (files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -60,9 +60,22 @@ def test_first_response_sessions(spark):
         assert (r["out_ts"] - r["in_ts"]).total_seconds() == 60 * (3 + c)
 
 
+def test_staged_halves_lose_no_row(spark):
+    """The last day of a long month, a second month and rows without a time are all in one of the two parts."""
+    from replylens.plans.streams import halves, run_staged
+    schema = "executive string, contact string, meta string, text string, role string, ts timestamp"
+    times = [T(2024, 1, d, 9, 0) for d in (1, 15, 30, 31)] + [T(2024, 2, d, 9, 0) for d in (1, 29)] + [None]
+    df = spark.createDataFrame([("a", f"c{i}", f"m{i}", "whole text here", "contact", t) for i, t in enumerate(times)], schema)
+    a, b = halves(df)
+    assert sorted(r["contact"] for r in a.unionByName(b).collect()) == [f"c{i}" for i in range(7)]
+    full = df.where("ts is not null")
+    out = run_staged(spark, full.unionByName(full), lambda m: dedupe_stream(m, "ts", "1 hour"), "halves")
+    assert sorted((r["contact"], r["text"]) for r in out.collect()) == [(f"c{i}", "whole text here") for i in range(6)]
+
+
 def test_incremental_load_resumes_from_checkpoint(spark):
     """Two runs over one checkpoint: the second takes only the file that arrived
-    since, and the final snapshot equals one run over all files."""
+    since and merges it into the first one's snapshot."""
     import datetime as _dt
 
     from replylens.operators.leads import build_leads, coerce_history, prepare_new_leads
@@ -89,9 +102,16 @@ def test_incremental_load_resumes_from_checkpoint(spark):
     spark.createDataFrame(batches[2], s).coalesce(1).write.option("header", True).csv(f"{inbox}/b2")
     final = consolidate_stream(spark, inbox, snaps, history, as_of, ckpt)   # restart: same checkpoint
     got = {r["lead_id"]: (r["executive"], r["score"]) for r in spark.read.parquet(final).collect()}
-    everything = [spark.createDataFrame(b, s) for b in batches]
-    want = {r["lead_id"]: (r["executive"], r["score"]) for r in
-            build_leads(history, prepare_new_leads(everything, as_of)).collect()}
+    first, second = ([spark.createDataFrame(b, s) for b in part] for part in (batches[:2], batches[2:]))
+    # What an earlier load has written is the history of the next one.
+    base = build_leads(history, prepare_new_leads(first, as_of)).drop("response_seconds").withColumn("source_rank", F.lit(0))
+    want = {r["lead_id"]: (r["executive"], r["score"]) for r in build_leads(base, prepare_new_leads(second, as_of)).collect()}
     assert got == want
+    # A fresh checkpoint takes all files again: nothing is lost, nothing doubled, and the version grows.
+    spark.createDataFrame([("agent_d", "9", "SI", "NO", "2024-01-05", "08:00:00", None, None)], s).write.option("header", True).csv(f"{inbox}/b3")
+    again = consolidate_stream(spark, inbox, snaps, history, as_of, scratch_path(spark, "t-ckpt-fresh"))
+    assert again > final
+    now = {r["lead_id"]: (r["executive"], r["score"]) for r in spark.read.parquet(again).collect()}
+    assert set(now) == set(got) | {"9"} and now["1"] == got["1"]
     # history beats a new row of the same executive (export order); 10:00:00.5 -> 10:00:00, reply after 30 s
     assert got["1"] == ("agent_a", "not_answered") and got["3"] == ("agent_c", "automatic")

@@ -52,9 +52,9 @@ def parse_meta(c, strict_ampm: bool = False) -> Column:
         else:
             is_am, is_pm = ampm.startswith("a"), ampm.startswith("p")
         vals = F.struct(
-            ok.alias("ok"), part(1).cast("int").alias("h"), part(2).cast("int").alias("mi"),
-            (is_am | is_pm).alias("twelve"), is_pm.alias("pm"), part(4).cast("int").alias("a"),
-            part(5).cast("int").alias("b"), part(6).cast("int").alias("y"), strip(part(7)).alias("author"))
+            ok.alias("ok"), part(1).try_cast("int").alias("h"), part(2).try_cast("int").alias("mi"),
+            (is_am | is_pm).alias("twelve"), is_pm.alias("pm"), part(4).try_cast("int").alias("a"),
+            part(5).try_cast("int").alias("b"), part(6).try_cast("int").alias("y"), strip(part(7)).alias("author"))
         return bind(vals, from_values)
 
     def from_values(v):

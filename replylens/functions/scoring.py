@@ -37,25 +37,29 @@ def _label_map(pairs) -> Column:
     return F.create_map(*flat)
 
 
+def _mapped(x, pairs) -> Column:
+    """The pair's second value; a value that is in no pair passes through unchanged."""
+    return F.coalesce(F.try_element_at(_label_map(pairs), x), x)
+
+
 def score_label(code) -> Column:
-    """Display label (with emoji) of a score code."""
+    """Display label (with emoji) of a score code; a foreign value is its own label."""
     pairs = [(c, l) for c, l, _ in S.SCORE_BUCKETS] + [S.SCORE_OUTBOUND, S.SCORE_NOT_ANSWERED]
-    return F.element_at(_label_map(pairs), col_of(code))
+    return _mapped(col_of(code), pairs)
 
 
 def segment_label(code) -> Column:
     pairs = [(c, l) for c, l, _ in S.SEGMENTS] + [S.SEGMENT_NOT_REGISTERED]
-    return F.element_at(_label_map(pairs), col_of(code))
+    return _mapped(col_of(code), pairs)
 
 
 def score_from_label(label) -> Column:
-    """Score code of a display label or of a code (history files carry labels)."""
+    """Score code of a display label or of a code (history files carry labels); a
+    foreign label is kept as it is."""
     pairs = [(c, l) for c, l, _ in S.SCORE_BUCKETS] + [S.SCORE_OUTBOUND, S.SCORE_NOT_ANSWERED]
-    rev = [(l, c) for c, l in pairs] + [(c, c) for c, _ in pairs]
-    return F.try_element_at(_label_map(rev), F.trim(col_of(label)))
+    return _mapped(F.nullif(F.trim(col_of(label)), F.lit("")), [(l, c) for c, l in pairs])
 
 
 def segment_from_label(label) -> Column:
     pairs = [(c, l) for c, l, _ in S.SEGMENTS] + [S.SEGMENT_NOT_REGISTERED]
-    rev = [(l, c) for c, l in pairs] + [(c, c) for c, _ in pairs]
-    return F.try_element_at(_label_map(rev), F.trim(col_of(label)))
+    return _mapped(F.nullif(F.trim(col_of(label)), F.lit("")), [(l, c) for c, l in pairs])

@@ -37,8 +37,9 @@ norm_title = norm_name
 
 
 def fold_accents(c) -> Column:
-    """Lower-case and drop accents over the closed alphabet of schema.ACCENTED."""
-    return F.translate(F.lower(col_of(c)), S.ACCENTED, S.PLAIN)
+    """Lower-case and drop accents: composed letters of schema.ACCENTED, and combining
+    marks of decomposed text."""
+    return F.regexp_replace(F.translate(F.lower(col_of(c)), S.ACCENTED, S.PLAIN), r"\p{Mn}+", "")
 
 
 def is_valid_title(c, reserved=None, max_len: int = S.MAX_TITLE_LEN) -> Column:

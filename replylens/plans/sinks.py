@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..dims import dim_inbox
+from ..functions import yes_flag
+from ..operators.capture import dedupe_messages
 from ..operators.chats import parse_chat_export
 from ..operators.inbox import inbox_first_response
+from ..operators.leads import coerce_history
+from ..operators.profile import executive_date_slice
 from ..session import scratch_path
-from ..sinks import write_by_executive, write_snapshot
+from ..sinks import write_by_executive, write_lead_csv, write_messages, write_snapshot
 from ..sources.adapters import AS_OF, chat_export_rows, inbox_messages, read_table
 from ..sources.csv_scan import read_chat_export, read_history, read_inbox_export, read_new_leads
 from .leads import files, new_file_frames, scored_leads
@@ -35,11 +39,18 @@ def q_scan_mixed_headers(spark, sf):
     return read_new_leads(spark, [root, f"{root}/missing-folder"], AS_OF)
 
 
+NAME_PREFIX = "Ana María 5% #1+ "
+# Cells that only a correct pair of CSV writer and reader keeps apart.
+HOSTILE = ' said "hi", ok;\n"x", \\ end'
+
+
 @query("chat_export_scan")
 def q_chat_export_scan(spark, sf):
     """Raw chat exports, one folder per executive, read back strictly and parsed."""
     root = scratch_path(spark, "chat-export")
     raw = chat_export_rows(read_table(spark, sf, "events"))
+    # Files and folders are named after people: blanks, accents, per cent and number signs.
+    raw = raw.withColumn("executive", F.concat(F.lit(NAME_PREFIX), F.col("executive")))
     raw.write.partitionBy("executive").option("header", True).option("escape", '"').csv(root)
     msgs = parse_chat_export(read_chat_export(spark, root))
     return msgs.select("executive", "contact", "dt", "msg_time", "author")
@@ -73,12 +84,46 @@ def q_inbox_scan_skip_bad_files(spark, sf):
 
 @query("export_by_executive")
 def q_export_by_executive(spark, sf):
-    """Per-executive export folders, read back and counted per executive."""
+    """Per-executive export folders, written twice and read back row by row."""
     root = scratch_path(spark, "exports")
     leads = inbox_first_response(inbox_messages(read_table(spark, sf, "events")), dim_inbox(spark))
-    write_by_executive(leads, root, AS_OF)
-    back = spark.read.option("header", True).csv(root)
-    return back.groupBy("executive").agg(F.count(F.lit(1)).alias("leads"))
+    for _ in range(2):                                      # a second run replaces the first
+        write_by_executive(leads, root, AS_OF)
+    back = spark.read.option("header", True).option("inferSchema", False).csv(root)
+    return back.select(
+        F.col("executive"), F.col("ID_LEAD").alias("lead_id"), yes_flag("Mensaje Entrante").alias("has_inbound"),
+        yes_flag("Mensaje Saliente").alias("has_outbound"), F.col("Fecha Entrante").cast("date").alias("in_date"),
+        F.col("Hora Entrante").alias("in_time"), F.col("Fecha Saliente").cast("date").alias("out_date"),
+        F.col("Hora Saliente").alias("out_time"))
+
+
+@query("messages_csv_roundtrip")
+def q_messages_csv_roundtrip(spark, sf):
+    """Collected messages with quotes, commas, line breaks and backslashes, written and read back cell by cell."""
+    root = scratch_path(spark, "messages")
+    raw = chat_export_rows(read_table(spark, sf, "events")).withColumn("text", F.concat("text", F.lit(HOSTILE)))
+    write_messages(dedupe_messages(raw), root)
+    return read_chat_export(spark, root).select("contact", "meta", "text")
+
+
+@query("slice_csv_roundtrip")
+def q_slice_csv_roundtrip(spark, sf):
+    """One executive's leads of four years, written as a lead file and read back."""
+    path = scratch_path(spark, "slice")
+    write_lead_csv(executive_date_slice(scored_leads(spark, sf), "agent_b", "1996-01-01", "1999-12-31"), path)
+    return read_history(spark, path)
+
+
+@query("history_own_columns")
+def q_history_own_columns(spark, sf):
+    """A history with a notes column and a label of its own: both survive a run's write and re-read."""
+    history, _ = files(spark, sf)
+    odd = F.col("ID_LEAD").cast("long") % 7 == 0
+    history = (history.withColumn("Score Tiempo Respuesta", F.when(odd, F.lit("VIP manual")).otherwise(F.col("Score Tiempo Respuesta")))
+               .withColumn("Notas", F.concat(F.lit('nota "'), F.col("ID_LEAD"), F.lit('", fin'))))
+    path = scratch_path(spark, "own-history")
+    write_lead_csv(coerce_history(history), path, sort=False, header=history.columns)
+    return read_history(spark, path).select("executive", "lead_id", "in_date", "in_time", "score", "entry_segment", "Notas")
 
 
 @query("lead_csv_roundtrip")

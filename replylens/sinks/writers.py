@@ -11,9 +11,15 @@ from .. import schema as S
 from ..functions import flag_text, safe_name, score_label, segment_label
 
 
-def lead_export_frame(df: DataFrame) -> DataFrame:
+def _csv(writer, path: str) -> None:
+    """All CSV sinks write what the scans read: a header, and quotes doubled inside quotes."""
+    writer.option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+
+
+def lead_export_frame(df: DataFrame, header: list[str] | None = None) -> DataFrame:
     """Canonical lead rows -> the user's file layout: Spanish headers, SI/NO flags,
-    ISO dates, label text for score and segment."""
+    ISO dates, label text for score and segment, then the history's own columns.
+    ``header`` (the history file's) sets the order; columns it lacks follow."""
     out = {
         "Ejecutivo": F.col("executive"),
         "ID_LEAD": F.col("lead_id"),
@@ -30,16 +36,19 @@ def lead_export_frame(df: DataFrame) -> DataFrame:
         out["Score Tiempo Respuesta"] = score_label(F.col("score"))
     if "entry_segment" in df.columns:
         out["Segmento Horario Entrada"] = segment_label(F.col("entry_segment"))
-    return df.select(*[c.alias(n) for n, c in out.items()])
+    known = {f.name for f in S.LEAD_SCHEMA.fields} | {"response_seconds"}
+    out |= {c: F.col(f"`{c}`") for c in df.columns if c not in known}
+    order = [h for h in header or [] if h in out]
+    return df.select(*[out[n].alias(n) for n in [*order, *[n for n in out if n not in order]]])
 
 
-def write_lead_csv(df: DataFrame, path: str, sort: bool = True) -> str:
+def write_lead_csv(df: DataFrame, path: str, sort: bool = True, header: list[str] | None = None) -> str:
     """Write lead rows as CSV with header (export order: executive, lead, dates, times)."""
-    out = lead_export_frame(df)
+    out = lead_export_frame(df, header)
     if sort:
         out = out.orderBy(*[F.col(c).asc_nulls_last() for c in
                             ["Ejecutivo", "ID_LEAD", "Fecha Entrante", "Hora Entrante", "Fecha Saliente", "Hora Saliente"]])
-    out.write.mode("errorifexists").option("header", True).option("encoding", "UTF-8").csv(path)
+    _csv(out.write.mode("errorifexists"), path)
     return path
 
 
@@ -57,13 +66,17 @@ def write_snapshot(df: DataFrame, base: str, as_of, fmt: str = "csv") -> str:
 def write_by_executive(df: DataFrame, base: str, run_date) -> str:
     """One folder per run date and executive (K3; the folder is the per-executive
     unit). The executive column is kept in the file body too, since partition
-    columns leave the body."""
+    columns leave the body. A second run of a date replaces that date's folders.
+    A name that had to be cleaned for its folder carries a short hash, so two
+    executives never share one."""
     day = run_date.isoformat() if isinstance(run_date, (_dt.date, _dt.datetime)) else str(run_date)
-    out = lead_export_frame(df).withColumn("run_date", F.lit(day)).withColumn(
-        "executive", safe_name(F.col("Ejecutivo")))
+    safe = safe_name(F.col("Ejecutivo"))
+    folder = F.when(safe == F.col("Ejecutivo"), safe).otherwise(
+        F.concat(safe, F.lit("-"), F.substring(F.md5(F.coalesce("Ejecutivo", F.lit("")).cast("binary")), 1, 6)))
+    out = lead_export_frame(df).withColumn("run_date", F.lit(day)).withColumn("executive", folder)
     # One folder per (run date, executive); each task writes its own part file,
     # so a very large executive is written by many tasks, not one.
-    out.write.mode("append").partitionBy("run_date", "executive").option("header", True).csv(base)
+    _csv(out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "executive"), base)
     return base
 
 
@@ -73,5 +86,5 @@ def write_messages(df: DataFrame, path: str) -> bool:
     out = df.select("contact", "meta", "text")
     if out.isEmpty():
         return False
-    out.write.mode("errorifexists").option("header", True).csv(path)
+    _csv(out.write.mode("errorifexists"), path)
     return True

@@ -1,18 +1,19 @@
 """CSV sources: header-grouped multi-file scans, history snapshots, inbox and chat exports.
 
 Spark's CSV reader binds columns by position across files, so files whose
-headers differ would mix columns. ``scan_csv`` therefore reads every file's
-first line in one distributed job, groups the files by header, reads each
-group with its own all-string schema and unions the groups by name. Only the
-list of (header, files) reaches the driver - file metadata, like any file
-listing - never data rows.
+headers differ would mix columns. ``scan_csv`` therefore looks at the first line
+of every file (a bounded read per file, through the file system Spark uses),
+groups the files by header, reads each group with its own all-string schema and
+unions the groups by name. Only (header, file) pairs reach the driver - file
+metadata, like any file listing - never data rows.
 """
 
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,51 +45,102 @@ def existing(spark: SparkSession, folders) -> list[str]:
     return out
 
 
+HEAD_BYTES = 1 << 16                 # a header line is looked for in this many bytes
+HEAD_THREADS = 16
+
+
+def _list_files(spark: SparkSession, roots: list[str], ext: str, recursive: bool) -> list[str]:
+    """Plain (not URL-encoded) paths of the files with the extension, hidden ones left out."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for root in roots:
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(conf)
+        base = fs.getFileStatus(p).getPath().toString()
+        it = fs.listFiles(p, recursive)
+        while it.hasNext():
+            st = it.next()
+            path = st.getPath().toString()
+            inside = path[len(base):] if path.startswith(base) else path
+            if st.getLen() and path.lower().endswith(ext.lower()) and not any(
+                    x[:1] in (".", "_") and "=" not in x for x in inside.split("/")):
+                out.append(path)
+    return sorted(set(out))
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line within HEAD_BYTES; None when the file cannot be read (it is then skipped)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            head = jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEAD_BYTES)
+            data = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(head))
+        finally:
+            stream.close()
+    except Exception as e:  # noqa: BLE001  a bad file is skipped with a warning, like a missing folder
+        log.warning("file skipped, its header cannot be read: %s (%s)", path, str(e)[:200])
+        return None
+    text = data.decode("utf-8", "replace").removeprefix(BOM)
+    return text.split("\n", 1)[0].rstrip("\r") if text else None
+
+
 def header_groups(spark: SparkSession, folders, ext: str = ".csv", recursive: bool = True) -> list[tuple[str, list[str]]]:
-    """[(header line, [files])] of the CSV files under ``folders``; empty files
-    (no first line) are absent. One Spark job reads just the first line of
-    each file (the split at offset 0, first row by position)."""
+    """[(header line, [files])] of the CSV files under ``folders``; empty and unreadable
+    files are absent. Reads at most HEAD_BYTES of a file."""
     roots = existing(spark, folders)
-    if not roots:
-        return []
-    lines = (
-        spark.read.option("recursiveFileLookup", str(recursive).lower())
-        .option("pathGlobFilter", _ci_glob(ext))
-        .text(roots)
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"))
-        .where(F.col("start") == 0)
-        .withColumn("pos", F.monotonically_increasing_id())
-    )
-    heads = lines.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
-    heads = heads.select("file", F.regexp_replace("header", "^" + BOM, "").alias("header"))
-    # One (header, file) pair per file comes back - the same file metadata the
-    # driver already lists - and is grouped here; no task gathers a file list.
+    files = _list_files(spark, roots, ext, recursive) if roots else []
+    with ThreadPoolExecutor(HEAD_THREADS) as pool:
+        heads = list(pool.map(lambda f: _first_line(spark, f), files))
     groups: dict[str, list[str]] = {}
-    for r in heads.collect():
-        groups.setdefault(r["header"], []).append(r["file"])
+    for f, h in zip(files, heads):
+        if h is not None:
+            groups.setdefault(h, []).append(f)
     return sorted((h, sorted(fs)) for h, fs in groups.items())
 
 
 def _split_header(header: str) -> list[str]:
+    """Column names of a header line. A name that occurs again (in any case, as Spark
+    compares names) gets a number, and an empty one its place, so one odd file fails nothing."""
     import csv
-    return [h.strip() for h in next(csv.reader([header]))]
+    names, seen = [], set()
+    for i, h in enumerate(next(csv.reader([header]), [])):
+        name = h.strip().replace("`", "'") or (f"_c{i}" if i else "")
+        k, base = 0, name
+        while name.lower() in seen:
+            k += 1
+            name = f"{base}.{k}"
+        seen.add(name.lower())
+        names.append(name)
+    return names if any(names) else []
+
+
+def _literal_path(path: str) -> str:
+    """A path as a pattern that matches just itself."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
+
+
+def decoded(path: Column) -> Column:
+    """A URL-encoded path as plain text ('+' is itself in a path)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def scan_csv(spark: SparkSession, folders, ext: str = ".csv", recursive: bool = True,
-             na_tokens: bool = True) -> list[DataFrame]:
-    """One all-string DataFrame per header group (plus ``_file``); missing
-    values follow the usual NA tokens when ``na_tokens``."""
+             na_tokens: bool = True, multi_line: bool = False) -> list[DataFrame]:
+    """One all-string DataFrame per header group (plus ``_file`` and ``_path``); missing
+    values follow the usual NA tokens when ``na_tokens``. Files are split over
+    tasks unless cells may hold line breaks (``multi_line``: one task a file)."""
     frames = []
     for header, files in header_groups(spark, folders, ext, recursive):
         names = _split_header(header)
-        if not any(names):
+        if not names:
             continue
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-              .option("escape", '"').csv(files)
+        df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
+              .option("escape", '"').csv([_literal_path(f) for f in files])
               .withColumn("_file", F.col("_metadata.file_name"))
-              .withColumn("_path", F.col("_metadata.file_path")))
+              .withColumn("_path", decoded(F.col("_metadata.file_path"))))
         if na_tokens:
             df = df.select(*[null_if_token(F.col(f"`{n}`")).alias(n) for n in names], "_file", "_path")
         frames.append(df)
@@ -127,12 +179,12 @@ def read_inbox_export(spark: SparkSession, folder: str, ext: str = ".csv", recur
     """Inbox export files -> typed messages. Files without ``sent_at`` are skipped;
     a file with any unparsable ``sent_at`` is skipped whole."""
     msgs = None
-    for df in scan_csv(spark, folder, ext, recursive=recursive):
+    for df in scan_csv(spark, folder, ext, recursive=recursive, multi_line=True):
         if "sent_at" not in df.columns:
             continue
         cols = [c for c in S.INBOX_SCHEMA.fieldNames() if c in df.columns]
         typed = df.select(
-            *[F.col(c).cast(S.INBOX_SCHEMA[c].dataType).alias(c) for c in cols if c != "sent_at"],
+            *[F.col(c).try_cast(S.INBOX_SCHEMA[c].dataType).alias(c) for c in cols if c != "sent_at"],
             F.col("sent_at").alias("_raw_sent_at"),
             F.try_to_timestamp(strip(F.col("sent_at"))).cast("timestamp_ntz").alias("sent_at"),
             "_path",
@@ -155,7 +207,7 @@ def read_chat_export(spark: SparkSession, folder: str, ext: str = ".csv") -> Dat
     """Raw chat exports: all text, no NA tokens, required columns, trimmed; the
     executive is the file's base name, or the ``executive=`` folder for files
     written by Spark (``part-*``)."""
-    frames = scan_csv(spark, folder, ext, na_tokens=False)
+    frames = scan_csv(spark, folder, ext, na_tokens=False, multi_line=True)
     out = None
     for df in frames:
         missing = [c for c in ("contact", "meta", "text") if c not in df.columns]
@@ -169,24 +221,25 @@ def read_chat_export(spark: SparkSession, folder: str, ext: str = ".csv") -> Dat
     base = F.regexp_extract("_path", r"([^/]+)\.[cC][sS][vV]$", 1)
     folder_exec = F.regexp_extract("_path", r"executive=([^/]+)/[^/]+$", 1)
     executive = F.when(base.startswith("part-") & (F.length(folder_exec) > 0),
-                       F.expr("url_decode(regexp_extract(_path, 'executive=([^/]+)/[^/]+$', 1))")).otherwise(base)
+                       decoded(folder_exec)).otherwise(base)
     return out.select(executive.alias("executive"), "contact", "meta", "text")
 
 
 def read_schedule_sheet(spark: SparkSession, path: str, ext: str = ".csv") -> DataFrame:
     """Headerless weekly shift sheets -> (sheet, row_no, c0, c1, c2); the sheet is
-    the file's base name and ``row_no`` the line order inside the file
-    (file offset of the split, then position inside the split). Cells are
+    the file's path (files of one name in two folders stay apart) and ``row_no``
+    grows with the lines of the file (offset of the split, then place in it). Cells are
     read as text; a file with fewer than three columns gets nulls."""
     schema = "c0 string, c1 string, c2 string"
     df = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
           .option("pathGlobFilter", _ci_glob(ext)).option("recursiveFileLookup", "true").csv(path)
-          .select("c0", "c1", "c2", F.col("_metadata.file_name").alias("_name"),
+          .select("c0", "c1", "c2", decoded(F.col("_metadata.file_path")).alias("_name"),
                   F.col("_metadata.file_block_start").alias("_start"))
           .withColumn("_pos", F.monotonically_increasing_id()))
     sheet = F.regexp_extract("_name", r"^(.*)\.[^.]+$", 1)
-    # Within a split, monotonically_increasing_id grows with the line order; the
-    # split offset orders the splits of one file. (offset, id) -> a long rank.
-    row_no = F.col("_start") * F.lit(1 << 20) + (F.col("_pos") % F.lit(1 << 20))
-    return df.select(sheet.alias("sheet"), row_no.cast("bigint").alias("row_no"),
+    # Inside a split monotonically_increasing_id grows with the lines (33 bits a partition);
+    # the split's offset orders the splits of one file.
+    per_split = 1 << 33
+    row_no = F.col("_start").cast("decimal(20,0)") * F.lit(per_split).cast("decimal(11,0)") + (F.col("_pos") % F.lit(per_split))
+    return df.select(sheet.alias("sheet"), row_no.cast("decimal(31,0)").alias("row_no"),
                      *[null_if_token(strip(F.col(c)), [""]).alias(c) for c in ("c0", "c1", "c2")])

@@ -82,12 +82,12 @@ def test_schedule_sheet_file(spark, tmpdir_fresh):
     sheet = read_schedule_sheet(spark, d)
     rows = sheet.orderBy("row_no").collect()
     assert [r["c0"] for r in rows][:2] == ["agent_a", "2024-01-08"]          # BOM gone, file order kept
-    assert rows[0]["sheet"] == "weeks" and rows[1]["c2"] is None
+    assert rows[0]["sheet"].endswith("/weeks") and rows[1]["c2"] is None
     sched = expand_schedule(sheet, dim_shift_rule(spark), dim_shift(spark), dim_alias(spark))
     got = {(r["executive"], r["fecha"].isoformat(), r["hora_inicio"]) for r in sched.collect()}
     assert ("agent_a", "2024-01-08", "09:00") in got and ("agent_a", "2024-01-13", "09:00") in got
-    assert ("agent_b", "2024-01-13", "14:00") in got      # agent_b's own rule shadows the Saturday rule
-    assert ("agent_a", "2024-01-15", "14:00") in got and ("agent_a", "2024-01-20", "18:00") in got
+    assert ("agent_b", "2024-01-13", "14:00") in got
+    assert ("agent_a", "2024-01-15", "14:00") in got and ("agent_a", "2024-01-17", "07:15") in got
     assert len([g for g in got if g[0] == "agent_a"]) == 12   # two weeks Mon-Sat; the stray first row is ignored
 
 
@@ -106,3 +106,39 @@ def test_write_messages_header_order_and_empty_guard(spark, tmpdir_fresh):
     assert sorted(r["contact"] for r in chats_with_status(log).collect()) == ["b", "c"]
     total = [r for r in capture_summary(log).collect() if r["is_total"]][0]
     assert (total["chats"], total["messages"]) == (3, 6)
+
+
+def test_file_names_and_bad_files(spark, tmpdir_fresh):
+    """Files are named after people; one odd file never fails the scan."""
+    import os
+
+    from replylens.sources.csv_scan import read_chat_export, scan_csv
+    names = ["Ana María.csv", "50% #1 + José.csv", "a[b]{c}.csv"]
+    for i, n in enumerate(names):
+        with open(os.path.join(tmpdir_fresh, n), "w", encoding="utf-8") as f:
+            f.write(f'contact,meta,text\nc{i},m,"said ""hi"", ok\nline two"\n')
+    rows = read_chat_export(spark, tmpdir_fresh).collect()
+    assert {(r["executive"], r["contact"]) for r in rows} == {(n[:-4], f"c{i}") for i, n in enumerate(names)}
+    assert {r["text"] for r in rows} == {'said "hi", ok\nline two'}
+    with open(os.path.join(tmpdir_fresh, "twice.csv"), "w") as f:
+        f.write("x,X,\n1,2,3\n")
+    frames = {tuple(c for c in d.columns if not c.startswith("_")): d.count() for d in scan_csv(spark, tmpdir_fresh)}
+    assert frames[("x", "X.1")] == 1
+
+
+def test_sinks_round_trip_hostile_cells(spark, tmpdir_fresh):
+    from replylens.operators.leads import coerce_history
+    from replylens.sinks import write_by_executive, write_lead_csv
+    from replylens.sources.csv_scan import read_history
+    schema = ", ".join(f"`{c}` string" for c in ["Ejecutivo", "ID_LEAD", "Mensaje Entrante", "Mensaje Saliente", "Fecha Entrante",
+                                                  "Hora Entrante", "Fecha Saliente", "Hora Saliente", "Notas"])
+    h = coerce_history(spark.createDataFrame([('Ana "Sol", Lima', "1", "SI", "NO", "2024-01-02", "10:00:00", None, None, 'x, "y" \\ z'),
+                                              ("Ana-P", "2", "SI", "NO", "2024-01-02", "10:00:00", None, None, None),
+                                              ("Ana P", "3", "SI", "NO", "2024-01-02", "10:00:00", None, None, "n")], schema))
+    path = write_lead_csv(h, tmpdir_fresh + "/out")
+    back = {r["lead_id"]: (r["executive"], r["Notas"]) for r in read_history(spark, path).collect()}
+    assert back == {"1": ('Ana "Sol", Lima', 'x, "y" \\ z'), "2": ("Ana-P", None), "3": ("Ana P", "n")}
+    for _ in range(2):
+        write_by_executive(h, tmpdir_fresh + "/by", "2024-01-03")
+    by = spark.read.option("header", True).option("escape", '"').csv(tmpdir_fresh + "/by")
+    assert by.count() == 3 and by.select("executive").distinct().count() == 3

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import is_valid_title, media_text, norm_title, preview, strip
-from .joins import bounded_broadcast, join_per_key
+from .joins import bounded_broadcast
 
 
 def dedupe_messages(msgs: DataFrame) -> DataFrame:
@@ -46,26 +46,23 @@ def eligible_chats(titles: DataFrame, excluded: DataFrame, title_col: str = "con
 
 def recent_chats(msgs: DataFrame, excluded: DataFrame, n: int = 250) -> DataFrame:
     """The ``n`` most recently active eligible chats (top-k report: the limit is the feature)."""
-    last = msgs.groupBy("contact").agg(F.max("dt").alias("last_dt"))
-    ok = eligible_chats(last.select("contact"), excluded).withColumnRenamed("title", "contact")
-    return (
-        last.join(ok, "contact", "left_semi")
-        .orderBy(F.col("last_dt").desc_nulls_last(), F.col("contact"))
-        .limit(n)
-    )
+    title = strip(F.col("contact"))
+    last = (msgs.groupBy("contact").agg(F.max("dt").alias("last_dt")).withColumn("contact", title)
+            .where(is_valid_title(F.col("contact"))).groupBy("contact").agg(F.max("last_dt").alias("last_dt")))
+    ex = bounded_broadcast(excluded.select(norm_title(F.col("title")).alias("_t")).distinct())
+    return (last.join(ex, norm_title(F.col("contact")) == F.col("_t"), "left_anti")
+            .orderBy(F.col("last_dt").desc_nulls_last(), F.col("contact")).limit(n))
 
 
 def apply_capture_policy(msgs: DataFrame, capture_log: DataFrame, keep_partial: bool) -> DataFrame:
-    """Keep messages of chats captured whole; chats that hit the time limit are
-    dropped (``keep_partial=False``) or kept and flagged; failed and excluded
-    chats never contribute. Adds ``partial``."""
-    log = capture_log.select("contact", "status")
-    keep = ["ok", "timed_out"] if keep_partial else ["ok"]
-    ok = log.where(F.col("status").isin(keep))
-    # One log row per chat; a chat holding a huge share of messages is joined
-    # by broadcast of its log row (join_per_key), the rest by shuffle join.
-    return join_per_key(msgs, ok, ["contact"], "inner").withColumn(
-        "partial", F.col("status") == "timed_out").drop("status")
+    """Messages under the capture policy: chats that hit the time limit are dropped
+    (``keep_partial=False``) or kept and flagged in ``partial``. Every other chat
+    passes, in the log or not; a chat logged several times counts once."""
+    late = bounded_broadcast(capture_log.where(F.col("status") == "timed_out").select("contact").distinct())
+    if not keep_partial:
+        return msgs.join(late, "contact", "left_anti").withColumn("partial", F.lit(False))
+    flagged = late.withColumn("_late", F.lit(True))
+    return msgs.join(flagged, "contact", "left").withColumn("partial", F.coalesce("_late", F.lit(False))).drop("_late")
 
 
 def skip_processed(candidates: DataFrame, capture_log: DataFrame, col: str = "contact") -> DataFrame:
@@ -89,16 +86,23 @@ def chats_with_status(capture_log: DataFrame, status: str = "timed_out") -> Data
 
 
 def page_nodes(pages: DataFrame, attribute: str = "href", id_col: str = "page_id",
-               html_col: str = "html") -> DataFrame:
-    """Anchor-like nodes ``<a ... attribute="value" ...>text</a>`` of each page:
-    (id, pos, value, text). Regex extraction stays in the JVM; one row per node."""
-    pat = r'<a\s[^>]*?\b' + attribute + r'="([^"]*)"[^>]*>([^<]*)</a>'
-    vals = F.regexp_extract_all(F.col(html_col), F.lit(pat), 1)
-    texts = F.regexp_extract_all(F.col(html_col), F.lit(pat), 2)
+               html_col: str = "html", tag: str | None = "a") -> DataFrame:
+    """Elements ``<tag ... attribute="value" ...>content</tag>`` of each page: (id, pos,
+    value, text). Names in any case, values in either quotes; the text is the
+    content without inner tags. ``tag=None`` takes elements of any name (the
+    message nodes of a stored chat page carry their meta in an attribute).
+    Regex extraction stays in the JVM; one row per node."""
+    name = tag if tag else r"([a-z][a-z0-9-]*)"
+    first = 0 if tag else 1
+    pat = (rf"(?is)<{name}\s(?:[^>]*?\s)?{attribute}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</"
+           + (tag if tag else r"\1") + r"\s*>")
+    part = lambda i: F.regexp_extract_all(F.col(html_col), F.lit(pat), i + first)
+    node = F.arrays_zip(part(1).alias("dq"), part(2).alias("sq"), part(3).alias("inner"))
     return (
-        pages.select(id_col, F.posexplode(F.arrays_zip(vals.alias("value"), texts.alias("text"))))
+        pages.select(id_col, F.posexplode(node))
         .select(id_col, F.col("pos").cast("bigint").alias("pos"),
-                F.col("col.value").alias("value"), F.col("col.text").alias("text"))
+                F.when(F.length("col.dq") > 0, F.col("col.dq")).otherwise(F.col("col.sq")).alias("value"),
+                F.regexp_replace("col.inner", "<[^>]*>", "").alias("text"))
     )
 
 

@@ -10,7 +10,6 @@ Keys holding very many rows take a broadcast route of their own
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,32 +17,26 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-_CHECKED: dict[tuple, tuple] = {}
-_VALUES: dict[tuple, list | None] = {}
+# Rows given in the program itself may be broadcast up to this size (known without a job).
+LOCAL_BROADCAST_BYTES = 64 << 20
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
-    The check result is remembered per session and plan (semantic hash)."""
-    # The semantic hash ignores output names, so the names are part of the key.
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(df.columns), max_rows)
-    if key not in _CHECKED:
-        # Persist while checking: a frame within the bound is small by proof,
-        # and the check has then computed it once for the join to reuse.
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        small = kept.limit(max_rows + 1).count() <= max_rows
-        if not small:
-            kept.unpersist()
-        _CHECKED[key] = (small, kept if small else df)
-    small, frame = _CHECKED[key]
-    return F.broadcast(frame) if small else df
+    """``broadcast(df)`` when it is known to be small, else ``df`` unchanged. Rows given
+    in the program have an exact size, anything else is counted up to
+    ``max_rows`` + 1 (one bounded job). Nothing is kept or persisted."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if plan.getClass().getSimpleName() == "LocalRelation":
+        return F.broadcast(df) if int(str(plan.stats().sizeInBytes())) <= LOCAL_BROADCAST_BYTES else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 # A key with more rows than this is "hot": its partner row is broadcast instead
-# of shuffling its rows to one task. At most MAX_HOT_KEYS hot keys are kept
-# (rows / HOT_KEY_ROWS bounds their number); beyond that all keys stay cold.
+# of shuffling its rows to one task. More than MAX_HOT_KEYS hot keys are too many
+# to broadcast; then every key is spread over SALTS tasks.
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
+SALTS = 32
 HOT_KEY_CONF = "replylens.skew.hotKeyRows"
 
 
@@ -55,27 +48,34 @@ def hot_threshold(spark, hot_rows: int | None = None) -> int:
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """Keys holding more than ``hot_rows`` rows, as a small DataFrame (None when
-    there is none or more than ``max_keys``). One partially aggregated count;
-    the bounded key list is fixed once, so a retried stage sees the same set."""
+             max_keys: int = MAX_HOT_KEYS) -> DataFrame | str | None:
+    """Keys holding more than ``hot_rows`` rows, as a small DataFrame (None: there is
+    none; "many": more than ``max_keys``). One partially aggregated count; the
+    bounded key list is fixed once, so a retried stage sees the same set."""
     limit = hot_threshold(df.sparkSession, hot_rows)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
     rows = counts.select(*keys).limit(max_keys + 1).collect()
-    if not rows or len(rows) > max_keys:
+    if not rows:
         return None
+    if len(rows) > max_keys:
+        return "many"
     return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
 
 
 def join_per_key(big: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner",
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Join ``big`` with ``per_key`` (at most one row per key) without sending a hot
     key's rows to one task: hot keys meet their broadcast partner rows where
     they are (no shuffle of their rows), other keys use the ordinary shuffle
-    join. Both routes are exact; the hot set only chooses the route."""
-    hot = hot_keys(big, keys, hot_rows)
+    join. With too many hot keys to broadcast, every partner row is repeated for
+    SALTS tasks. All routes are exact; the hot set only chooses the route."""
+    hot = hot_keys(big, keys, hot_rows, max_keys)
     if hot is None:
         return big.join(per_key, keys, how)
+    if isinstance(hot, str):
+        salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)))
+        copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
     hot_b = F.broadcast(hot)
     partners = per_key.join(hot_b, keys, "left_semi")       # <= one row per hot key
     hot_part = big.join(hot_b, keys, "left_semi").join(F.broadcast(partners), keys, how)
@@ -106,8 +106,5 @@ def small_values(df: DataFrame, col: str, max_rows: int = 10_000) -> list | None
     """Distinct values of a small dimension column as a Python list (for an
     ``isin`` test kept inside the scan stage), or None when the dimension
     has more than ``max_rows`` values (callers then join)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(df.columns), col, max_rows)
-    if key not in _VALUES:
-        vals = [r[0] for r in df.select(col).distinct().limit(max_rows + 1).collect()]
-        _VALUES[key] = sorted(v for v in vals if v is not None) if len(vals) <= max_rows else None
-    return _VALUES[key]
+    vals = [r[0] for r in df.select(col).distinct().limit(max_rows + 1).collect()]
+    return sorted(v for v in vals if v is not None) if len(vals) <= max_rows else None

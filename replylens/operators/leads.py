@@ -32,7 +32,7 @@ def align_to(df: DataFrame, columns: list[str], types: dict | None = None) -> Da
     """Same columns as the base, in its order: copy existing, null-fill missing, drop extra."""
     types = types or {}
     return df.select(*[
-        F.col(c) if c in df.columns else F.lit(None).cast(types.get(c, T.StringType())).alias(c)
+        F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(types.get(c, T.StringType())).alias(c)
         for c in columns
     ])
 
@@ -91,9 +91,12 @@ def prepare_new_leads(df, as_of, source_rank: int = 1) -> DataFrame | None:
 
 def coerce_history(df: DataFrame) -> DataFrame:
     """History snapshot (canonical names, text cells) -> typed rows. Only ISO dates
-    and 'H:M:S' times below 24 h survive; labels become codes."""
+    and 'H:M:S' times below 24 h survive; labels become codes (a foreign label
+    stays as it is). The history's own further columns are kept as text, after the
+    known ones: the history decides which columns a run writes."""
     d = rename_headers(df)
-    d = d.select(*[strip(F.col(c).cast("string")).alias(c) for c in d.columns])
+    own = [c for c in d.columns if c not in CANONICAL and c != S.ALT_LEAD_ID_HEADER and not c.startswith("_")]
+    d = d.select(*[strip(F.col(f"`{c}`").cast("string")).alias(c) for c in d.columns])
     out = d.select(
         F.col("executive").cast("string").alias("executive"),
         canonical_id(F.col("lead_id")).alias("lead_id"),
@@ -108,8 +111,9 @@ def coerce_history(df: DataFrame) -> DataFrame:
         (segment_from_label(F.col("entry_segment")) if "entry_segment" in d.columns else F.lit(None).cast("string")).alias("entry_segment"),
         F.lit(0).alias("source_rank"),
         (F.col("source_file") if "source_file" in d.columns else F.lit(None).cast("string")).alias("source_file"),
+        *[F.col(f"`{c}`") for c in own],
     )
-    return align_to(out, CANONICAL, _TYPES)
+    return align_to(out, CANONICAL + own, _TYPES)
 
 
 def consolidate(history: DataFrame, new_rows: list[DataFrame] | DataFrame | None) -> DataFrame:
@@ -161,7 +165,7 @@ def rank_key(keep: str = "history_first"):
 def dedupe_leads(df: DataFrame, keep: str = "history_first") -> DataFrame:
     """One row per non-null lead id (rows without id dropped)."""
     cols = df.columns
-    payload = F.struct(*[F.col(x) for x in cols])
+    payload = F.struct(*[F.col(f"`{x}`") for x in cols])
     return (
         df.where(F.col("lead_id").isNotNull())
         .groupBy("lead_id")
@@ -239,10 +243,15 @@ def map_executive(df: DataFrame, aliases: DataFrame, col: str = "executive") ->
         df.join(a, F.col(col) == F.col("_raw"), "left")
         .withColumn(col, F.coalesce(F.col("_to"), F.col(col)))
         .drop("_raw", "_to")
+        .select(*[F.col(f"`{c}`") for c in df.columns])
     )
 
 
-def build_leads(history: DataFrame, new_rows, keep: str = "history_first") -> DataFrame:
-    """Consolidate, normalise times, dedupe, score: the lead table of a run."""
+def build_leads(history: DataFrame, new_rows, keep: str = "history_first", aliases: DataFrame | None = None) -> DataFrame:
+    """Consolidate, normalise times, dedupe, score: the lead table of a run. ``aliases``
+    (the schedule's alias table) gives executives one name before the dedupe;
+    without it only the schedule is renamed."""
     merged = normalize_lead_times(consolidate(history, new_rows))
+    if aliases is not None:
+        merged = map_executive(merged, aliases)
     return score_leads(dedupe_leads(merged, keep))

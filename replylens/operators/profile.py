@@ -88,14 +88,16 @@ def kpi_score_rollup(df: DataFrame) -> DataFrame:
 
 def kpi_response_stats(df: DataFrame) -> DataFrame:
     """Per executive and entry segment: leads, answered share and response-time
-    statistics in seconds. The exact percentile keeps one counter per distinct
-    response second of a group (bounded by the time domain, not by rows) and
-    merges partial states map-side."""
-    secs = F.col("response_seconds").cast("double")
-    return df.groupBy("executive", "entry_segment").agg(
-        F.count(F.lit(1)).alias("leads"),
-        F.round(F.avg(F.when(F.col("response_seconds").isNotNull(), 1.0).otherwise(0.0)), 6).alias("answered_share"),
-        F.round(F.avg(secs), 3).alias("avg_seconds"),
-        F.round(F.percentile(secs, 0.5), 3).alias("median_seconds"),
-        F.round(F.percentile(secs, 0.9), 3).alias("p90_seconds"),
+    statistics in seconds. Rows are first counted per (group, second), where
+    every task adds up its own, so a large group reaches its exact weighted
+    percentile as one row per distinct second."""
+    secs, n = F.col("response_seconds").cast("double"), F.col("_n")
+    seconds = df.groupBy("executive", "entry_segment", "response_seconds").agg(F.count(F.lit(1)).alias("_n"))
+    answered = F.sum(F.when(F.col("response_seconds").isNotNull(), n).otherwise(0))
+    return seconds.groupBy("executive", "entry_segment").agg(
+        F.sum(n).alias("leads"),
+        F.round(answered / F.sum(n), 6).alias("answered_share"),
+        F.round(F.try_divide(F.sum(secs * n), answered), 3).alias("avg_seconds"),
+        F.round(F.percentile(secs, 0.5, n), 3).alias("median_seconds"),
+        F.round(F.percentile(secs, 0.9, n), 3).alias("p90_seconds"),
     )

@@ -158,7 +158,7 @@ oracle("message_dedupe", f"""
 WITH {CHAT_ROWS},
 r AS (
   SELECT contact, meta,
-         CASE WHEN starts_with(text, 'error') THEN '[AUDIO]' ELSE regexp_extract(text, '^(\\S+)', 1) END AS text,
+         CASE WHEN starts_with(text, 'error') THEN '[AUDIO]' ELSE trim(text) END AS text,
          CASE WHEN starts_with(text, 'error') THEN substr(replace(trim(text), chr(10), ' '), 1, 80) ELSE '' END AS preview
   FROM chat)
 SELECT contact, meta, text FROM (SELECT DISTINCT contact, meta, text, preview FROM r WHERE meta <> '' OR text <> '')""")
@@ -176,13 +176,12 @@ GROUP BY contact ORDER BY last_dt DESC, contact LIMIT 25""")
 
 oracle("capture_policy", f"""
 WITH {CHAT_ROWS},{CAPTURE_LOG}
-SELECT chat.contact, chat.dt, chat.author, log.status = 'timed_out' AS partial
-FROM chat JOIN log ON chat.contact = log.contact WHERE log.status IN ('ok')""")
+SELECT contact, dt, author, false AS partial FROM chat
+WHERE contact NOT IN (SELECT contact FROM log WHERE status = 'timed_out')""")
 
 oracle("capture_policy_keep_partial", f"""
 WITH {CHAT_ROWS},{CAPTURE_LOG}
-SELECT chat.contact, chat.dt, chat.author, log.status = 'timed_out' AS partial
-FROM chat JOIN log ON chat.contact = log.contact WHERE log.status IN ('ok', 'timed_out')""")
+SELECT contact, dt, author, contact IN (SELECT contact FROM log WHERE status = 'timed_out') AS partial FROM chat""")
 
 oracle("skip_processed", """
 SELECT DISTINCT 'contact ' || CAST(user_id AS VARCHAR) AS contact FROM events WHERE user_id % 4 = 0""")
@@ -215,7 +214,11 @@ oracle("date_in_text", f"""
 WITH {CHAT_ROWS}
 SELECT rtrim(meta) AS meta, CAST(ts AS DATE) AS found FROM chat""")
 
-oracle("chat_export_scan", ORACLE["meta_parse"])
+oracle("chat_export_scan", ORACLE["meta_parse"].replace("SELECT executive,", "SELECT 'Ana María 5% #1+ ' || executive AS executive,"))
+
+oracle("messages_csv_roundtrip", f"""
+WITH {CHAT_ROWS}
+SELECT DISTINCT contact, meta, text || ' said "hi", ok;' || chr(10) || '"x", \\ end' AS text FROM chat""")
 
 # Files are (inbox, message_id % 64); a file of inbox 2 holding a row with
 # message_id % 97 = 0 (unparsable timestamp) is skipped whole.
@@ -225,12 +228,11 @@ oracle("inbox_scan_skip_bad_files", f"""WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_IN
     "(SELECT DISTINCT message_id % 64 FROM inbox WHERE inbox_id = 2 AND message_id % 97 = 0))"))
 
 oracle("export_by_executive", f"""
-WITH r AS (WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT})
-SELECT executive, count(*) AS leads FROM r GROUP BY executive""")
+WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT}""")
 
 oracle("stream_message_dedupe", f"""
 WITH {CHAT_ROWS}
-SELECT DISTINCT contact, meta, regexp_extract(text, '^(\\S+)', 1) AS text FROM chat""")
+SELECT DISTINCT contact, meta, text FROM chat""")
 
 
 

@@ -34,3 +34,8 @@ def shared(fn):
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper
+
+
+def forget() -> None:
+    """Drop the memoized plans (plans only; no data is kept)."""
+    _MEMO.clear()

@@ -8,7 +8,6 @@ as the checkpoint dir, so every later call in the session agrees on it.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,6 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="replylens-ckpt-")
         sc.setCheckpointDir(root)
@@ -52,12 +53,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     base = checkpoint_root(spark)
     return f"{base}/replylens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs (tests only) can use the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

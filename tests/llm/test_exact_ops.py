@@ -176,7 +176,7 @@ def test_top_k_matches_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(0, 1, 6)]) for i in range(150)]
     rows += [(200 + i, rows[0][1]) for i in range(30)]                     # ties beyond k
-    odd = [(500, None), (501, [1.0, None, 0, 0, 0, 0]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (504, []), (505, [0.5, 0.25]), (506, [1.0, 2.0])]
+    odd = [(500, None), (501, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (504, []), (505, [0.5, 0.25]), (506, [1.0, 2.0])]
     df = spark.createDataFrame(rows + odd, "id long, vec array<double>")
     whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows + [(505, [0.5, 0.25]), (506, [1.0, 2.0])]]
     queries = [(i, v) for i, v in whole if i % 5 == 0]

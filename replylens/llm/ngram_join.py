@@ -98,30 +98,50 @@ class Shingler:
 FACTORS = mix(np.arange(1, SLOTS + 1, dtype="u8") * GOLD) | U(1)
 
 
-def tokens(shingles: np.ndarray) -> np.ndarray:
-    """SLOTS min-hash tokens of 16 bits."""
+def low_hashes(shingles: np.ndarray) -> np.ndarray:
+    """The SLOTS min-hash values, 64 bits."""
     low = np.full(SLOTS, np.iinfo("u8").max, "u8")
     with np.errstate(over="ignore"):
         for at in range(0, len(shingles), 2048):         # bounded memory for very long texts
             part = shingles[at:at + 2048]
             low = np.minimum(low, (part[None, :] * FACTORS[:, None]).min(axis=1))
-        return (mix(low) >> U(48)).astype("<u2")
+    return mix(low)
 
 
-def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, key (text hash; null without words), tokens (bytes)."""
+def tokens(low: np.ndarray) -> np.ndarray:
+    """Their 16-bit tokens: enough to compare sets that share a bucket."""
+    return (low >> U(48)).astype("<u2")
+
+
+def sketch(docs: DataFrame, runs: int) -> DataFrame:
+    """doc_id, key (text hash; null without words), tokens (bytes), paths (the first buckets of every run). The first
+    split uses whole hashes: with short tokens unrelated sets would meet more often the more sets there are."""
+    roots = [mix(np.array([r + 1], "u8") * GOLD)[0] for r in range(runs)]
+
     def run(batches):
         shingle = Shingler()
         for b in batches:
-            keys, toks = [], []
-            for text in b.column("text").to_pylist():
+            keys, low, at = [], [], []
+            for i, text in enumerate(b.column("text").to_pylist()):
                 s = shingle(text)
                 keys.append(xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")) if len(s) else None)
-                toks.append(tokens(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(toks, pa.binary())],
-                                             names=["doc_id", "key", "tokens"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, key binary, tokens binary")
+                if len(s):
+                    low.append(low_hashes(s))
+                    at.append(i)
+            low, at = np.array(low, "u8").reshape(-1, SLOTS), np.array(at, "i8")
+            parts = [split(np.full(len(low), r, "u8"), low) for r in roots]
+            rows = at[np.concatenate([p[0] for p in parts])]
+            order = np.argsort(rows, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=b.num_rows))]).astype("i4")
+            paths = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([p[1] for p in parts])[order].view("i8")))
+            toks = [None] * b.num_rows
+            for i, t in zip(at, tokens(low)):
+                toks[i] = t.tobytes()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(toks, pa.binary()), paths],
+                                             names=["doc_id", "key", "tokens", "paths"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, key binary, tokens binary, paths array<long>")
 
 
 def runs_for(recall: float = TARGET_RECALL, miss: float = MISS) -> int:
@@ -145,20 +165,6 @@ def _matrix(column, kind, width=None):
     return flat.reshape(len(column), -1 if width is None else width) if len(column) else flat.reshape(0, width or 0)
 
 
-def first_paths(sets: DataFrame, runs: int) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            toks, ids = _matrix(b.column("tokens"), "<u2", SLOTS), np.asarray(b.column("rep"))
-            for r in range(runs):
-                root = np.full(len(ids), mix(np.array([r + 1], "u8") * GOLD)[0], "u8")
-                rows, child = split(root, toks)
-                yield pa.RecordBatch.from_pydict({"path": child.view("i8"), "rep": ids[rows]})
-
-    return sets.select("rep", "tokens").mapInArrow(run, "path long, rep long")
-
-
 def next_paths(rows: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -170,11 +176,11 @@ def next_paths(rows: DataFrame) -> DataFrame:
     return rows.select("path", "rep", "tokens").mapInArrow(run, "path long, rep long")
 
 
-def leaves(sets: DataFrame, runs: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
+def leaves(sets: DataFrame, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
     """(path, rep, n): every bucket to brute-force with its sets; n sets in the bucket."""
-    found, rows = None, first_paths(sets, runs)
+    found, rows = None, sets.select("rep", F.explode("paths").alias("path"))
     for level in range(1, levels + 1):
-        rows = materialize(rows, "join-paths").distinct() if level > 1 else materialize(rows, "join-paths")
+        rows = materialize(rows, "join-paths").distinct() if level > 1 else rows
         n = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         rows = materialize(rows.join(n, "path"), "join-buckets")
         here = rows if level == levels else rows.where(F.col("n") <= leaf)
@@ -391,14 +397,17 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, recall: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id, text_id, n_copies, n_links for every document."""
-    marks = materialize(sketch(docs), "join-sketch")
-    # Exact copies: the tokens of one text are equal, so any of them serves.
+    marks = materialize(sketch(docs, runs_for(recall)), "join-sketch")
+    # Exact copies: the class takes the sketch of its smallest id (all are equal).
     classes = (marks.where("key is not null and doc_id is not null").groupBy("key")
-               .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.min("tokens").alias("tokens")))
-    sets = materialize(classes.groupBy("rep").agg(F.min("tokens").alias("tokens")), "join-sets")
-    found = materialize(tiles(leaves(sets, runs_for(recall), leaf), block), "join-tiles")
+               .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies")))
+    names = materialize(classes, "join-classes")
+    owners = names.groupBy("rep").agg(F.min("key").alias("key"))
+    own = marks.join(owners.withColumnRenamed("rep", "doc_id"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id"])
+    sets = materialize(own.select(F.col("doc_id").alias("rep"), "tokens", "paths"), "join-sets")
+    found = materialize(tiles(leaves(sets, leaf), block), "join-tiles")
     keyed = found.groupBy("rep").agg(F.collect_set("path").alias("paths"))
-    keyed = sets.join(keyed, "rep").mapInArrow(_sorted_keys, "rep long, tokens binary, keys binary")
+    keyed = sets.select("rep", "tokens").join(keyed, "rep").select("rep", "tokens", "paths").mapInArrow(_sorted_keys, "rep long, tokens binary, keys binary")
     tile = ["path", "ti", "tj"]
     rows = found.join(keyed, "rep").repartition(*tile).sortWithinPartitions(*tile)
     likely = materialize(screen(rows), "join-likely")
@@ -411,7 +420,7 @@ def near_duplicates(docs: DataFrame, recall: float = TARGET_RECALL, leaf: int =
     linked = materialize(verify(rows.repartition(*tile).sortWithinPartitions(*tile, "rep")), "join-links")
     n_links = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
     roots = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    named = (classes.select("key", "rep", "n_copies").join(n_links, "rep", "left")
+    named = (names.select("key", "rep", "n_copies").join(n_links, "rep", "left")
              .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("key", F.coalesce("root", "rep").alias("class_id"), F.col("rep").alias("text_id"), "n_copies",
                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))

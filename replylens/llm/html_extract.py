@@ -50,6 +50,8 @@ UNLIKELY = re.compile(
     r"consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscri\w+|signup|sign-up|login|sidebar\w*|side|aside|widget\w*|menu\w*|nav|"
     r"navbar|navigation|topbar|breadcrumbs?|pagination|pager|footer\w*|foot|masthead|header|share\w*|sharing|social|related|"
     r"recommend\w*|more-stories|trending|toolbar|skip-link|disclaimer|copyright|search|complementary|contentinfo)(?=$|[\s_-])", re.I)
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|responses?|repl(?:y|ies)|disqus|related|recommend\w*|teasers?|promo|"
+                     r"sponsor\w*)(?=$|[\s_-])", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text|blog)(?=$|[\s_-])", re.I)
 PRIOR = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0,
          "ol": -3.0, "ul": -3.0, "dl": -3.0, "li": -3.0, "address": -3.0, "th": -5.0}
@@ -111,6 +113,8 @@ def parse(page: str) -> Node:
         node = Node(tag, here, name)
         node.dropped = tag in DROPPED or _boiler(node, role)
         here.kids.append(node)
+        if tag in ("article", "main") and not node.dropped:
+            _holds_article(node)
         if tag in RAW:
             if lower is None:
                 lower = page.lower() if len(page.lower()) == n else page
@@ -148,12 +152,23 @@ def _inside(node: Node, *tags) -> bool:
 
 def _boiler(node: Node, role: str) -> bool:
     """Left out by name or role; the page's header element, but not an article's own."""
-    if node.tag in ("html", "body", "article", "main") or role == "main":
+    if node.tag in ("html", "body"):
         return False
+    if node.tag in ("article", "main") or role == "main":
+        return bool(node.name) and bool(READERS.search(node.name))
     if node.tag == "header":
         return not _inside(node, "article", "main")
-    return bool(node.name) and bool(UNLIKELY.search(node.name)) and not (node.tag in ("div", "section") and LIKELY.search(node.name)
-                                                                          and not re.search(r"comment|sidebar|footer|header|nav|menu|ad-|ads|related|share|notice", node.name, re.I))
+    return bool(node.name) and bool(UNLIKELY.search(node.name))
+
+
+def _holds_article(node: Node) -> None:
+    """An article inside an element of an unlikely name (a layout with a sidebar, say) speaks for that element,
+    unless it is about readers' comments or other articles."""
+    up = node.parent
+    while up is not None:
+        if up.dropped and up.tag not in DROPPED and not READERS.search(up.name):
+            up.dropped = False
+        up = up.parent
 
 
 def _blocks(node: Node):

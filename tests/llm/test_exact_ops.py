@@ -205,6 +205,12 @@ def test_main_text():
     assert html_extract.main_text(div) == "Some text, long, with, commas and words. More of it, and more."
 
 
+def test_names_that_mislead():
+    page = ("<div class='layout has-sidebar'><article class='post'><p>The text, as it is, of the article.</p></article>"
+            "<section id='comments'><article class='comment-body'><p>Reader, one, says, a lot, of, things, here.</p></article></section></div>")
+    assert html_extract.main_text(page) == "The text, as it is, of the article."
+
+
 @pytest.mark.parametrize("bad", ["<", "<p", "<p class='", "<!--", "<!-- x", "<script>", "</p>" * 50, "<div>" * 3000 + "x", "a < b > c", "&am", "<a b=\"" + "x" * 20000])
 def test_broken_pages_do_not_fail(bad):
     assert isinstance(html_extract.main_text(bad), str)

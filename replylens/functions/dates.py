@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from .text import col_of, strip
 
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}$"
-DMY_LENIENT = r"^\d{1,2}/\d{1,2}/\d{4}$"
-DMY_STRICT = r"^\d{2}/\d{2}/\d{4}$"
-ISO_DATE_LOOSE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-
 
 def _as_date(as_of) -> _dt.date:
     if isinstance(as_of, _dt.datetime):
@@ -48,12 +42,12 @@ def normalize_date(c, as_of=None, strict: bool = False) -> Column:
     s = strip(col_of(c).cast("string"))
     if as_of is not None and not strict:
         s = resolve_relative(s, as_of)
-    dmy = DMY_STRICT if strict else DMY_LENIENT
+    dmy = S.DMY_STRICT if strict else S.DMY_LENIENT
     one_space = F.regexp_replace(s, r"\s+", " ")
     return (
         F.when(s.rlike(dmy), F.try_to_date(s, "d/M/yyyy"))
-        .when(s.rlike(ISO_DATE), F.try_to_date(s, "yyyy-MM-dd"))
-        .when(s.rlike(ISO_DATETIME),
+        .when(s.rlike(S.ISO_DATE), F.try_to_date(s, "yyyy-MM-dd"))
+        .when(s.rlike(S.ISO_DATETIME),
               F.to_date(F.try_to_timestamp(one_space, F.lit("yyyy-MM-dd HH:mm:ss"))))
     )
 
@@ -61,7 +55,7 @@ def normalize_date(c, as_of=None, strict: bool = False) -> Column:
 def coerce_iso_date(c) -> Column:
     """History cells: only ``yyyy-m-d`` text is a date, anything else null."""
     s = strip(col_of(c).cast("string"))
-    return F.when(s.rlike(ISO_DATE_LOOSE), F.try_to_date(s, "yyyy-M-d"))
+    return F.when(s.rlike(S.ISO_DATE_LOOSE), F.try_to_date(s, "yyyy-M-d"))
 
 
 def sheet_date(c) -> Column:
@@ -73,7 +67,7 @@ def sheet_date(c) -> Column:
               F.to_date(F.coalesce(
                   F.try_to_timestamp(F.regexp_replace(s, "T", " "), F.lit("yyyy-M-d H:mm:ss")),
                   F.try_to_timestamp(F.regexp_replace(s, "T", " "), F.lit("yyyy-M-d H:mm")))))
-        .when(s.rlike(DMY_LENIENT), F.try_to_date(s, "d/M/yyyy"))
+        .when(s.rlike(S.DMY_LENIENT), F.try_to_date(s, "d/M/yyyy"))
     )
 
 

@@ -40,9 +40,10 @@ def prepare_inbox(messages: DataFrame, dim_inbox: DataFrame, offset_hours: int =
     return m.join(bounded_broadcast(dim_inbox.select("inbox_id", "executive")), "inbox_id", "inner")
 
 
-def _key():
-    # Order inside a conversation: time, then message id, sender and content (ties).
-    return F.struct("sent_at", "message_id", "sender_type", "content")
+def _key(has_id: bool):
+    # Order inside a conversation: time, then message id and sender; whole contents only break
+    # ties of exports without ids, so they usually stay out of the sort key and the shuffle.
+    return F.struct("sent_at", "message_id", "sender_type", *([] if has_id else ["content"]))
 
 
 def inbox_first_response(messages: DataFrame, dim_inbox: DataFrame, *, since=None, until=None,
@@ -58,7 +59,7 @@ def inbox_first_response(messages: DataFrame, dim_inbox: DataFrame, *, since=Non
       ``"strict"``: earliest non-system agent row after the first real message.
     """
     m = prepare_inbox(messages, dim_inbox, offset_hours)
-    m = m.withColumn("_sys", is_system_message("content", markers)).withColumn("_k", _key())
+    m = m.withColumn("_sys", is_system_message("content", markers)).withColumn("_k", _key("message_id" in messages.columns))
     agent = F.col("sender_type") == S.SENDER_AGENT
     conv = ["conversation_id"]
     firsts = m.groupBy(*conv).agg(

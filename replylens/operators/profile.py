@@ -5,22 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions import strip
 
-# Date-text patterns reported by the profile, in report order (fixed values).
-DATE_PATTERNS = [
-    ("YYYY-MM-DD", r"^\d{4}-\d{2}-\d{2}$"),
-    ("DD-MM-YYYY", r"^\d{2}-\d{2}-\d{4}$"),
-    ("DD/MM/YYYY", r"^\d{2}/\d{2}/\d{4}$"),
-    ("YYYY-MM-DD HH:MM:SS", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
-    ("DD/MM/YYYY HH:MM:SS", r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$"),
-]
 UNMATCHED = "unmatched"
 
 
 def _pattern_label(c):
     expr = None
-    for name, pat in DATE_PATTERNS:
+    for name, pat in S.DATE_PATTERNS:
         expr = F.when(c.rlike(pat), F.lit(name)) if expr is None else expr.when(c.rlike(pat), F.lit(name))
     return expr.otherwise(F.lit(UNMATCHED))
 

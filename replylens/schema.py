@@ -118,13 +118,6 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuuncy"
 # Canonical schemas
 # --------------------------------------------------------------------------
 
-# Raw chat export file: all text, fixed three columns.
-CHAT_EXPORT_SCHEMA = T.StructType([
-    T.StructField("contact", T.StringType()),
-    T.StructField("meta", T.StringType()),
-    T.StructField("text", T.StringType()),
-])
-
 # Inbox message export (after typing).
 INBOX_SCHEMA = T.StructType([
     T.StructField("message_id", T.LongType()),
@@ -136,11 +129,19 @@ INBOX_SCHEMA = T.StructType([
     T.StructField("content", T.StringType()),
 ])
 
-# One row per conversation: the output of both first-response operators.
-LEAD_COLUMNS = [
-    "executive", "lead_id", "has_inbound", "has_outbound",
-    "in_date", "in_time", "out_date", "out_time",
+# Date-text patterns reported by the profile, in report order, and those the parsers accept.
+DATE_PATTERNS = [
+    ("YYYY-MM-DD", r"^\d{4}-\d{2}-\d{2}$"),
+    ("DD-MM-YYYY", r"^\d{2}-\d{2}-\d{4}$"),
+    ("DD/MM/YYYY", r"^\d{2}/\d{2}/\d{4}$"),
+    ("YYYY-MM-DD HH:MM:SS", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
+    ("DD/MM/YYYY HH:MM:SS", r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$"),
 ]
+ISO_DATE = DATE_PATTERNS[0][1]
+DMY_STRICT = DATE_PATTERNS[2][1]
+ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}$"
+DMY_LENIENT = r"^\d{1,2}/\d{1,2}/\d{4}$"
+ISO_DATE_LOOSE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 # Full lead schema after consolidation and scoring.
 LEAD_SCHEMA = T.StructType([
@@ -159,15 +160,6 @@ LEAD_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
 ])
 
-# Headerless schedule sheet, read positionally.
-SHEET_SCHEMA = T.StructType([
-    T.StructField("sheet", T.StringType()),
-    T.StructField("row_no", T.LongType()),
-    T.StructField("c0", T.StringType()),
-    T.StructField("c1", T.StringType()),
-    T.StructField("c2", T.StringType()),
-])
-
 # Calendar rules: null fields are wildcards; lowest priority wins.
 # action: "off" (no shift that day), "hours" (start/end given), "default"
 # (hours of the shift keyword), "cutoff" (global early close at `end`).
@@ -183,8 +175,3 @@ SHIFT_RULE_SCHEMA = T.StructType([
     T.StructField("end", T.StringType()),
 ])
 
-CAPTURE_LOG_SCHEMA = T.StructType([
-    T.StructField("contact", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("messages", T.LongType()),
-])

@@ -239,7 +239,3 @@ def capture_log(events: DataFrame) -> DataFrame:
     return per.where(uid % 4 != 0).select(
         F.concat(F.lit("contact "), uid.cast("string")).alias("contact"), status.alias("status"),
         F.when(status.isin("ok", "timed_out"), F.col("messages")).otherwise(F.lit(0)).cast("bigint").alias("messages"))
-
-
-def executives() -> list[str]:
-    return list(TEST_EXECUTIVES)

@@ -350,7 +350,7 @@ def _window_numbers(text: str) -> list[int]:
     return sorted(found)
 
 
-def train(docs: DataFrame, max_docs: int = MAX_DOCS):
+def train(docs: DataFrame, max_docs: int = MAX_DOCS, made: int = MADE_UP, epochs: int = EPOCHS):
     """The network, from a bounded sample of documents that hold an anchor and from made-up spans."""
     some = docs.where(F.col("text").rlike("[0-9@]"))
     ids = bounded_ids(some, "doc_id", max_docs, "pii")
@@ -379,8 +379,8 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS):
     got = sorted((r["doc_id"], r["piece"], r["spans"]) for r in got)
     real = [(p, [tuple(map(int, s.split(":"))) for s in sp.split(",")] if sp else []) for _, p, sp in got]
     words = sorted({w for p, _ in real for w in p.split() if w.isalpha()})[:2000]
-    x, y, live = labelled_windows(real[: 2 * max_docs] + made_up(words))
-    return fit(x, y, live)
+    x, y, live = labelled_windows(real[: 2 * max_docs] + made_up(words, made))
+    return fit(x, y, live, epochs)
 
 
 # --- search --------------------------------------------------------------------------------------------------

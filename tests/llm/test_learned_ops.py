@@ -92,7 +92,7 @@ def test_odd_inputs(spark, odd_docs, no_docs):
         assert len(found) == n
         und = {r["doc_id"] for r in found if r["lang_pred"] == "und"}
         assert und == ({2, 3, 4, 6} if n else set())
-        model = pii.train(docs)
+        model = pii.train(docs, made=60, epochs=1)
         assert pii.find(docs, model).count() == n
         assert sorted(map(str, pii.masked_documents(docs, model).select("doc_id", "lang", "score").collect())) == sorted(map(str, docs.select("doc_id", "lang", "score").collect()))
 

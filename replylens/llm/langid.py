@@ -29,57 +29,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 PROFILE = 400
-FLUSH = 200_000                  # distinct n-grams or words a worker holds at most
+FLUSH = 200_000                  # distinct words of a language a worker holds before it passes their counts on
 # A text whose best distance is above this share of the largest is like none of the languages.
 REJECT_ABOVE = 0.98
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def word_grams(word: str) -> np.ndarray:
-    """Codes (21 bits a character) of the 1- to 3-grams of a padded word; the pad alone is none."""
-    c = np.frombuffer(f" {word} ".encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    return np.concatenate([c[1:-1], (c[:-1] << 21) | c[1:], (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]])
-
-
-class Grams:
-    """word -> n-gram codes, remembered up to FLUSH words."""
-
-    def __init__(self):
-        self.known = {}
-
-    def __call__(self, word):
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) >= FLUSH:
-                self.known.clear()
-            got = self.known[word] = word_grams(word)
-        return got
-
-    def counts(self, words: Counter):
-        """(codes ascending, counts) of a bag of words."""
-        parts = [self(w) for w in words]
-        codes = np.concatenate(parts)
-        weight = np.repeat(np.fromiter(words.values(), "i8", len(words)), [len(p) for p in parts])
-        codes, at = np.unique(codes, return_inverse=True)
-        return codes, np.bincount(at, weights=weight).astype("i8")
+def gram_counts(words: Counter):
+    """(codes ascending, counts) of the 1- to 3-grams (21 bits a character) of a bag of words, each padded with a
+    blank on either side; the pad alone is none. The distinct words are laid out as one text and cut at once."""
+    c = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    times, size = np.fromiter(words.values(), "i8", len(words)), np.fromiter(map(len, words), "i8", len(words))
+    w = np.concatenate([[0], np.repeat(times, size + 1)])          # a character counts as often as its word
+    inner = c != 32
+    mid = inner[1:-1]                                              # a blank in the middle would join two words
+    codes = np.concatenate([c[inner], (c[:-1] << 21) | c[1:], ((c[:-2] << 42) | (c[1:-1] << 21) | c[2:])[mid]])
+    weight = np.concatenate([w[inner], np.where(inner[:-1], w[:-1], w[1:]), w[1:-1][mid]])
+    order = np.argsort(codes, kind="stable")
+    codes, weight = codes[order], weight[order]
+    first = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1])
+    return codes[first], np.add.reduceat(weight, first)
 
 
 def train(docs: DataFrame, lang: Column, profile: int = PROFILE) -> list[tuple[str, int, int]]:
     """(lang, n-gram code, rank from 0) of every language's profile, from all rows of ``docs``."""
     def count(batches):
-        grams, held = Grams(), {}
+        held = {}
         for b in batches:
             for text, name in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
                 words = held.setdefault(name, Counter())
                 words.update(LETTERS.findall(text.lower()))
                 if len(words) > FLUSH:
-                    yield emit(grams, name, held.pop(name))
+                    yield emit(name, held.pop(name))
         for name, words in held.items():
             if words:
-                yield emit(grams, name, words)
+                yield emit(name, words)
 
-    def emit(grams, name, words):
-        codes, n = grams.counts(words)
+    def emit(name, words):
+        codes, n = gram_counts(words)
         return pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(codes), pa.string()), "gram": codes, "n": n})
 
     rows = docs.select(F.col("text"), lang.alias("lang")).where("text is not null and lang is not null")
@@ -99,10 +86,13 @@ def rank_table(profiles, size: int = PROFILE):
     return langs, codes, ranks
 
 
-def distances(words: Counter, grams: Grams, codes: np.ndarray, ranks: np.ndarray, size: int = PROFILE) -> np.ndarray:
+def distances(words: Counter, codes: np.ndarray, ranks: np.ndarray, size: int = PROFILE) -> np.ndarray:
     """Out-of-place distance of a bag of words to every language, as a share of the largest possible."""
-    own, n = grams.counts(words)
-    top = own[np.lexsort((own, -n))][:size]
+    own, n = gram_counts(words)
+    if len(n) > size:                                  # only these can be among the most frequent
+        keep = n >= np.partition(n, len(n) - size)[len(n) - size]
+        own, n = own[keep], n[keep]
+    top = own[np.argsort(-n, kind="stable")][:size]    # codes ascend, so equal counts are in code order
     at = np.minimum(np.searchsorted(codes, top), len(codes) - 1)
     known = codes[at] == top
     there = np.where(known[:, None], ranks[at], size)
@@ -120,7 +110,6 @@ def predict(docs: DataFrame, profiles, extra: list[str], size: int = PROFILE, re
     langs, codes, ranks = rank_table(profiles, size)
 
     def score(batches):
-        grams = Grams()
         for b in batches:
             pred, conf, dist = [], [], []
             for text in b.column("text").to_pylist():
@@ -128,7 +117,7 @@ def predict(docs: DataFrame, profiles, extra: list[str], size: int = PROFILE, re
                 if not words:
                     pred.append("und"), conf.append(0.0), dist.append(1.0)
                     continue
-                d = distances(words, grams, codes, ranks, size)
+                d = distances(words, codes, ranks, size)
                 best = int(np.argmin(d))
                 rest = np.delete(d, best).min() if len(langs) > 1 else 1.0
                 pred.append(langs[best]), dist.append(float(d[best]))

@@ -71,7 +71,7 @@ def test_out_of_place_distance_by_brute_force():
     profiles = [(lang, c, r) for lang, t in texts.items() for r, c in enumerate(ranked(grams(t), size))]
     langs, codes, ranks = langid.rank_table(profiles, size)
     text = "the dog and the house"
-    got = langid.distances(Counter(text.split()), langid.Grams(), codes, ranks, size)
+    got = langid.distances(Counter(text.split()), codes, ranks, size)
     for j, lang in enumerate(langs):
         place = {c: r for r, c in enumerate(ranked(grams(texts[lang]), size))}
         own = ranked(grams(text), size)

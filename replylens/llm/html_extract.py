@@ -4,7 +4,11 @@ A small tolerant reader builds the tree (implied ends of paragraphs, list items
 and table cells; void elements; raw script and style text; a page cut off at any
 place). Blocks that are not the article's text by kind or by name (menus, page
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments)
-are left out. Every block of text passes points to its ancestors: one, plus one
+are left out. A name is read word by word: a word that tells a state ("no-sidebar",
+"comments-open") says nothing, and a word of an article's name ("content", "post")
+speaks for the element. An element with an unlikely name, or a form, that holds most
+of the unlinked text around it stays (readers' comments and cookie notices do not),
+and when nothing is left the names are not used at all. Every block of text passes points to its ancestors: one, plus one
 a comma, plus up to three for length; the parent gets all, the grandparent half,
 further ancestors less. A container's points are discounted by the share of its
 text inside links. The best container is kept, widened to the article or main
@@ -40,6 +44,7 @@ CLOSES_P = BLOCK - frozenset("body html li td th tr tbody thead tfoot dd dt".spl
 DROPPED = frozenset(
     "script style noscript template head title nav footer aside form iframe object embed button select textarea input svg math "
     "canvas audio video dialog menu noembed noframes xmp".split())
+SOFT = frozenset(["form"])       # left out by kind, unless it holds the page
 # A start tag of the key ends an open element of the values, unless one of the walls stands between.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "thead", "tr", "td", "th")}
@@ -52,6 +57,11 @@ UNLIKELY = re.compile(
     r"recommend\w*|more-stories|trending|toolbar|skip-link|disclaimer|copyright|search|complementary|contentinfo)(?=$|[\s_-])", re.I)
 READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|responses?|repl(?:y|ies)|disqus|related|recommend\w*|teasers?|promo|"
                      r"sponsor\w*)(?=$|[\s_-])", re.I)
+# Words that tell how the page looks or works, not what the element is.
+STATE = re.compile(r"^(?:has|no|with|without)[_-]|[_-](?:open|opened|closed|enabled|disabled)$", re.I)
+OWN_HEADER = re.compile(r"(?:^|[_-])(?:article\w*|post|entry|story)(?=$|[\s_-])", re.I)
+HEADER = re.compile(r"(?<![^_-])header(?![^_-])", re.I)
+NEVER = re.compile(r"(?:^|[\s_-])(?:cookies?\w*|consent|gdpr)(?=$|[\s_-])", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text|blog)(?=$|[\s_-])", re.I)
 PRIOR = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0,
          "ol": -3.0, "ul": -3.0, "dl": -3.0, "li": -3.0, "address": -3.0, "th": -5.0}
@@ -72,9 +82,10 @@ def _names(attrs: str) -> tuple[str, str]:
     return " ".join(found.values()), found.get("role", "")
 
 
-def parse(page: str) -> Node:
-    """The tree of a page; kids are nodes and strings (already decoded)."""
-    root = Node("#root", None)
+def parse(page: str) -> tuple[Node, list[Node]]:
+    """The tree of a page, and the elements left out by name (or as a form) in page order; kids are nodes and
+    strings (already decoded)."""
+    root, suspects = Node("#root", None), []
     here, at, n = root, 0, len(page)
     lower = None
     while at < n:
@@ -113,6 +124,8 @@ def parse(page: str) -> Node:
         node = Node(tag, here, name)
         node.dropped = tag in DROPPED or _boiler(node, role)
         here.kids.append(node)
+        if node.dropped and (tag in SOFT or tag not in DROPPED):
+            suspects.append(node)
         if tag in ("article", "main") and not node.dropped:
             _holds_article(node)
         if tag in RAW:
@@ -127,7 +140,7 @@ def parse(page: str) -> Node:
             at = n if close < 0 else close + 1
         elif tag not in VOID and not attrs.endswith("/") or tag in BLOCK and tag not in VOID:
             here = node
-    return root
+    return root, suspects
 
 
 def _open(node: Node, tag: str, walls=frozenset()):
@@ -154,23 +167,82 @@ def _boiler(node: Node, role: str) -> bool:
     """Left out by name or role; the page's header element, but not an article's own."""
     if node.tag in ("html", "body"):
         return False
-    if node.tag in ("article", "main") or role == "main":
-        return bool(node.name) and bool(READERS.search(node.name))
     if node.tag == "header":
-        return not _inside(node, "article", "main")
-    return bool(node.name) and bool(UNLIKELY.search(node.name))
+        return not _in_article(node)
+    if not node.name or not UNLIKELY.search(node.name) and not READERS.search(node.name):
+        return False
+    words = [w for w in node.name.split() if not STATE.search(w)]
+    first = [w for w in words if (m := READERS.search(w)) and m.start() == 0]
+    likely = any(LIKELY.search(w) and not UNLIKELY.search(w) and not READERS.search(w) for w in words)
+    if likely and not first:
+        return False
+    if node.tag in ("article", "main") or role == "main":
+        return any(READERS.search(w) for w in words)
+    # "article-header", or any header inside an article, is the article's own.
+    bad = [w for w in words if UNLIKELY.search(HEADER.sub("", w) if OWN_HEADER.search(w) or HEADER.search(w) and _in_article(node) else w)]
+    return bool(bad)
+
+
+def _in_article(node: Node) -> bool:
+    """Inside an article or main element, or one with an article's name."""
+    up = node.parent
+    while up is not None:
+        if up.tag in ("article", "main") or up.name and up.tag not in ("html", "body") and any(
+                OWN_HEADER.search(w) and not UNLIKELY.search(w) for w in up.name.split() if not STATE.search(w)):
+            return True
+        up = up.parent
+    return False
 
 
 def _holds_article(node: Node) -> None:
-    """An article inside an element of an unlikely name (a layout with a sidebar, say) speaks for that element,
-    unless it is about readers' comments or other articles."""
+    """An article inside an element of an unlikely name (a layout with a sidebar, say) or inside a form speaks for
+    that element, unless it is about readers' comments or other articles."""
     up = node.parent
     while up is not None:
-        if up.dropped and up.tag not in DROPPED and not READERS.search(up.name):
+        if up.dropped and (up.tag in SOFT or up.tag not in DROPPED) and not READERS.search(up.name):
             up.dropped = False
         up = up.parent
 
 
+def _may_stay(node: Node) -> bool:
+    """Whether an element left out by name can stay for the text it holds."""
+    return node.tag in SOFT or node.tag not in DROPPED and not READERS.search(node.name) and not NEVER.search(node.name)
+
+
+def _prose(node: Node) -> int:
+    """Unlinked characters of a subtree, with the elements whose names do not settle the case."""
+    chars, stack = 0, [node]
+    while stack:
+        for kid in stack.pop().kids:
+            if isinstance(kid, str):
+                chars += len(" ".join(kid.split()))
+            elif kid.tag != "a" and (not kid.dropped or _may_stay(kid)):
+                stack.append(kid)
+    return chars
+
+
+def _keep_prose(suspects: list[Node], blocks) -> bool:
+    """Take back in the elements that hold most of the unlinked text around them: of the article or main element they
+    are in, or of a page whose article and main elements (if any) hold no text. True if any was."""
+    marked = any(linked < len(text) and (block.tag in ("article", "main") or _inside(block, "article", "main")) for block, text, linked in blocks)
+    whole, changed = {}, False
+    for node in suspects:
+        if not node.dropped or not _may_stay(node):
+            continue
+        up = scope = node.parent
+        inner = False
+        while up is not None and not up.dropped:
+            inner = inner or up.tag in ("article", "main")
+            scope, up = (scope if scope.tag in ("article", "main") else up), up.parent
+        if up is not None or marked and not inner:        # inside another one that is left out, or beside the article
+            continue
+        if id(scope) not in whole:
+            whole[id(scope)] = _prose(scope)
+        if 2 * _prose(node) > whole[id(scope)]:
+            node.dropped, changed = False, True
+    return changed
+
+
 def _blocks(node: Node):
     """(block element, text, linked characters) of a subtree in page order; white space folded, empty blocks left out."""
     out, parts, linked, stack = [], [], 0, [(node, iter(node.kids), node)]
@@ -222,8 +294,14 @@ def main_text(page: str | None) -> str:
     """The page's main text ('' if none)."""
     if not page or not page.strip():
         return ""
-    root = parse(page)
+    root, suspects = parse(page)
     blocks = _blocks(root)
+    if suspects and _keep_prose(suspects, blocks):
+        blocks = _blocks(root)
+    if not blocks:
+        for node in suspects:
+            node.dropped = False
+        blocks = _blocks(root)
     if not blocks:
         return ""
     scored = {}

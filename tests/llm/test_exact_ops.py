@@ -211,6 +211,35 @@ def test_names_that_mislead():
     assert html_extract.main_text(page) == "The text, as it is, of the article."
 
 
+BODY = "<p>The text, as it is, of the story.</p><p>More of it, and it goes on, for a while.</p>"
+BODY_TEXT = "The text, as it is, of the story. More of it, and it goes on, for a while."
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id='content' class='no-sidebar'>{BODY}</div>",
+    f"<div class='post comments-open'>{BODY}</div>",
+    f"<div class='layout has-sidebar'><div class='entry'>{BODY}</div><div class='sidebar'>Side text.</div></div><p><a href=1>Home</a></p>",
+    f"<form action='x'><div class='menu'><a href=1>a</a></div><div>{BODY}</div><input></form>",
+    f"<form action='x'><main>{BODY}</main></form>",
+    f"<div class='sidebar-right'><div>{BODY}</div><div class='sidebar'>Side text.</div></div><div><a href=1>Home</a></div>",
+    f"<div class='related'><div class='comments'>{BODY}</div></div>",
+    f"<article class='post category-related comments-open'>{BODY}</article>",
+    f"<article><div class='content-with-sidebar search'>{BODY}</div></article>",
+    f"<div class='cookie-consent'>{'We use cookies, and we like them. ' * 9}</div><div class='c'>{BODY}</div>",
+    f"<div class='c'>{BODY}</div><div class='comments'>{'I say, that is, so good. ' * 20}</div>",
+    f"<div class='c'>{BODY}</div><div class='post-comments'>{'I say, that is, so good. ' * 20}</div>",
+    f"<article>{BODY}</article><div class='sidebar'>{'Side text, long, and so on. ' * 20}</div>",
+])
+def test_unlikely_names_without_marked_article(page):
+    assert html_extract.main_text(f"<html><body>{page}</body></html>") == BODY_TEXT
+
+
+def test_own_headline():
+    for head in ("<div class='article-header'><h1>Head</h1></div>", "<div class='header'><h1>Head</h1></div>", "<header><h1>Head</h1></header>"):
+        assert html_extract.main_text(f"<article>{head}{BODY}</article>") == "Head " + BODY_TEXT
+        assert html_extract.main_text(f"<div class='header'>Site</div><div class='post'>{head}{BODY}</div>") == "Head " + BODY_TEXT
+
+
 @pytest.mark.parametrize("bad", ["<", "<p", "<p class='", "<!--", "<!-- x", "<script>", "</p>" * 50, "<div>" * 3000 + "x", "a < b > c", "&am", "<a b=\"" + "x" * 20000])
 def test_broken_pages_do_not_fail(bad):
     assert isinstance(html_extract.main_text(bad), str)

@@ -12,8 +12,10 @@ and when nothing is left the names are not used at all. Every block of text pass
 a comma, plus up to three for length; the parent gets all, the grandparent half,
 further ancestors less. A container's points are discounted by the share of its
 text inside links. The best container is kept, widened to the article or main
-element around it, with those of its siblings that score a fifth as much or are
-paragraphs of plain text.
+element around it; without one, to its parent and to the elements further out as
+long as others in them hold prose too. On that way everything beside it stays, bare
+text as well, except what is mostly links and, directly in the body, what is neither
+prose nor a kind of text.
 
 Text of a block has white space folded and references decoded; blocks are
 joined in page order by one space. Nothing is capped.
@@ -63,6 +65,8 @@ OWN_HEADER = re.compile(r"(?:^|[_-])(?:article\w*|post|entry|story)(?=$|[\s_-])"
 HEADER = re.compile(r"(?<![^_-])header(?![^_-])", re.I)
 NEVER = re.compile(r"(?:^|[\s_-])(?:cookies?\w*|consent|gdpr)(?=$|[\s_-])", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text|blog)(?=$|[\s_-])", re.I)
+ARTICLE_NAME = re.compile(r"(?:^|\s)(?:article|post|entry|story|content|main)(?=$|\s)", re.I)
+TEXT_KINDS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table section figure details".split())
 PRIOR = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0,
          "ol": -3.0, "ul": -3.0, "dl": -3.0, "li": -3.0, "address": -3.0, "th": -5.0}
 
@@ -325,23 +329,66 @@ def main_text(page: str | None) -> str:
         if up.tag in ("article", "main"):
             top = up
         up = up.parent
-    kept = [top]
-    if top.tag not in ("article", "main") and top.parent is not None:
-        kept = []
-        for kid in top.parent.kids:
-            if isinstance(kid, Node) and not kid.dropped and (kid is top or _sibling(kid, top, scored)):
-                kept.append(kid)
-    return " ".join(text for part in kept for _, text, _ in _blocks(part))
-
-
-def _sibling(kid: Node, top: Node, scored) -> bool:
-    if id(kid) in scored and kid.points >= max(10.0, 0.2 * top.points):
-        return True
-    if kid.tag not in ("p", "pre", "blockquote", "h1", "h2", "h3"):
-        return False
-    got = _blocks(kid)
+    if top.tag not in ("article", "main"):
+        top = _widen(best, scored)
+    return " ".join(text for _, text, _ in _blocks(top))
+
+
+def _widen(best: Node, scored) -> Node:
+    """The element around the best container that holds the whole article; what does not belong to it inside that
+    element is marked as dropped."""
+    top, node = best, best
+    while node.parent is not None:
+        up = node.parent
+        units = _units(up, node)
+        whole = ARTICLE_NAME.search(node.name) and not any(isinstance(k, Node) and k is not node and k.name == node.name for k in up.kids)
+        if whole and node is not best:
+            break
+        judged = [(True, 0) if u[0] is node else _judge(u, best, scored) for u in units]
+        keep = [ok for ok, _ in judged]
+        if up.tag in ("#root", "html", "body"):
+            sure = [ok and (u[0] is node or longest >= 40 or isinstance(u[0], Node) and u[0].tag in TEXT_KINDS) for u, (ok, longest) in zip(units, judged)]
+            first, last = sure.index(True), len(sure) - 1 - sure[::-1].index(True)
+            # Bare words between two kept parts belong to them.
+            keep = [yes or ok and first < k < last and not (isinstance(u[0], Node) and u[0].tag in BLOCK)
+                    for k, (u, yes, ok) in enumerate(zip(units, sure, keep))]
+        if node is best or any(yes and longest >= 80 for yes, (_, longest) in zip(keep, judged)):
+            top = up
+        up.kids = []
+        for unit, yes in zip(units, keep):
+            if not yes:
+                out = Node("div" if isinstance(unit[0], Node) and unit[0].tag in BLOCK else "span", up)
+                out.kids, out.dropped = unit, True
+                unit = [out]
+            up.kids += unit
+        if whole:
+            break
+        node = up
+    return top
+
+
+def _units(up: Node, node: Node) -> list[list]:
+    """The kids of an element as blocks (and ``node``) of their own and runs of bare text with the inline elements in it."""
+    units, open_run = [], False
+    for kid in up.kids:
+        alone = kid is node or isinstance(kid, Node) and kid.tag in BLOCK
+        if alone or not open_run:
+            units.append([])
+        units[-1].append(kid)
+        open_run = not alone
+    return units
+
+
+def _judge(unit: list, best: Node, scored) -> tuple[bool, int]:
+    """Whether a neighbour of the best container is text rather than links, and its longest block of unlinked text."""
+    if isinstance(unit[0], Node) and unit[0].dropped and len(unit) == 1:
+        return True, 0
+    holder = Node("#run", None)
+    holder.kids = unit
+    got = _blocks(holder)
     chars, linked = sum(len(t) for _, t, _ in got), sum(x for _, _, x in got)
-    return chars > 0 and linked < 0.25 * chars
+    strong = len(unit) == 1 and id(unit[0]) in scored and unit[0].points >= max(10.0, 0.2 * best.points)
+    return strong or 2 * linked < chars or chars == 0, max((len(t) - x for _, t, x in got), default=0)
 
 
 def extract(pages: DataFrame) -> DataFrame:

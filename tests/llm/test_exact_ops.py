@@ -240,6 +240,35 @@ def test_own_headline():
         assert html_extract.main_text(f"<div class='header'>Site</div><div class='post'>{head}{BODY}</div>") == "Head " + BODY_TEXT
 
 
+LONG = "<p>" + "One more word, and then, so it goes on and on. " * 6 + "</p>"
+SHORT = ["<section><h2>Second</h2><p>" + "A shorter part, with less to say, that counts. " * 3 + "</p></section>", "<section><p>Short.</p></section>",
+         "<h4>Small head</h4>", "<ul><li>first</li><li>second</li></ul>", "<table><tr><td>a</td><td>b</td></tr></table>", "bare <b>words</b> here"]
+
+
+def plain(markup):
+    return " ".join(re.sub(r"</?(?:b|a)\b[^>]*>", "", markup).replace("<", " <").replace(">", "> ").split())
+
+
+def words_of(markup):
+    return re.sub(r"<[^>]*>", " ", plain(markup)).split()
+
+
+@pytest.mark.parametrize("around", ["<div>%s</div>", "<div class='c'>%s</div><div class='menu'>m</div>", "%s"])
+def test_sections_without_marked_article(around):
+    story = f"<section>{LONG * 10}</section>" + "".join(SHORT) + f"<section>{LONG}</section>"
+    links = "<ul><li><a href=1>Other</a></li><li><a href=2>Pages</a></li></ul>"
+    got = html_extract.main_text(f"<html><body>{around % (story + links)}</body></html>")
+    assert got.split() == words_of(story)
+
+
+def test_rows_of_sections():
+    story = "".join(f"<div class='row'><div>{p}</div></div>" for p in (LONG * 10, LONG, SHORT[0], SHORT[3]))
+    page = f"<body><div>Tag line</div><div id='wrap'><div>{story}</div></div><div>Imprint</div></body>"
+    assert html_extract.main_text(page).split() == words_of(story)
+    many = "".join(f"{i} <p>Part {i}, short.</p>" for i in range(20000))
+    assert html_extract.main_text(f"<div><section>{LONG * 10}</section>{many}</div>").count("short.") == 20000
+
+
 @pytest.mark.parametrize("bad", ["<", "<p", "<p class='", "<!--", "<!-- x", "<script>", "</p>" * 50, "<div>" * 3000 + "x", "a < b > c", "&am", "<a b=\"" + "x" * 20000])
 def test_broken_pages_do_not_fail(bad):
     assert isinstance(html_extract.main_text(bad), str)

@@ -11,7 +11,10 @@ A text is read in windows of ``WINDOW`` characters that overlap by half. A span
 these kinds needs a digit, an @ or an "(at)", so windows without one cannot hold
 any and are passed over; all others are read, wherever they are in the text.
 The emissions of overlapping windows are averaged (a window's middle counts
-most) and one Viterbi pass over each whole run of windows reconciles them.
+most) and one Viterbi pass over each whole run of windows reconciles them. A long
+run is read in pieces of ``PIECE`` characters: the scores go on from piece to piece, and
+tags are settled where the best paths to all tags have met, which gives the path of
+the whole run; so only a piece, not the text, is held as emissions and back pointers.
 A decoded span counts if it passes the kind's own test (Luhn sum, octets up to
 255, number of digits, a domain) and touches no base span.
 
@@ -27,6 +30,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,8 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_DOCS = 400
 MADE_UP = 900
 WINDOW = 64
+PIECE = 32 * WINDOW              # characters of a run read at a time
+CELLS = 128 * PIECE              # padded positions of the runs decoded together
 HIDDEN = 16
 EPOCHS = 8
 BATCH = 48
@@ -250,30 +257,81 @@ def fit(x, y, live, epochs: int = EPOCHS, lr: float = 0.02, seed: int = 3):
     return model
 
 
-def viterbi(model, e, lengths):
-    """Best tag path of each row of padded emissions (n, t, TAGS)."""
-    n, t, k = e.shape
-    # An I- tag only follows the B- or I- of its kind.
+def _transitions(model) -> np.ndarray:
+    """An I- tag only follows the B- or I- of its kind."""
+    k = len(model["trans"])
     bar = np.zeros((k, k), np.float32)
     for j in range(2, k, 2):
         bar[:, j] = -1e4
         bar[j - 1, j] = bar[j, j] = 0.0
-    trans, back = model["trans"] + bar, np.zeros((n, t, k), np.int8)
-    score = model["start"] + e[:, 0] + np.where(np.arange(k) % 2 == 0, np.where(np.arange(k) > 0, -1e4, 0.0), 0.0)
-    final = np.where((lengths == 1)[:, None], score, 0.0)
-    for s in range(1, t):
+    return model["trans"] + bar
+
+
+def _first_scores(model, e) -> np.ndarray:
+    k = e.shape[-1]
+    return model["start"] + e + np.where(np.arange(k) % 2 == 0, np.where(np.arange(k) > 0, -1e4, 0.0), 0.0)
+
+
+def _forward(trans, e, lengths, score):
+    """Scores after the padded emissions (n, t, TAGS) and the back pointers of each position, from the scores before."""
+    n, t, k = e.shape
+    back = np.zeros((n, t, k), np.int8)
+    for s in range(t):
         step = score[:, :, None] + trans[None]
         back[:, s] = step.argmax(axis=1)
-        score = step.max(axis=1) + e[:, s]
-        final = np.where((lengths == s + 1)[:, None], score, final)
-    tag, out = final.argmax(axis=1), np.zeros((n, t), np.int8)
+        score = np.where((lengths > s)[:, None], step.max(axis=1) + e[:, s], score)
+    return score, back
+
+
+def viterbi(model, e, lengths):
+    """Best tag path of each row of padded emissions (n, t, TAGS)."""
+    n, t, _ = e.shape
+    score, back = _forward(_transitions(model), e[:, 1:], lengths - 1, _first_scores(model, e[:, 0]))
+    tag, out = score.argmax(axis=1), np.zeros((n, t), np.int8)
     for s in range(t - 1, -1, -1):
         on = s < lengths
         out[:, s] = np.where(on, tag, 0)
-        tag = np.where(on & (s > 0), back[np.arange(n), s, tag], tag)
+        if s:
+            tag = np.where(on, back[np.arange(n), s - 1, tag], tag)
     return out
 
 
+class Path:
+    """The best path of one run whose back pointers come in pieces."""
+
+    def __init__(self, length: int):
+        self.tags, self.done, self.waiting, self.n, self.retry = np.zeros(length, np.int8), 0, [], 0, 0
+
+    def add(self, back: np.ndarray) -> None:
+        """Back pointers of further positions; settles the tags that no later position can change."""
+        self.waiting.append(back)
+        self.n += len(back)
+        if self.n < self.retry:
+            return
+        rows = np.concatenate(self.waiting)
+        at, tags = len(rows), np.arange(TAGS)
+        while at and (tags != tags[0]).any():
+            at -= 1
+            tags = rows[at][tags]
+        if at:
+            self._settle(rows[:at], int(tags[0]))
+            rows = rows[at:].copy()
+        self.waiting, self.n, self.retry = [rows], len(rows), 2 * len(rows)
+
+    def end(self, tag: int) -> np.ndarray:
+        self._settle(np.concatenate(self.waiting), tag)
+        return self.tags
+
+    def _settle(self, rows, tag):
+        """Tags of the positions of these back pointers, given the last one."""
+        at = self.done + len(rows)
+        self.done = at
+        for row in rows[::-1]:
+            at -= 1
+            self.tags[at] = tag
+            tag = row[tag]
+
+
 # --- training data -------------------------------------------------------------------------------------------
 
 def made_up(words: list[str], n: int = MADE_UP, seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]]]]:
@@ -385,78 +443,102 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, made: int = MADE_UP, epochs
 
 # --- search --------------------------------------------------------------------------------------------------
 
-def decode(model, texts: list[str], chunk: int = 512) -> list[list[tuple[int, int, int]]]:
-    """Spans the network reads in each text, windows reconciled over whole runs."""
+def _runs(text: str) -> list[tuple[int, int, int]]:
+    """(first position, last position, windows) of the runs of half-overlapping windows that hold an anchor."""
+    half, out, numbers = WINDOW // 2, [], _window_numbers(text)
+    start = prev = numbers[0] if numbers else 0
+    for k in numbers[1:] + [None] * bool(numbers):
+        if k is None or k != prev + 1:
+            a, b = start * half, min(len(text), prev * half + WINDOW)
+            out.append((a, b, max(1, -(-(b - a - half) // half))))
+            start = k
+        prev = k
+    return out
+
+
+def _read(model, texts, jobs, p: int, chunk: int = 512):
+    """Padded emissions of the positions p to p + PIECE of each run, overlapping windows averaged, and their numbers."""
     half = WINDOW // 2
-    codes, jobs = {}, []                                 # jobs: (text, first position, last position) of runs of windows
-    windows = []
-    for i, text in enumerate(texts):
-        numbers = _window_numbers(text)
-        if not numbers:
-            continue
-        codes[i] = encode(text)
-        start = prev = numbers[0]
-        for k in numbers[1:] + [None]:
-            if k is None or k != prev + 1:
-                jobs.append((i, start * half, min(len(text), prev * half + WINDOW), len(windows)))
-                windows += [(i, w * half) for w in range(start, prev + 1)]
-                start = k
-            prev = k
-    if not jobs:
-        return [[] for _ in texts]
+    lengths = np.array([min(PIECE, b - a - p) for _, a, b, _ in jobs])
+    windows = [(r, j * half - p) for r, (_, _, _, n) in enumerate(jobs) for j in range(max(0, p // half - 1), min(n, -(-(p + lengths[r]) // half)))]
     x = np.full((len(windows), WINDOW), PAD, np.int8)
-    for r, (i, a) in enumerate(windows):
-        piece = codes[i][a:a + WINDOW]
-        x[r, :len(piece)] = piece
-    e = np.concatenate([emissions(model, x[a:a + chunk]) for a in range(0, len(x), chunk)])
+    last = None
+    for w, (r, at) in enumerate(windows):
+        if r != last:
+            i, a, b, _ = jobs[r]
+            codes, last, origin = encode(texts[i][max(a, a + p - half):a + p + PIECE + half]), r, max(0, p - half) - p
+        piece = codes[at - origin:at - origin + WINDOW]
+        x[w, :len(piece)] = piece
     weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
-    joined = []
-    for i, a, b, w in jobs:
-        total, mass = np.zeros((b - a, TAGS), np.float32), np.zeros((b - a, 1), np.float32)
-        for r in range(w, w + max(1, -(-(b - a - half) // half))):
-            if r >= len(windows) or windows[r][0] != i or not a <= windows[r][1] < b:
-                break
-            at = windows[r][1] - a
-            n = min(WINDOW, b - a - at)
-            total[at:at + n] += e[r, :n] * weight[:n]
-            mass[at:at + n] += weight[:n]
-        joined.append(total / np.maximum(mass, 1e-6))
+    total, mass = np.zeros((len(jobs), lengths.max(), TAGS), np.float32), np.zeros((len(jobs), lengths.max(), 1), np.float32)
+    for c in range(0, len(windows), chunk):
+        e = emissions(model, x[c:c + chunk]) * weight
+        for row, (r, at) in zip(e, windows[c:c + chunk]):
+            lo, hi = max(0, at), min(at + WINDOW, lengths[r])
+            total[r, lo:hi] += row[lo - at:hi - at]
+            mass[r, lo:hi] += weight[lo - at:hi - at]
+    return total / np.maximum(mass, 1e-6), lengths
+
+
+def _decode_runs(model, texts, jobs):
+    """The tags of each run of a group."""
+    if max(b - a for _, a, b, _ in jobs) <= PIECE:
+        e, lengths = _read(model, texts, jobs, 0)
+        yield from ((j, tags[:n]) for j, tags, n in zip(jobs, viterbi(model, e, lengths), lengths))
+        return
+    trans, paths, score = _transitions(model), [Path(b - a) for _, a, b, _ in jobs], None
+    live, p = list(range(len(jobs))), 0
+    while live:
+        e, lengths = _read(model, texts, [jobs[r] for r in live], p)
+        if p:
+            score, back = _forward(trans, e, lengths, score - score.max(axis=1, keepdims=True))
+        else:
+            score, back = _forward(trans, e[:, 1:], lengths - 1, _first_scores(model, e[:, 0]))
+            back = np.concatenate([np.zeros_like(back, shape=(len(back), 1, TAGS)), back], axis=1)
+        for r, rows, n in zip(live, back, lengths):
+            paths[r].add(rows[:n].copy())
+        p += PIECE
+        stay = [k for k, r in enumerate(live) if jobs[r][2] - jobs[r][1] > p]
+        for k in set(range(len(live))) - set(stay):
+            yield jobs[live[k]], paths[live[k]].end(int(score[k].argmax()))
+        live, score = [live[k] for k in stay], score[stay]
+
+
+def decode(model, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+    """Spans the network reads in each text, windows reconciled over whole runs."""
+    jobs = sorted(((i, *run) for i, text in enumerate(texts) for run in _runs(text)), key=lambda j: j[2] - j[1])
+    groups = []
+    for job in jobs:                                     # by length, so the newest run is the widest
+        width = min(PIECE, job[2] - job[1])
+        if not groups or (len(groups[-1]) + 1) * width > CELLS:
+            groups.append([])
+        groups[-1].append(job)
     out = [[] for _ in texts]
-    order = sorted(range(len(jobs)), key=lambda j: len(joined[j]))
-    for at in range(0, len(order), 128):
-        group = order[at:at + 128]
-        lengths = np.array([len(joined[j]) for j in group])
-        padded = np.zeros((len(group), lengths.max(), TAGS), np.float32)
-        for r, j in enumerate(group):
-            padded[r, :lengths[r]] = joined[j]
-        for j, tags in zip(group, viterbi(model, padded, lengths)):
-            i, a, b, _ = jobs[j]
-            s = 0
-            while s < b - a:
-                if tags[s] % 2 == 1:
-                    z = s + 1
-                    while z < b - a and tags[z] == tags[s] + 1:
-                        z += 1
-                    out[i].append(((int(tags[s]) - 1) // 2, a + s, a + z))
-                    s = z
-                else:
-                    s += 1
+    for group in groups:
+        for (i, a, _, _), tags in _decode_runs(model, texts, group):
+            for s in np.flatnonzero(tags % 2 == 1).tolist():
+                z = s + 1
+                while z < len(tags) and tags[z] == tags[s] + 1:
+                    z += 1
+                out[i].append(((int(tags[s]) - 1) // 2, a + s, a + z))
     return out
 
 
 def added_spans(text: str, base, read) -> list[tuple[int, int, int]]:
     """The read spans, trimmed, that pass their test and touch no base span (nor an added one)."""
-    taken, out = [(s, e) for _, s, e in base], []
+    order = sorted((s, e) for _, s, e in base)
+    starts, reach = [s for s, _ in order], list(accumulate((e for _, e in order), max))
+    free, out = 0, []                                    # read spans do not overlap, so the last end is enough
     for kind, s, e in sorted(read, key=lambda r: (r[1], r[0])):
         while s < e and text[s] in " \n,;:=(" and kind != 3:
             s += 1
         while e > s and text[e - 1] in " \n,;:.)(":
             e -= 1
-        if e > s and valid(kind, text[s:e]) and not any(s < b and a < e for a, b in taken):
+        if e > s and valid(kind, text[s:e]) and free <= s and not ((k := bisect_left(starts, e)) and reach[k - 1] > s):
             beside = (s > 0 and text[s - 1].isdigit()) or (e < len(text) and text[e].isdigit())
             if not beside:                               # half of a longer number is no finding
                 out.append((kind, s, e))
-                taken.append((s, e))
+                free = e
     return out
 
 

@@ -215,6 +215,59 @@ def test_overlapping_windows_agree_wherever_a_span_lies(network):
         assert [text[s:e] for _, s, e in spans] == ["ab.cd_x(at)mail1.example.com"]
 
 
+def numbers_text(chars):
+    """Digit-dense text: one run of windows all through."""
+    rng = np.random.default_rng(5)
+    made = [t for t, _ in pii.made_up(["a"], 200, seed=5)]
+    parts, n = [], 0
+    while n < chars:
+        parts.append(str(int(rng.integers(1, 10 ** 9))) if rng.random() < 0.7 else made[int(rng.integers(len(made)))])
+        n += len(parts[-1]) + 1
+    return " ".join(parts)[:chars]
+
+
+def test_pieces_give_the_path_of_the_whole_run(network, monkeypatch):
+    texts = [numbers_text(n) for n in (1, 63, 64, 65, 127, 128, 129, 3000, 7777)] + ["w " * 300 + numbers_text(900) + " w" * 300, "0" * 1000, ""]
+    monkeypatch.setattr(pii, "PIECE", 10 ** 6)
+    whole = pii.decode(network, texts)
+    assert sum(map(len, whole)) > 100
+    for piece in (64, 128, 1024):
+        monkeypatch.setattr(pii, "PIECE", piece)
+        monkeypatch.setattr(pii, "CELLS", 3 * piece)
+        assert [sorted(r) for r in pii.decode(network, texts)] == [sorted(r) for r in whole]
+
+
+def test_path_in_pieces_by_whole_viterbi():
+    rng = np.random.default_rng(2)
+    for scale in (0.01, 1.0):
+        model = {"trans": rng.normal(0, 2, (pii.TAGS, pii.TAGS)), "start": rng.normal(0, 1, pii.TAGS)}
+        e = rng.normal(0, scale, (1, 500, pii.TAGS))
+        score, back = pii._forward(pii._transitions(model), e[:, 1:], np.array([499]), pii._first_scores(model, e[:, 0]))
+        path, rows = pii.Path(500), np.concatenate([np.zeros((1, pii.TAGS), np.int8), back[0]])
+        for a in range(0, 500, 37):
+            path.add(rows[a:a + 37])
+        assert (path.end(int(score[0].argmax())) == pii.viterbi(model, e, np.array([500]))[0]).all()
+
+
+def test_memory_does_not_follow_the_longest_run(network):
+    import tracemalloc
+    texts = [numbers_text(60_000)] + ["call 12345 now"] * 127
+    tracemalloc.start()
+    try:
+        found = pii.decode(network, texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found[0] and peak < 100_000_000
+
+
+def test_added_spans_touch_no_base_span(network):
+    text = "192.168.0.1 " * 3 + "0049 30 1234567 and 0049 30 7654321"
+    read = [(1, 0, 11), (3, 36, 51), (3, 56, 71)]
+    assert pii.added_spans(text, pii.base_spans(text), read) == [(3, 36, 51), (3, 56, 71)]
+    assert pii.added_spans(text, [(3, 30, 40), (3, 32, 34)], read) == [(1, 0, 11), (3, 56, 71)]
+
+
 def test_pii_query_contract(spark):
     out = {r["doc_id"]: r for r in QUERIES["op8_pii"](spark, SMALL).collect()}
     for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():

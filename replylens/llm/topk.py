@@ -9,8 +9,9 @@ partition, and the per-query lists are merged in a tree of fan-in ``fan_in``.
 
 Defined cases: null vectors, empty vectors and vectors that hold a null, NaN or
 infinite component take no part; a query only meets vectors of its own length;
-rows that share a query's id are not its candidates; ties go to the smaller id;
-components are clipped to 31 bits and sums wrap at 64 bits.
+rows that share a query's id are not its candidates; of several vectors under one
+query id the smallest (component by component) asks; ties go to the smaller id;
+components are whole 64-bit numbers (beyond that, its ends) and sums wrap at 64 bits.
 """
 
 from __future__ import annotations
@@ -31,8 +32,7 @@ def quantised(vec: Column, scale: int = 256) -> Column:
     """floor(scale * x) per component as long; null when the vector takes no part."""
     ok = vec.isNotNull() & (F.size(vec) > 0) & ~F.exists(
         vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    top = float(2 ** 31 - 1)
-    q = F.transform(vec, lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-top)), F.lit(top))).cast("long"))
+    q = F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     return F.when(ok, q)
 
 
@@ -57,7 +57,7 @@ def _pack(rows: DataFrame, tile: Column, name: str) -> DataFrame:
 
 def _best(q_ids, q, c_ids, c, k):
     """k best candidates per query row: arrays (query row, id, score)."""
-    peak = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    peak = np.abs(q.astype("f8")).max(initial=0) * np.abs(c.astype("f8")).max(initial=0) * q.shape[1]
     # BLAS on doubles is exact while every partial sum stays below 2^53.
     s = (q.astype("f8") @ c.T.astype("f8")).astype("i8") if peak < EXACT_FLOAT else q @ c.T
     rows, ids, scores = [], [], []
@@ -100,7 +100,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
         return (df.select(F.col("id").cast("long").alias("id"), quantised(F.col("vec"), scale).alias("vec"))
                 .where("id is not null and vec is not null").withColumn("dim", F.size("vec")))
 
-    cand, asked = usable(vectors), usable(queries).dropDuplicates(["id"])
+    cand, asked = usable(vectors), usable(queries).groupBy("id").agg(F.min("vec").alias("vec")).withColumn("dim", F.size("vec"))
     sizes = (cand.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
              .withColumn("tiles", F.ceil(F.col("n") / tile_rows).cast("long")).select("dim", "tiles"))
     # Tile counts: one row per vector length, joined as a plain equi-join.

@@ -186,6 +186,24 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(df.where("id < 3"), df.where("id = 0")).count() == 2   # fewer candidates than k
 
 
+def test_top_k_of_large_components(spark):
+    rows = [(i, [(-1.0) ** i * (1e7 + i), 0.5]) for i in range(20)] + [(100, [2.0, 1.0]), (101, [1e300, 0.0]), (102, [1.1e7, -1.1e7])]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i != 101]
+    queries = [(i, v) for i, v in whole if i == 100]
+    got = topk.top_k(df.where("id <> 101"), df.where("id = 100"), k=8, tile_rows=6)
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "id", "score").collect()) == brute_top(whole, queries, 8)
+    assert [r[0][0] for r in df.where("id = 101").select(topk.quantised(df.vec)).collect()] == [2 ** 63 - 1]
+
+
+def test_repeated_query_ids_ask_with_one_fixed_vector(spark):
+    df = spark.createDataFrame([(1, [4.0, 1.0]), (2, [1.0, 4.0])], "id long, vec array<double>")
+    asked = [(9, [1.0, 0.0]), (9, [0.0, 1.0])]
+    for q in (asked, asked[::-1]):
+        got = topk.top_k(df, spark.createDataFrame(q, "id long, vec array<double>").coalesce(1), k=1).collect()
+        assert [(r["query_id"], r["id"], r["score"]) for r in got] == [(9, 2, 4 * 256 * 256)]
+
+
 # --- extraction
 
 PAGE = """<!DOCTYPE html><html><head><title>T, t, t</title><style>p{}</style><script>var t="</p><p>no";</script></head><body>

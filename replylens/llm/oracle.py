@@ -7,6 +7,8 @@ from . import langid, mixing
 
 ORACLE: dict[str, str] = {}
 
+ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 
 def crc32(text: str) -> str:
     """crc32 of an ASCII text: bytes and, after each, eight shifts are folded over the register."""
@@ -142,3 +144,57 @@ nl AS (SELECT a AS rep, count(*) AS n_links FROM link GROUP BY a)
 SELECT d.doc_id, coalesce(root.class_id, d.doc_id) AS class_id, coalesce(c.rep, d.doc_id) AS text_id,
        CAST(coalesce(c.n_copies, 1) AS BIGINT) AS n_copies, CAST(coalesce(nl.n_links, 0) AS BIGINT) AS n_links
 FROM d LEFT JOIN c ON c.text = d.text LEFT JOIN root ON root.rep = c.rep LEFT JOIN nl ON nl.rep = c.rep"""
+
+# --- op11: every pair of documents over its common shingles
+ORACLE["op11_minhash"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w)-4, 1)+1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM both_ JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * both_.c >= 85 * (a.c + b.c - both_.c)),
+r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.id WHERE r.root < e.y),
+m AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT documents.doc_id, coalesce(n.c, 0)::BIGINT AS n_shingles, m.root AS component_id, documents.doc_id = m.root AS kept
+FROM documents JOIN m ON m.id = documents.doc_id LEFT JOIN n ON n.doc_id = documents.doc_id"""
+
+
+# --- op12: all phrases of 1 to 4 words, every cut, every part of a longer phrase
+ORACLE["op12_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang,'und') AS lang, row_number() OVER () AS did,
+         unnest(regexp_split_to_array({ASCII_LOWER.format("coalesce(text, '')")}, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+ng AS (SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase
+       FROM (SELECT lang, w, k, unnest(range(1, len(w)-k+2)) AS i FROM ws, (SELECT unnest([1,2,3,4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM ng GROUP BY ALL),
+tot AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase,' ') AS w FROM f WHERE k >= 2 AND a >= 30),
+cuts AS (SELECT c.lang, c.k, c.phrase, c.a, c.w, j, fl.a AS l, fr.a AS r, (2000000::HUGEINT * c.a) // (fl.a + fr.a) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+         JOIN f fl ON fl.lang = c.lang AND fl.phrase = array_to_string(c.w[1:c.j], ' ')
+         JOIN f fr ON fr.lang = c.lang AND fr.phrase = array_to_string(c.w[c.j+1:c.k], ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS x FROM cuts) WHERE x = 1),
+cov AS (SELECT lang, sub, max(a) AS f FROM (
+          SELECT lang, a, array_to_string(w[i:i+m-1],' ') AS sub FROM (
+            SELECT lang, a, w, k, m, unnest(range(1, k-m+2)) AS i FROM c, (SELECT unnest([2,3]) AS m) WHERE m < k)) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN cov ON cov.lang = best.lang AND cov.sub = best.phrase
+         WHERE cov.f IS NULL OR 100 * cov.f < 80 * best.a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM (
+  SELECT kept.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN tot USING (lang) WHERE rank <= 2000"""
+
+
+# --- op13: every item against every document
+ORACLE["op13_lexical_search"] = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS did, doc_id, regexp_extract_all({ASCII_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+d AS (SELECT did, doc_id, w, len(w)::BIGINT AS n FROM t WHERE len(w) > 0),
+s AS (SELECT count(*)::BIGINT AS cn, sum(n)::BIGINT AS cl FROM d),
+tf AS (SELECT did, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT did, doc_id, n, unnest(w) AS term FROM d) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({ASCII_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * cn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term, cn),
+sc AS (SELECT item_id, did, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * cn) // cl))))::BIGINT AS score
+       FROM q JOIN tf USING (term) JOIN w USING (term), s GROUP BY item_id, did, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0) WHERE rank <= 10"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_extract, langid, mixing, ngram_join, packing, pii, quality, topk, toxicity
+from . import (balltree, collocation, fingerprint, html_extract, langid, minhash, mixing, ngram_join, packing, pii, quality, topk,
+               toxicity)
 from .common import held_out, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_packing, op2_toxicity, op3_language_id, op4_html_extraction, op5_quality, op6_mixing, op7_fingerprint, op8_pii,
-    op9_exact_top_k, op10_ngram_join)}
+    op9_exact_top_k, op10_ngram_join, op11_minhash, op12_collocations, op13_lexical_search)}

@@ -92,9 +92,10 @@ def prepare_new_leads(df, as_of, source_rank: int = 1) -> DataFrame | None:
 def coerce_history(df: DataFrame) -> DataFrame:
     """History snapshot (canonical names, text cells) -> typed rows. Only ISO dates
     and 'H:M:S' times below 24 h survive; labels become codes (a foreign label
-    stays as it is). The history's own further columns are kept as text, after the
+    stays as it is); a column the history lacks is null. The history's own further columns are kept as text, after the
     known ones: the history decides which columns a run writes."""
     d = rename_headers(df)
+    d = d.withColumns({c: F.lit(None).cast("string") for c in CANONICAL[:8] if c not in d.columns})
     own = [c for c in d.columns if c not in CANONICAL and c != S.ALT_LEAD_ID_HEADER and not c.startswith("_")]
     d = d.select(*[strip(F.col(f"`{c}`").cast("string")).alias(c) for c in d.columns])
     out = d.select(

@@ -87,8 +87,9 @@ def q_export_by_executive(spark, sf):
     """Per-executive export folders, written twice and read back row by row."""
     root = scratch_path(spark, "exports")
     leads = inbox_first_response(inbox_messages(read_table(spark, sf, "events")), dim_inbox(spark))
-    for _ in range(2):                                      # a second run replaces the first
-        write_by_executive(leads, root, AS_OF)
+    # The second run of the date replaces the first, an executive that it no longer has included.
+    write_by_executive(leads.withColumn("executive", F.concat("executive", F.lit(" (old)"))), root, AS_OF)
+    write_by_executive(leads, root, AS_OF)
     back = spark.read.option("header", True).option("inferSchema", False).csv(root)
     return back.select(
         F.col("executive"), F.col("ID_LEAD").alias("lead_id"), yes_flag("Mensaje Entrante").alias("has_inbound"),
@@ -128,7 +129,10 @@ def q_history_own_columns(spark, sf):
 
 @query("lead_csv_roundtrip")
 def q_lead_csv_roundtrip(spark, sf):
-    """Scored leads written as a history snapshot and read back as the next run's history."""
+    """Scored leads written as history snapshots by two runs of one day (the first without its answered leads);
+    the next run's history is the published one."""
     root = scratch_path(spark, "history")
-    path = write_snapshot(scored_leads(spark, sf), root, AS_OF)
-    return read_history(spark, path)
+    leads = scored_leads(spark, sf)
+    write_snapshot(leads.where("not has_outbound"), root, AS_OF)
+    write_snapshot(leads, root, AS_OF)
+    return read_history(spark, root)

@@ -121,7 +121,7 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuuncy"
 # Inbox message export (after typing).
 INBOX_SCHEMA = T.StructType([
     T.StructField("message_id", T.LongType()),
-    T.StructField("conversation_id", T.LongType()),
+    T.StructField("conversation_id", T.StringType()),
     T.StructField("inbox_id", T.LongType()),
     T.StructField("sender_type", T.StringType()),
     T.StructField("sent_at", T.TimestampNTZType()),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import flag_text, safe_name, score_label, segment_label
+from ..operators.joins import bounded_broadcast
+from .snapshots import folders, publish
 
 
 def _csv(writer, path: str) -> None:
@@ -53,30 +55,40 @@ def write_lead_csv(df: DataFrame, path: str, sort: bool = True, header: list[str
 
 
 def write_snapshot(df: DataFrame, base: str, as_of, fmt: str = "csv") -> str:
-    """Write a new snapshot folder ``<base>/snapshot=<as_of>`` and return it. The input
-    snapshot is never overwritten (a reader of the old one stays valid)."""
-    day = as_of.isoformat() if isinstance(as_of, (_dt.date, _dt.datetime)) else str(as_of)
-    path = f"{base.rstrip('/')}/snapshot={day}"
+    """Write a new snapshot folder ``<base>/snapshot=<as_of>-<run of the day>``, publish it and return it. No earlier
+    snapshot is overwritten (a reader of an old one stays valid); ``read_history(base)`` reads the published one."""
+    spark, day = df.sparkSession, as_of.isoformat() if isinstance(as_of, (_dt.date, _dt.datetime)) else str(as_of)
+    runs = [int(n.rsplit("-", 1)[1]) for n in folders(spark, base, f"snapshot={day}-")]
+    name = f"snapshot={day}-{max(runs, default=0) + 1:04d}"
+    path = f"{base.rstrip('/')}/{name}"
     if fmt == "csv":
-        return write_lead_csv(df, path)
-    df.write.mode("errorifexists").parquet(path)
+        write_lead_csv(df, path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
+    publish(spark, base, name)
     return path
 
 
-def write_by_executive(df: DataFrame, base: str, run_date) -> str:
+EXPORT_ROWS = 1_000_000              # rows of an executive that one task writes
+
+
+def write_by_executive(df: DataFrame, base: str, run_date, rows_per_file: int = EXPORT_ROWS) -> str:
     """One folder per run date and executive (K3; the folder is the per-executive
     unit). The executive column is kept in the file body too, since partition
-    columns leave the body. A second run of a date replaces that date's folders.
-    A name that had to be cleaned for its folder carries a short hash, so two
-    executives never share one."""
+    columns leave the body. A second run of a date replaces that date's folders, those of
+    executives it no longer has included. A name that had to be cleaned for its folder carries a
+    short hash, so two executives never share one. An executive's rows are dealt to as many
+    tasks as ``rows_per_file`` asks for, so there are few files and no task writes a huge one."""
     day = run_date.isoformat() if isinstance(run_date, (_dt.date, _dt.datetime)) else str(run_date)
     safe = safe_name(F.col("Ejecutivo"))
     folder = F.when(safe == F.col("Ejecutivo"), safe).otherwise(
         F.concat(safe, F.lit("-"), F.substring(F.md5(F.coalesce("Ejecutivo", F.lit("")).cast("binary")), 1, 6)))
-    out = lead_export_frame(df).withColumn("run_date", F.lit(day)).withColumn("executive", folder)
-    # One folder per (run date, executive); each task writes its own part file,
-    # so a very large executive is written by many tasks, not one.
-    _csv(out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "executive"), base)
+    out = lead_export_frame(df).withColumn("executive", folder)
+    sizes = out.groupBy("executive").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_files"))
+    out = out.join(bounded_broadcast(sizes), "executive")
+    out = out.withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in out.columns]), F.col("_files")))
+    out = out.repartition("executive", "_chunk").drop("_files", "_chunk")
+    _csv(out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("executive"), f"{base.rstrip('/')}/run_date={day}")
     return base
 
 

@@ -1,29 +1,35 @@
 """CSV sources: header-grouped multi-file scans, history snapshots, inbox and chat exports.
 
 Spark's CSV reader binds columns by position across files, so files whose
-headers differ would mix columns. ``scan_csv`` therefore looks at the first line
-of every file (a bounded read per file, through the file system Spark uses),
-groups the files by header, reads each group with its own all-string schema and
-unions the groups by name. Only (header, file) pairs reach the driver - file
-metadata, like any file listing - never data rows.
+headers differ would mix columns. ``scan_csv`` therefore profiles the files in one
+Spark job (the whole first line of every file, and whether its records go on over line
+breaks), groups the files by header, reads each group with its own all-string
+schema and unions the groups by name. The driver gets the distinct headers and the
+file names - file metadata, like any file listing - never data rows. Files without
+broken records are split over tasks by the CSV reader; the others are split too, their
+records put together by ``csv_records``.
 """
 
 from __future__ import annotations
 
+import csv
 import logging
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions import null_if_token, strip
+from ..functions import canonical_id, null_if_token, strip
 from ..operators.joins import bounded_broadcast
+from ..sinks.snapshots import current
+from .csv_records import _literal_path, file_profile, records, text_lines
 
 log = logging.getLogger(__name__)
 
-BOM = "\ufeff"
+# Names of the columns a scan adds; a file's own column of such a name gets a number.
+FILE, PATH = "__file", "__path"
 
 
 def _ci_glob(ext: str) -> str:
@@ -45,10 +51,6 @@ def existing(spark: SparkSession, folders) -> list[str]:
     return out
 
 
-HEAD_BYTES = 1 << 16                 # a header line is looked for in this many bytes
-HEAD_THREADS = 16
-
-
 def _list_files(spark: SparkSession, roots: list[str], ext: str, recursive: bool) -> list[str]:
     """Plain (not URL-encoded) paths of the files with the extension, hidden ones left out."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -68,43 +70,32 @@ def _list_files(spark: SparkSession, roots: list[str], ext: str, recursive: bool
     return sorted(set(out))
 
 
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line within HEAD_BYTES; None when the file cannot be read (it is then skipped)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    try:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        stream = p.getFileSystem(conf).open(p)
-        try:
-            head = jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEAD_BYTES)
-            data = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(head))
-        finally:
-            stream.close()
-    except Exception as e:  # noqa: BLE001  a bad file is skipped with a warning, like a missing folder
-        log.warning("file skipped, its header cannot be read: %s (%s)", path, str(e)[:200])
-        return None
-    text = data.decode("utf-8", "replace").removeprefix(BOM)
-    return text.split("\n", 1)[0].rstrip("\r") if text else None
-
-
-def header_groups(spark: SparkSession, folders, ext: str = ".csv", recursive: bool = True) -> list[tuple[str, list[str]]]:
-    """[(header line, [files])] of the CSV files under ``folders``; empty and unreadable
-    files are absent. Reads at most HEAD_BYTES of a file."""
+def header_groups(spark: SparkSession, folders, ext: str = ".csv", recursive: bool = True) -> list[tuple[str, bool, list[str]]]:
+    """[(header, broken, [files])] of the CSV files under ``folders``; empty files are absent. ``broken``: some
+    record of the files goes on over a line break. One job over the files' lines, whatever their number."""
     roots = existing(spark, folders)
     files = _list_files(spark, roots, ext, recursive) if roots else []
-    with ThreadPoolExecutor(HEAD_THREADS) as pool:
-        heads = list(pool.map(lambda f: _first_line(spark, f), files))
-    groups: dict[str, list[str]] = {}
-    for f, h in zip(files, heads):
-        if h is not None:
-            groups.setdefault(h, []).append(f)
-    return sorted((h, sorted(fs)) for h, fs in groups.items())
+    if not files:
+        return []
+    heads = file_profile(spark, files)
+    plain = heads.groupBy("head", "broken").agg(F.collect_list("path").alias("files")).collect()
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for r in plain:
+        paths = [unquote(p) for p in r["files"]]
+        header = r["head"] or ""
+        if r["broken"] and header.count('"') % 2:              # the header itself holds a line break
+            whole = records(text_lines(spark, paths)).where("first").select("path", "record").collect()
+            for w in whole:
+                groups.setdefault((w["record"], True), []).append(unquote(w["path"]))
+        else:
+            groups.setdefault((header, r["broken"]), []).extend(paths)
+    return sorted((h, broken, sorted(fs)) for (h, broken), fs in groups.items())
 
 
 def _split_header(header: str) -> list[str]:
     """Column names of a header line. A name that occurs again (in any case, as Spark
     compares names) gets a number, and an empty one its place, so one odd file fails nothing."""
-    import csv
-    names, seen = [], set()
+    names, seen = [], {FILE, PATH}
     for i, h in enumerate(next(csv.reader([header]), [])):
         name = h.strip().replace("`", "'") or (f"_c{i}" if i else "")
         k, base = 0, name
@@ -116,34 +107,43 @@ def _split_header(header: str) -> list[str]:
     return names if any(names) else []
 
 
-def _literal_path(path: str) -> str:
-    """A path as a pattern that matches just itself."""
-    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
-
-
 def decoded(path: Column) -> Column:
     """A URL-encoded path as plain text ('+' is itself in a path)."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _na_cell(name: str) -> str:
+    tokens = ", ".join("'" + t + "'" for t in S.NA_TOKENS)
+    return f"CASE WHEN `{name}` IN ({tokens}) THEN NULL ELSE `{name}` END AS `{name}`"
+
+
+def _read_group(spark: SparkSession, names: list[str], broken: bool, files: list[str]) -> DataFrame:
+    """Cells of the files of one header, with FILE and PATH."""
+    if not broken:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        return (spark.read.schema(schema).option("header", True).option("escape", '"').csv([_literal_path(f) for f in files])
+                .withColumn(FILE, F.col("_metadata.file_name")).withColumn(PATH, decoded(F.col("_metadata.file_path"))))
+    places = ", ".join(f"c{i} string" for i in range(len(names)))
+    rows = records(text_lines(spark, files)).where(~F.col("first"))
+    cells = F.from_csv("record", places, {"escape": '"', "multiLine": "true"})
+    path = decoded(F.col("path"))
+    return rows.select(cells.alias("c"), path.alias("p")).select(
+        *[F.col(f"c.c{i}").alias(n) for i, n in enumerate(names)], F.regexp_extract("p", r"([^/]+)$", 1).alias(FILE), F.col("p").alias(PATH))
+
+
 def scan_csv(spark: SparkSession, folders, ext: str = ".csv", recursive: bool = True,
-             na_tokens: bool = True, multi_line: bool = False) -> list[DataFrame]:
-    """One all-string DataFrame per header group (plus ``_file`` and ``_path``); missing
-    values follow the usual NA tokens when ``na_tokens``. Files are split over
-    tasks unless cells may hold line breaks (``multi_line``: one task a file)."""
+             na_tokens: bool = True, wanted=None) -> list[DataFrame]:
+    """One all-string DataFrame per header group (plus FILE and PATH); missing values follow the usual NA tokens
+    when ``na_tokens``. ``wanted``: only these columns are kept (all by default). Cells may hold
+    line breaks; files are split over tasks in any case."""
     frames = []
-    for header, files in header_groups(spark, folders, ext, recursive):
+    for header, broken, files in header_groups(spark, folders, ext, recursive):
         names = _split_header(header)
         if not names:
             continue
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-              .option("escape", '"').csv([_literal_path(f) for f in files])
-              .withColumn("_file", F.col("_metadata.file_name"))
-              .withColumn("_path", decoded(F.col("_metadata.file_path"))))
-        if na_tokens:
-            df = df.select(*[null_if_token(F.col(f"`{n}`")).alias(n) for n in names], "_file", "_path")
-        frames.append(df)
+        df = _read_group(spark, names, broken, files)
+        kept = [n for n in names if wanted is None or n in wanted]
+        frames.append(df.selectExpr(*[_na_cell(n) if na_tokens else f"`{n}`" for n in kept], FILE, PATH))
     return frames
 
 
@@ -152,17 +152,18 @@ def read_new_leads(spark: SparkSession, folders, as_of, ext: str = ".csv") -> Da
     files without any wanted column are skipped. None when nothing usable."""
     from ..operators.leads import prepare_new_leads
     frames = []
-    for df in scan_csv(spark, folders, ext):
-        d = df.withColumn("source_file", F.coalesce(F.col("source_file"), F.col("_file"))) \
-            if "source_file" in df.columns else df.withColumnRenamed("_file", "source_file")
-        frames.append(d.drop("_file", "_path"))
+    for df in scan_csv(spark, folders, ext, wanted={*S.NEW_LEAD_HEADERS, "source_file"}):
+        d = df.withColumn("source_file", F.coalesce(F.col("source_file"), F.col(FILE))) \
+            if "source_file" in df.columns else df.withColumnRenamed(FILE, "source_file")
+        frames.append(d.drop(FILE, PATH))
     return prepare_new_leads(frames, as_of)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History snapshot (Spanish headers, labels) -> typed canonical rows; an empty
-    history is an error."""
+    """History (Spanish headers, labels) -> typed canonical rows: a snapshot folder, or a folder of snapshots,
+    of which the published one is read. An empty history is an error."""
     from ..operators.leads import coerce_history
+    path = current(spark, path) or path
     frames = scan_csv(spark, path)
     if not frames:
         raise ValueError(f"history at {path} is empty")
@@ -172,22 +173,24 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"history at {path} is empty")
     df = df.withColumn("source_file", F.lit("history")) if "source_file" not in df.columns else df
-    return coerce_history(df.drop("_file", "_path"))
+    return coerce_history(df.drop(FILE, PATH))
 
 
 def read_inbox_export(spark: SparkSession, folder: str, ext: str = ".csv", recursive: bool = False) -> DataFrame:
     """Inbox export files -> typed messages. Files without ``sent_at`` are skipped;
-    a file with any unparsable ``sent_at`` is skipped whole."""
+    a file with any unparsable ``sent_at`` is skipped whole. Conversation ids are text
+    (a number's trailing ``.0`` is removed, as for lead ids)."""
     msgs = None
-    for df in scan_csv(spark, folder, ext, recursive=recursive, multi_line=True):
+    for df in scan_csv(spark, folder, ext, recursive=recursive):
         if "sent_at" not in df.columns:
             continue
         cols = [c for c in S.INBOX_SCHEMA.fieldNames() if c in df.columns]
         typed = df.select(
-            *[F.col(c).try_cast(S.INBOX_SCHEMA[c].dataType).alias(c) for c in cols if c != "sent_at"],
+            *[(canonical_id(F.col(c)) if c == "conversation_id" else F.col(c).try_cast(S.INBOX_SCHEMA[c].dataType)).alias(c)
+              for c in cols if c != "sent_at"],
             F.col("sent_at").alias("_raw_sent_at"),
             F.try_to_timestamp(strip(F.col("sent_at"))).cast("timestamp_ntz").alias("sent_at"),
-            "_path",
+            PATH,
         )
         msgs = typed if msgs is None else msgs.unionByName(typed, allowMissingColumns=True)
     if msgs is None:
@@ -195,34 +198,37 @@ def read_inbox_export(spark: SparkSession, folder: str, ext: str = ".csv", recur
     bad = F.col("_raw_sent_at").isNotNull() & F.col("sent_at").isNull()
     # One row per file with a bad timestamp: bounded by the file listing, so it is
     # broadcast (size-checked) and a huge file's rows are never shuffled to one task.
-    bad_files = msgs.groupBy("_path").agg(F.max(bad.cast("int")).alias("_bad")).where(F.col("_bad") == 1)
-    good = msgs.join(bounded_broadcast(bad_files.select("_path")), "_path", "left_anti")
+    bad_files = msgs.groupBy(PATH).agg(F.max(bad.cast("int")).alias("_bad")).where(F.col("_bad") == 1)
+    good = msgs.join(bounded_broadcast(bad_files.select(PATH)), PATH, "left_anti")
     for f in S.INBOX_SCHEMA.fieldNames():
         if f not in good.columns:
             good = good.withColumn(f, F.lit(None).cast(S.INBOX_SCHEMA[f].dataType))
     return good.select(*S.INBOX_SCHEMA.fieldNames())
 
 
+def executive_of(path: Column) -> Column:
+    """The file's base name, or the ``executive=`` folder of files written by Spark (``part-*``)."""
+    base = F.regexp_extract(path, r"([^/]+)\.[cC][sS][vV]$", 1)
+    folder = F.regexp_extract(path, r"executive=([^/]+)/[^/]+$", 1)
+    return F.when(base.startswith("part-") & (F.length(folder) > 0), decoded(folder)).otherwise(base)
+
+
 def read_chat_export(spark: SparkSession, folder: str, ext: str = ".csv") -> DataFrame:
     """Raw chat exports: all text, no NA tokens, required columns, trimmed; the
     executive is the file's base name, or the ``executive=`` folder for files
     written by Spark (``part-*``)."""
-    frames = scan_csv(spark, folder, ext, na_tokens=False, multi_line=True)
+    frames = scan_csv(spark, folder, ext, na_tokens=False)
     out = None
     for df in frames:
         missing = [c for c in ("contact", "meta", "text") if c not in df.columns]
         if missing:
             raise ValueError(f"chat export without columns {missing}: {df.columns}")
         d = df.select(*[strip(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in ("contact", "meta", "text")],
-                      "_path")
+                      PATH)
         out = d if out is None else out.unionByName(d)
     if out is None:
         return spark.createDataFrame([], "executive string, contact string, meta string, text string")
-    base = F.regexp_extract("_path", r"([^/]+)\.[cC][sS][vV]$", 1)
-    folder_exec = F.regexp_extract("_path", r"executive=([^/]+)/[^/]+$", 1)
-    executive = F.when(base.startswith("part-") & (F.length(folder_exec) > 0),
-                       decoded(folder_exec)).otherwise(base)
-    return out.select(executive.alias("executive"), "contact", "meta", "text")
+    return out.select(executive_of(F.col(PATH)).alias("executive"), "contact", "meta", "text")
 
 
 def read_schedule_sheet(spark: SparkSession, path: str, ext: str = ".csv") -> DataFrame:

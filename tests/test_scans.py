@@ -61,7 +61,7 @@ def test_inbox_scan_skips_bad_files(spark, tmpdir_fresh):
     write(f"{d}/bad.csv", head + "2,0,Contact,2024-01-01 15:00:00,c,hi\n2,0,User,yesterday,c,ok\n")
     write(f"{d}/nosent.csv", "conversation_id,inbox_id\n3,0\n")
     msgs = read_inbox_export(spark, d)
-    assert sorted(r["conversation_id"] for r in msgs.collect()) == [1, 1]
+    assert sorted(r["conversation_id"] for r in msgs.collect()) == ["1", "1"]
 
 
 def test_chat_export_executive_from_file_name(spark, tmpdir_fresh):
@@ -142,3 +142,85 @@ def test_sinks_round_trip_hostile_cells(spark, tmpdir_fresh):
         write_by_executive(h, tmpdir_fresh + "/by", "2024-01-03")
     by = spark.read.option("header", True).option("escape", '"').csv(tmpdir_fresh + "/by")
     assert by.count() == 3 and by.select("executive").distinct().count() == 3
+
+
+def test_header_of_any_length(spark, tmpdir_fresh):
+    names = [f"own column {i}" for i in range(12_000)] + ["ID_LEAD"]
+    write(f"{tmpdir_fresh}/wide.csv", ",".join(names) + "\n" + ",".join(["x"] * 12_000) + ",77\n", bom=True)
+    write(f"{tmpdir_fresh}/b.csv", "ID_LEAD,Ejecutivo\n78,agent_a\n")
+    assert sorted(r["lead_id"] for r in read_new_leads(spark, tmpdir_fresh, AS_OF).collect()) == ["77", "78"]
+
+
+def test_line_breaks_in_lead_and_history_cells(spark, tmpdir_fresh):
+    d = tmpdir_fresh
+    write(f"{d}/new/a.csv", 'Ejecutivo,ID_LEAD,Fecha Entrante\r\n"Ana\nMaría",7,2024-01-01\r\nAna,8,2024-01-02\r\n')
+    write(f"{d}/new/b.csv", 'Ejecutivo,ID_LEAD,Fecha Entrante\nBea,9,2024-01-03\n')
+    got = {r["lead_id"]: (r["executive"], r["in_date"]) for r in read_new_leads(spark, f"{d}/new", AS_OF).collect()}
+    assert got == {"7": ("Ana\nMaría", dt.date(2024, 1, 1)), "8": ("Ana", dt.date(2024, 1, 2)), "9": ("Bea", dt.date(2024, 1, 3))}
+    write(f"{d}/h/h.csv", 'Ejecutivo,ID_LEAD,Notas\nAna,1,"one\n\ntwo, ""three"""\nBea,2,plain\n"Cea",3,"x\r\ny"\n', bom=True)
+    notes = {r["lead_id"]: r["Notas"] for r in read_history(spark, f"{d}/h").collect()}
+    assert notes == {"1": 'one\n\ntwo, "three"', "2": "plain", "3": "x\r\ny"}
+
+
+def test_text_conversation_ids(spark, tmpdir_fresh):
+    head = "conversation_id,inbox_id,sender_type,sent_at,contact_name,content\n"
+    write(f"{tmpdir_fresh}/a.csv", head + "A-7,0,Contact,2024-01-01 15:00:00,c,hi\nA-8,0,User,2024-01-01 15:05:00,c,ok\n12.0,0,User,2024-01-01 15:05:00,c,ok\n")
+    assert sorted(r["conversation_id"] for r in read_inbox_export(spark, tmpdir_fresh).collect()) == ["12", "A-7", "A-8"]
+
+
+def test_own_columns_named_like_the_scan_s(spark, tmpdir_fresh):
+    from replylens.sources.csv_scan import FILE, PATH, scan_csv
+    write(f"{tmpdir_fresh}/a.csv", f"_file,_path,{FILE},{PATH},x\n1,2,3,4,5\n")
+    row = scan_csv(spark, tmpdir_fresh)[0].first().asDict()
+    assert [row[c] for c in ("_file", "_path", f"{FILE}.1", f"{PATH}.1", "x", FILE)] == ["1", "2", "3", "4", "5", "a.csv"]
+
+
+def test_many_files_are_profiled_in_one_job(spark, tmpdir_fresh):
+    for i in range(300):
+        write(f"{tmpdir_fresh}/f{i}.csv", "a,b\n1,2\n" if i % 2 else '"a\nz",b\n1,"2\n3"\n')
+    groups = header_groups(spark, tmpdir_fresh)
+    assert [(h, broken, len(f)) for h, broken, f in groups] == [('"a\nz",b', True, 150), ("a,b", False, 150)]
+
+
+def records_of(spark, folder, split_bytes):
+    from replylens.sources.csv_records import records, text_lines
+    from replylens.sources.csv_scan import _list_files
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        rows = records(text_lines(spark, _list_files(spark, [folder], ".csv", True))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return sorted(rows, key=lambda r: (r["path"], r["block"], r["pos"]))
+
+
+@pytest.mark.parametrize("split_bytes", [40, 300, 1 << 20])
+def test_records_are_whole_wherever_files_are_split(spark, tmpdir_fresh, split_bytes):
+    """Random cells with quotes, separators and line breaks, against Python's csv reader."""
+    import csv
+    import io
+    import random
+    rng = random.Random(split_bytes)
+    want = {}
+    for k in range(3):
+        out = io.StringIO()
+        w = csv.writer(out, lineterminator="\r\n" if k == 1 else "\n")
+        rows = [["".join(rng.choice(['"', ",", "\n", "a", "é", " ", "bc", '""', "\n\n"]) for _ in range(rng.randrange(9))) or "x" for _ in range(3)]
+                for _ in range(60)]
+        w.writerows(rows)
+        write(f"{tmpdir_fresh}/f{k}.csv", out.getvalue(), bom=k == 2)
+        want[f"f{k}.csv"] = rows
+    got = {}
+    for r in records_of(spark, tmpdir_fresh, split_bytes):
+        cells = next(csv.reader(io.StringIO(r["record"], newline="")))
+        rows = got.setdefault(r["path"].rsplit("/", 1)[1], [])
+        assert r["first"] == (not rows)
+        rows.append(cells)
+    assert got == want
+
+
+def test_quotes_inside_plain_cells_open_nothing(spark, tmpdir_fresh):
+    write(f"{tmpdir_fresh}/a.csv", 'a,b\n5" pipe,say "hi\n"x, ""y""",2\n"",z"\n')
+    ((_, broken, _),) = header_groups(spark, tmpdir_fresh)
+    assert not broken
+    assert [r["record"] for r in records_of(spark, tmpdir_fresh, 1 << 20)] == ["a,b", '5" pipe,say "hi', '"x, ""y""",2', '"",z"']

@@ -1,11 +1,10 @@
 """Support-inbox export -> one lead row per conversation (first message, first reply).
 
-Plan: one shuffle on ``conversation_id`` for three partial/final ``min``
-aggregates (first row, first real row, first agent row). Only conversations
-whose very first row is an agent row need a second look (their reply is the
-next agent row); that subset goes through ``next_after``. No window gathers a
-whole conversation, so a conversation holding a third of all rows is merged
-map-side like any other key.
+Plan: one scan. The rows of a conversation are of four kinds (agent or not, system or not) and
+only the two earliest of each kind matter, so a rank within (conversation, kind) keeps
+those - Spark limits the groups before the shuffle (WindowGroupLimit), so a
+conversation holding a third of all rows sends eight rows a task - and one small aggregate
+over what is left gives first row, first real row and reply.
 """
 
 from __future__ import annotations
@@ -13,11 +12,12 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import strip, time_text
-from .joins import bounded_broadcast, next_after
+from .joins import bounded_broadcast
 
 
 def is_system_message(content, markers=S.SYSTEM_MARKERS):
@@ -60,31 +60,24 @@ def inbox_first_response(messages: DataFrame, dim_inbox: DataFrame, *, since=Non
     """
     m = prepare_inbox(messages, dim_inbox, offset_hours)
     m = m.withColumn("_sys", is_system_message("content", markers)).withColumn("_k", _key("message_id" in messages.columns))
-    agent = F.col("sender_type") == S.SENDER_AGENT
-    conv = ["conversation_id"]
-    firsts = m.groupBy(*conv).agg(
-        F.min("_k").alias("first_all"),
-        F.min(F.when(~F.col("_sys"), F.struct(
-            F.col("_k").alias("k"), "executive", "sender_type", "contact_name"))).alias("first_real"),
-        F.min(F.when(agent, F.col("_k"))).alias("agent1"),
-        F.min(F.when(agent & ~F.col("_sys"), F.col("_k"))).alias("agent1_real"),
-    ).where(F.col("conversation_id").isNotNull())
-
+    m = m.where(F.col("conversation_id").isNotNull()).withColumn("_agent", F.coalesce(F.col("sender_type") == S.SENDER_AGENT, F.lit(False)))
+    # The second of two agent rows is the reply when the first one opens the conversation; rows equal in every key are one.
+    kinds = W.partitionBy("conversation_id", "_agent", "_sys").orderBy("_k")
+    top = m.withColumn("_r", F.dense_rank().over(kinds)).where(F.col("_r") <= 2)
     if reply_policy == "reference":
-        # The first agent row is the reply unless it is the conversation's first row.
-        anchor, cand, rows = F.col("first_all"), F.col("agent1"), m.where(agent)
+        replies, anchor = F.col("_agent"), F.col("first_all")
     elif reply_policy == "strict":
-        anchor, cand, rows = F.col("first_real.k"), F.col("agent1_real"), m.where(agent & ~F.col("_sys"))
+        replies, anchor = F.col("_agent") & ~F.col("_sys"), F.col("first_real.k")
     else:
         raise ValueError(f"unknown reply_policy {reply_policy!r}")
-
-    needs_next = firsts.where(cand <= anchor).select(*conv, anchor.alias("_anchor"))
-    nxt = next_after(rows, conv, "_k", needs_next, "_anchor", "_next")
-    out = (
-        firsts.where(F.col("first_real").isNotNull())
-        .join(nxt, conv, "left")
-        .withColumn("_reply", F.when(cand > anchor, cand).otherwise(F.col("_next")))
+    firsts = top.groupBy("conversation_id").agg(
+        F.min("_k").alias("first_all"),
+        F.min(F.when(~F.col("_sys"), F.struct(
+            F.col("_k").alias("k"), "executive", "sender_type", "contact_name"))).alias("first_real"),
+        F.collect_set(F.when(replies, F.col("_k"))).alias("_replies"),
     )
+    out = firsts.where(F.col("first_real").isNotNull()).withColumn(
+        "_reply", F.array_min(F.filter("_replies", lambda k: k > anchor)))
     first_ts = F.col("first_real.k.sent_at")
     out = out.where(~strip(F.coalesce(F.col("first_real.contact_name"), F.lit("nan"))).endswith(group_suffix))
     if since is not None:

@@ -43,6 +43,15 @@ def test_chat_first_response_reads_messages_once(spark, queries):
     assert "partial_max" in plan                         # map-side combine before the shuffle
 
 
+@pytest.mark.parametrize("name", ["inbox_first_response", "inbox_first_response_strict", "inbox_date_window"])
+def test_inbox_reads_messages_once(spark, queries, name):
+    plan = plan_of(queries[name](spark, SMOKE))
+    assert plan.count("FileScan parquet") == 1
+    assert operator_shuffles(plan) == 2                  # two earliest rows of each kind, then per conversation
+    before = plan[plan.index("Exchange hashpartitioning(conversation_id", plan.index("Exchange hashpartitioning(conversation_id") + 1):]
+    assert "WindowGroupLimit" in before                  # limited before its shuffle
+
+
 def test_scan_prunes_columns(spark, queries):
     plan = queries["inbox_first_response"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan

@@ -236,11 +236,8 @@ SELECT DISTINCT contact, meta, text FROM chat""")
 
 
 
-def sessions_sql(keys: str, gap: str, delay: str, select: str, more_ctes: str = "") -> str:
-    """Gap sessions over CHAT_ROWS (events exactly ``gap`` apart stay in one
-    session), emitted once the final watermark (max event time - ``delay``)
-    has passed the session end: what an append-mode session-window stream
-    has output when its input is exhausted."""
+def sessions_sql(keys: str, gap: str, select: str, more_ctes: str = "") -> str:
+    """Gap sessions over CHAT_ROWS (events exactly ``gap`` apart stay in one session)."""
     return f"""
 WITH {CHAT_ROWS},
 s AS (
@@ -251,20 +248,18 @@ g AS (
   SELECT s.*, sum(new) OVER (PARTITION BY {keys} ORDER BY dt, event_id
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
   FROM s),
-w AS (SELECT max(dt) - INTERVAL {delay} AS wm FROM chat),
 sess AS (
   SELECT {keys}, sid, min(dt) AS first_ts, max(dt) + INTERVAL {gap} AS session_end, count(*) AS messages
-  FROM g GROUP BY {keys}, sid
-  HAVING max(dt) + INTERVAL {gap} <= (SELECT wm FROM w)){more_ctes}
+  FROM g GROUP BY {keys}, sid){more_ctes}
 {select}"""
 
 
 oracle("stream_sessions", sessions_sql(
-    "contact", "30 MINUTE", "1 HOUR",
+    "contact", "30 MINUTE",
     "SELECT contact, first_ts AS session_start, session_end, messages FROM sess"))
 
 oracle("stream_first_response", sessions_sql(
-    "executive, contact", "2 HOUR", "1 HOUR", """
+    "executive, contact", "2 HOUR", """
 SELECT executive, contact, first_ts AS session_start, has_in AS has_inbound,
        CASE WHEN has_in THEN reply IS NOT NULL ELSE true END AS has_outbound,
        CASE WHEN has_in THEN first_ts END AS in_ts,
@@ -276,3 +271,9 @@ fr AS (
          min(CASE WHEN g.role = 'owner' AND g.dt > sess.first_ts THEN g.dt END) AS reply
   FROM g JOIN sess ON g.executive = sess.executive AND g.contact = sess.contact AND g.sid = sess.sid
   GROUP BY g.executive, g.contact, sess.sid, sess.first_ts)"""))
+
+oracle("stream_raw_exports", f"""
+WITH {CHAT_ROWS}
+SELECT executive, contact, CASE WHEN event_id % 50 = 0 THEN '? ' ELSE '' END || meta AS meta, text || chr(10) || 'second "line", end' AS text,
+       CASE WHEN event_id % 50 <> 0 THEN dt END AS dt, CASE WHEN event_id % 50 <> 0 THEN role END AS role,
+       CASE WHEN event_id % 50 = 0 THEN 'meta' END AS reason FROM chat""")

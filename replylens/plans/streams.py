@@ -15,7 +15,8 @@ from ..operators.chats import mark_owner, parse_chat_export
 from ..operators.leads import coerce_history
 from ..session import scratch_path
 from ..sources.adapters import AS_OF, chat_export_rows, read_table
-from ..streaming import consolidate_stream, dedupe_stream, first_response_stream, run_available, session_counts
+from ..streaming import (consolidate_stream, dedupe_stream, first_response_stream, open_sessions, parse_export_stream, read_export_stream,
+                         run_available, session_counts)
 from .leads import files, new_file_frames
 from .registry import query
 
@@ -60,21 +61,49 @@ def q_stream_message_dedupe(spark, sf):
     return out.select("contact", "meta", "text")
 
 
+def all_sessions(spark, msgs, make, keys, gap, delay, name):
+    """The stream's closed sessions and, its input having ended, those it still holds."""
+    closed = run_staged(spark, msgs, make, name)
+    return closed.unionByName(open_sessions(msgs, make, keys, "ts", gap, delay))
+
+
 @query("stream_sessions")
 def q_stream_sessions(spark, sf):
-    out = run_staged(spark, _messages(spark, sf), lambda m: session_counts(m, "ts", "30 minutes", "1 hour"), "sessions")
+    out = all_sessions(spark, _messages(spark, sf), lambda m: session_counts(m, "ts", "30 minutes", "1 hour"), ["contact"],
+                       "30 minutes", "1 hour", "sessions")
     return out.select("contact", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "messages")
 
 
 @query("stream_first_response")
 def q_stream_first_response(spark, sf):
-    out = run_staged(spark, _messages(spark, sf), lambda m: first_response_stream(m, "ts", "2 hours", "1 hour"), "first")
+    out = all_sessions(spark, _messages(spark, sf), lambda m: first_response_stream(m, "ts", "2 hours", "1 hour"),
+                       ["executive", "contact"], "2 hours", "1 hour", "first")
     return out.select("executive", "contact", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       "has_inbound", "has_outbound", F.col("in_ts").cast("timestamp_ntz").alias("in_ts"),
                       F.col("out_ts").cast("timestamp_ntz").alias("out_ts"))
 
 
+@query("stream_raw_exports")
+def q_stream_raw_exports(spark, sf):
+    """Raw export files stream in two runs: parsed messages with their roles, and the rows that do not parse."""
+    events = read_table(spark, sf, "events")
+    odd = F.col("event_id") % 50 == 0
+    raw = chat_export_rows(events.where(~odd)).unionByName(
+        chat_export_rows(events.where(odd)).withColumn("meta", F.concat(F.lit("? "), "meta")))
+    raw = raw.withColumn("text", F.concat("text", F.lit('\nsecond "line", end')))
+    inbox, sink, ckpt, bad, bad_ckpt = (scratch_path(spark, f"raw-{x}") for x in ("in", "out", "ckpt", "bad", "bad-ckpt"))
+    for i in range(2):
+        part = raw.where(F.pmod(F.xxhash64("contact", "meta"), F.lit(2)) == i)
+        part.write.partitionBy("executive").option("header", True).option("escape", '"').csv(f"{inbox}/run-{i}")
+        good, rejected = parse_export_stream(read_export_stream(spark, inbox), dim_owner(spark))
+        run_available(good.drop("ts"), sink, ckpt)
+        run_available(rejected, bad, bad_ckpt)
+    cols = ["executive", "contact", "meta", "text"]
+    return spark.read.parquet(sink).select(*cols, "dt", "role", F.lit(None).cast("string").alias("reason")).unionByName(
+        spark.read.parquet(bad).select(*cols, F.lit(None).cast("timestamp_ntz").alias("dt"), F.lit(None).cast("string").alias("role"), "reason"))
+
+
 @query("stream_consolidate")
 def q_stream_consolidate(spark, sf):
     """New lead files of three layouts arrive and are merged into a new snapshot."""
@@ -82,6 +111,5 @@ def q_stream_consolidate(spark, sf):
     inbox = scratch_path(spark, "lead-inbox")
     for i, f in enumerate(new_file_frames(new)):
         f.write.option("header", True).option("escape", '"').csv(f"{inbox}/batch_{i}")
-    snap = consolidate_stream(spark, inbox, scratch_path(spark, "snapshots"), coerce_history(history), AS_OF,
-                              scratch_path(spark, "consolidate-ckpt"), max_files_per_trigger=1_000)
-    return spark.read.parquet(snap)
+    return consolidate_stream(spark, inbox, scratch_path(spark, "snapshots"), coerce_history(history), AS_OF,
+                              scratch_path(spark, "consolidate-ckpt"), max_files_per_trigger=1_000, buckets=16)

@@ -1,11 +1,12 @@
-"""Incremental lead consolidation: newly arrived lead files -> a new snapshot per micro-batch.
+"""Incremental lead consolidation: newly arrived lead files -> a new snapshot version per micro-batch.
 
 The file stream only reports which files arrived (the ``binaryFile`` source
 with just its ``path`` column selected never reads file contents); each
-micro-batch scans those files with the header-grouped CSV reader, merges them into the latest snapshot and
-writes the result as a new snapshot folder. The checkpoint remembers which
-files were taken, so a restarted run picks up where it stopped, and reading
-the previous snapshot from storage cuts the lineage between batches.
+micro-batch scans those files with the header-grouped CSV reader. The lead table is kept in
+buckets by lead id (``sinks.snapshots``): a batch reads, merges and rewrites only the buckets its
+leads fall into, and a manifest names the others where they are. The checkpoint
+remembers which files were taken, so a restarted run picks up where it stopped, and reading
+the previous version from storage cuts the lineage between batches.
 """
 
 from __future__ import annotations
@@ -14,43 +15,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.leads import build_leads
+from ..sinks.snapshots import BUCKETS, bucket_count, bucket_of, read_buckets, write_buckets
 from ..sources.csv_scan import read_new_leads
 
-SNAPSHOT = "version"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def latest_snapshot(spark: SparkSession, base: str) -> str | None:
-    """The complete snapshot with the highest version, or None."""
-    done = snapshots_in(spark, base)
-    return max(done)[1] if done else None
+def merge_leads(spark: SparkSession, base: str, new: DataFrame, buckets: int | None = None) -> str | None:
+    """Merge prepared new leads into the published lead table; the rows it has count as history. Only buckets with
+    new leads are read and rewritten. Returns the new version's folder (None: no new lead, nothing written)."""
+    buckets = buckets or bucket_count(spark, base)
+    numbers = new.where(F.col("lead_id").isNotNull()).select(bucket_of(F.col("lead_id"), buckets).alias("b")).distinct()
+    touched = {r["b"] for r in numbers.collect()}           # at most one number a bucket
+    if not touched:
+        return None
+    old = read_buckets(spark, base, touched)
+    history = old.drop("response_seconds").withColumn("source_rank", F.lit(0)) if old is not None else new.limit(0)
+    return write_buckets(spark, base, build_leads(history, [new]), "lead_id", buckets, touched)
 
 
-def snapshots_in(spark: SparkSession, base: str, complete: bool = True) -> list[tuple[int, str]]:
-    """(version, path) of the snapshots under ``base`` (one entry per load, like any file listing)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    done = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(f"{SNAPSHOT}=") and (not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
-            done.append((int(name.split("=", 1)[1]), st.getPath().toString()))
-    return done
+def consolidate_stream(spark: SparkSession, inbox: str, base: str, history: DataFrame, as_of,
+                       checkpoint: str, max_files_per_trigger: int = 1_000, buckets: int = BUCKETS) -> DataFrame:
+    """Run the incremental load over everything in ``inbox`` now; returns the published lead table
+    (canonical scored leads).
 
-
-def consolidate_stream(spark: SparkSession, inbox: str, snapshots: str, history: DataFrame, as_of,
-                       checkpoint: str, max_files_per_trigger: int = 1_000) -> str:
-    """Run the incremental load over everything in ``inbox`` now; returns the
-    path of the newest snapshot (parquet, canonical scored leads).
-
-    Snapshot versions only grow, whatever checkpoint a run uses, and a batch writes
-    a version no other has: it never overwrites what it (or a reader) reads. A
-    batch that is replayed merges the same files again, which changes nothing.
-    Rows of the previous snapshot count as history in the next merge."""
+    The first run puts the history into ``buckets`` buckets (their number stays). Versions only grow,
+    whatever checkpoint a run uses; a batch never overwrites what it (or a reader) reads, and
+    one that is replayed merges the same files again, which changes nothing."""
+    if bucket_count(spark, base) is None:
+        write_buckets(spark, base, build_leads(history, None), "lead_id", buckets)
     files = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[cC][sS][vV]").option("maxFilesPerTrigger", max_files_per_trigger)
@@ -59,18 +52,14 @@ def consolidate_stream(spark: SparkSession, inbox: str, snapshots: str, history:
 
     def merge(batch: DataFrame, epoch: int) -> None:
         paths = [r["file"] for r in batch.select("file").distinct().collect()]  # file names only
-        if not paths:
-            return
-        prev = latest_snapshot(spark, snapshots)
-        base = spark.read.parquet(prev).drop("response_seconds").withColumn("source_rank", F.lit(0)) if prev else history
-        new = read_new_leads(spark, paths, as_of)
-        out = build_leads(base, [new] if new is not None else None)
-        version = max([v for v, _ in snapshots_in(spark, snapshots, complete=False)], default=0) + 1
-        out.write.mode("errorifexists").parquet(f"{snapshots}/{SNAPSHOT}={version:09d}")
+        new = read_new_leads(spark, paths, as_of) if paths else None
+        if new is not None:
+            merge_leads(spark, base, new)
 
     q = (files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return latest_snapshot(spark, snapshots)
+    table = read_buckets(spark, base)
+    return table if table is not None else build_leads(history, None).limit(0)

@@ -8,11 +8,22 @@ from __future__ import annotations
 
 import datetime as _dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import schema as S
 
+
+def local_rows(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """Rows given in the program as a local relation: their size is known, so joins broadcast them without a job."""
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in kind.fields]
+    arrow = to_arrow_schema(kind)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), kind)
+
+
 # Invented test executives used by the adapters.
 TEST_EXECUTIVES = ["agent_a", "agent_b", "agent_c", "agent_d", "agent_e"]
 
@@ -21,13 +32,13 @@ def dim_inbox(spark: SparkSession, mapping: dict | None = None) -> DataFrame:
     """inbox_id -> executive; inboxes not listed are not processed."""
     mapping = mapping if mapping is not None else {i: e for i, e in enumerate(TEST_EXECUTIVES)}
     rows = [(int(k), str(v)) for k, v in sorted(mapping.items())]
-    return spark.createDataFrame(rows, "inbox_id bigint, executive string")
+    return local_rows(spark, rows, "inbox_id bigint, executive string")
 
 
 def dim_owner(spark: SparkSession, names=None) -> DataFrame:
     """Author names that mean "the account owner" (the file's executive is added per chat)."""
     names = list(S.OWNER_WORDS if names is None else names)
-    return spark.createDataFrame([(n,) for n in names], "name string")
+    return local_rows(spark, [(n,) for n in names], "name string")
 
 
 def dim_alias(spark: SparkSession, pairs=None) -> DataFrame:
@@ -37,19 +48,19 @@ def dim_alias(spark: SparkSession, pairs=None) -> DataFrame:
         ("Agent B", "agent_b"),
         ("ag.c", "agent_c"),
     ]
-    return spark.createDataFrame([(a, b) for a, b in pairs], "raw_name string, executive string")
+    return local_rows(spark, [(a, b) for a, b in pairs], "raw_name string, executive string")
 
 
 def dim_excluded_chat(spark: SparkSession, titles=None) -> DataFrame:
     """Chat titles never to be collected (compared after title normalisation)."""
     titles = titles if titles is not None else ["Contact 7", "  contact   14 ", "CONTACT 21", "Team Room"]
-    return spark.createDataFrame([(t,) for t in titles], "title string")
+    return local_rows(spark, [(t,) for t in titles], "title string")
 
 
 def dim_shift(spark: SparkSession, rows=None) -> DataFrame:
     """shift keyword -> default start/end 'HH:mm'."""
     rows = rows if rows is not None else S.SHIFT_HOURS
-    return spark.createDataFrame(list(rows), "shift string, start string, end string")
+    return local_rows(spark, list(rows), "shift string, start string, end string")
 
 
 def dim_shift_rule(spark: SparkSession, rows=None) -> DataFrame:
@@ -72,4 +83,4 @@ def dim_shift_rule(spark: SparkSession, rows=None) -> DataFrame:
         (0, None, d(1999, 9, 7), None, None, None, "cutoff", None, "16:20"),
         (0, None, d(1996, 11, 22), None, None, None, "cutoff", None, "11:10"),
     ]
-    return spark.createDataFrame(rows, S.SHIFT_RULE_SCHEMA)
+    return local_rows(spark, rows, S.SHIFT_RULE_SCHEMA)

@@ -3,7 +3,9 @@ and message nodes extracted from stored HTML."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -85,25 +87,74 @@ def chats_with_status(capture_log: DataFrame, status: str = "timed_out") -> Data
     return capture_log.where(F.col("status") == status).select("contact", "messages")
 
 
+# A comment, a script or style with its text, a tag (a ">" in a quoted value is part of it), a run of text, a bare "<".
+_TOKEN = r"""(?is)<!--.*?(?:-->|$)|<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|$)|<[!?][^>]*>?|</?[a-z][^\s/>]*(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<"""
+_TAG = r"^</?[a-zA-Z]"
+_RAW = r"(?i)^<(?:script|style)\b"
+_VOID = "area base br col embed hr img input link meta param source track wbr".split()
+
+
+def attribute_value(tag, name: str):
+    """Value of an attribute of a tag (null: not there): in either quotes or bare; names in any case. All attributes are
+    read in turn, so the text of another one's value is never taken for it."""
+    pat = r"""(?is)\s([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(pat), F.lit(1)), F.lower)
+    at = F.array_position(names, name.lower())
+    value = F.get(F.regexp_extract_all(tag, F.lit(pat), F.lit(2)), (at - 1).cast("int"))
+    return F.when(at > 0, F.regexp_replace(value, r"""^["']|["']$""", ""))
+
+
+def page_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """id, tok: the page cut into tokens (one row a page id)."""
+    return pages.select(id_col, F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(_TOKEN), F.lit(0)).alias("tok"))
+
+
+def elements(tokens: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """(id, at, end, tag): places of an element's start tag and end tag among the page's tokens (the end of the page
+    where there is none). Tags are balanced name by name: an element ends where as many of its name
+    are open as before it, so it may hold others of its name and unclosed ones of other names."""
+    tags = (tokens.select(id_col, F.size("tok").alias("n"), F.posexplode("tok").alias("at", "tag"))
+            .where(F.col("tag").rlike(_TAG) & ~F.col("tag").rlike(_RAW))
+            .withColumn("name", F.lower(F.regexp_extract("tag", r"^</?([a-zA-Z][^\s/>]*)", 1)))
+            .withColumn("closes", F.startswith("tag", F.lit("</"))))
+    alone = F.col("name").isin(_VOID) | F.endswith("tag", F.lit("/>"))
+    single = tags.where(~F.col("closes") & alone).select(id_col, "at", F.col("at").alias("end"), "tag")
+    along = Window.partitionBy(id_col, "name").orderBy("at")
+    pairs = tags.where(F.col("closes") | ~alone).withColumn("_open", F.sum(F.when(F.col("closes"), -1).otherwise(1)).over(along))
+    # Stray end tags would lower the level for good: the least number so far is where nothing is open.
+    ground = F.least(F.lit(0), F.min("_open").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    level = F.col("_open") + F.col("closes").cast("int") - ground
+    same = Window.partitionBy(id_col, "name", "_level").orderBy("at")
+    pairs = pairs.withColumn("_level", level).withColumn("_next", F.lead(F.when(F.col("closes"), F.col("at"))).over(same))
+    return pairs.where(~F.col("closes")).select(id_col, "at", F.coalesce("_next", "n").alias("end"), "tag").unionByName(single)
+
+
+def _inside():
+    """Tokens between an element's tags."""
+    return F.slice("tok", F.col("at") + 2, F.greatest(F.col("end") - F.col("at") - 1, F.lit(0)))
+
+
+def _text():
+    return F.array_join(F.filter(_inside(), lambda x: ~F.startswith(x, F.lit("<")) | (x == "<")), "")
+
+
+def _numbered(nodes: DataFrame, id_col: str) -> DataFrame:
+    place = Window.partitionBy(id_col).orderBy("at")
+    return nodes.withColumn("pos", (F.row_number().over(place) - 1).cast("bigint"))
+
+
 def page_nodes(pages: DataFrame, attribute: str = "href", id_col: str = "page_id",
                html_col: str = "html", tag: str | None = "a") -> DataFrame:
-    """Elements ``<tag ... attribute="value" ...>content</tag>`` of each page: (id, pos,
-    value, text). Names in any case, values in either quotes; the text is the
-    content without inner tags. ``tag=None`` takes elements of any name (the
-    message nodes of a stored chat page carry their meta in an attribute).
-    Regex extraction stays in the JVM; one row per node."""
-    name = tag if tag else r"([a-z][a-z0-9-]*)"
-    first = 0 if tag else 1
-    pat = (rf"(?is)<{name}\s(?:[^>]*?\s)?{attribute}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')[^>]*>(.*?)</"
-           + (tag if tag else r"\1") + r"\s*>")
-    part = lambda i: F.regexp_extract_all(F.col(html_col), F.lit(pat), i + first)
-    node = F.arrays_zip(part(1).alias("dq"), part(2).alias("sq"), part(3).alias("inner"))
-    return (
-        pages.select(id_col, F.posexplode(node))
-        .select(id_col, F.col("pos").cast("bigint").alias("pos"),
-                F.when(F.length("col.dq") > 0, F.col("col.dq")).otherwise(F.col("col.sq")).alias("value"),
-                F.regexp_replace("col.inner", "<[^>]*>", "").alias("text"))
-    )
+    """Elements with an attribute of each page: (id, pos, value, text), pos from 0 in page order. Names in
+    any case, values in either quotes or bare; the text is the content without tags, comments, scripts and styles,
+    that of inner elements included (which are nodes of their own too). ``tag=None`` takes
+    elements of any name (the message nodes of a stored chat page carry their meta in an attribute)."""
+    tokens = page_tokens(pages, id_col, html_col)
+    found = elements(tokens, id_col)
+    if tag is not None:
+        found = found.where(F.lower(F.regexp_extract("tag", r"^<([a-zA-Z][^\s/>]*)", 1)) == tag.lower())
+    found = found.withColumn("value", attribute_value(F.col("tag"), attribute)).where(F.col("value").isNotNull())
+    return _numbered(found.join(tokens, id_col), id_col).select(id_col, "pos", "value", _text().alias("text"))
 
 
 def node_messages(nodes: DataFrame) -> DataFrame:
@@ -111,3 +162,37 @@ def node_messages(nodes: DataFrame) -> DataFrame:
     the node has none (audio file links -> [AUDIO], other links -> [ADJUNTO])."""
     kind = F.when(F.lower(F.col("value")).rlike(r"\.(mp3|ogg|opus|m4a|wav)$"), F.lit("AUDIO")).otherwise(F.lit("ADJUNTO"))
     return nodes.withColumn("message", media_text(F.col("text"), kind))
+
+
+def media_kind(inside, text, markers=S.MEDIA_MARKERS):
+    """AUDIO or ADJUNTO by the marker elements among an element's tokens, ADJUNTO for a picture without text, else null."""
+    kind = None
+    for attribute, words, whole, button, name in markers:
+        def marks(x):
+            value = attribute_value(x, attribute)
+            hit = value.isin(words) if whole else reduce(lambda a, b: a | b, [F.contains(value, F.lit(w)) for w in words])
+            return F.coalesce(hit & (attribute_value(x, "role") == "button") if button else hit, F.lit(False))
+        found = F.exists(F.filter(inside, lambda x: F.contains(F.lower(x), F.lit(attribute))), marks)
+        kind = F.when(found, name) if kind is None else kind.when(found, name)
+    picture = F.exists(inside, lambda x: x.rlike(r"(?i)^<img\b"))
+    return kind.when((F.length(strip(text)) == 0) & picture, "ADJUNTO")
+
+
+def chat_page_messages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Messages of stored chat pages: (id, pos, meta, text, kind, raw_text), pos being the place in the page. Every
+    element with a meta attribute that has a meta or a text is a message; so is every bubble (an element of the
+    row role) that holds media, with the meta of its first inner element that has one, the kind's placeholder as
+    its text (``dedupe_messages``) and its own text as ``raw_text``."""
+    tokens = page_tokens(pages, id_col, html_col)
+    found = elements(tokens, id_col).select(
+        id_col, "at", "end", attribute_value(F.col("tag"), S.META_ATTRIBUTE).alias("_meta"),
+        (attribute_value(F.col("tag"), "role") == S.BUBBLE_ROLE).alias("_bubble")).where("_meta is not null or _bubble")
+    d = found.join(tokens, id_col).withColumn("_in", _inside()).withColumn("_t", strip(_text()))
+    plain = d.where(F.col("_meta").isNotNull()).select(
+        id_col, F.col("at").alias("pos"), strip("_meta").alias("meta"), F.col("_t").alias("text"), F.lit(None).cast("string").alias("kind"),
+        F.col("_t").alias("raw_text")).where((F.length("meta") > 0) | (F.length("text") > 0))
+    first = F.get(F.filter(F.transform(F.filter("_in", lambda x: F.contains(F.lower(x), F.lit(S.META_ATTRIBUTE))),
+                                       lambda x: attribute_value(x, S.META_ATTRIBUTE)), lambda v: v.isNotNull()), F.lit(0))
+    media = d.where("_bubble").withColumn("kind", media_kind(F.col("_in"), F.col("_t"))).where(F.col("kind").isNotNull()).select(
+        id_col, F.col("at").alias("pos"), F.coalesce(strip(first), F.lit("")).alias("meta"), F.lit("").alias("text"), "kind", F.col("_t").alias("raw_text"))
+    return plain.unionByName(media)

@@ -12,35 +12,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify_shift, combine, sheet_date, strip
+from ..session import scratch_path
 from .joins import bounded_broadcast
 from .leads import map_executive
 
 DAY_KEY = ["sheet", "row_no", "fecha"]
 
 
-def sheet_operator_rows(sheet: DataFrame) -> DataFrame:
+FILL_ROWS = 65_536                   # row numbers of a sheet that one window covers
+
+
+def sheet_operator_rows(sheet: DataFrame, fill_rows: int = FILL_ROWS) -> DataFrame:
     """Attach the active week (last header row above) to every operator row.
 
     A header row holds two dates and a blank third cell. Rows before the
     first header, rows without operator and rows whose shift text has no
-    known keyword are dropped. The forward fill is a window per sheet: one
-    sheet is one schedule (weeks x staff rows), not data-sized.
+    known keyword are dropped. The forward fill goes block by block of row numbers: the last
+    header above in the block, or the last one of the blocks before (one row a block), so no
+    window spans a whole sheet.
     """
     d0, d1 = sheet_date(F.col("c0")), sheet_date(F.col("c1"))
     blank2 = F.col("c2").isNull() | (F.length(strip(F.col("c2"))) == 0)
-    s = sheet.withColumn("_hdr", d0.isNotNull() & d1.isNotNull() & blank2)
-    w = Window.partitionBy("sheet").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    s = (
-        s.withColumn("week_start", F.last(F.when(F.col("_hdr"), d0), ignorenulls=True).over(w))
-        .withColumn("week_end", F.last(F.when(F.col("_hdr"), d1), ignorenulls=True).over(w))
-    )
+    week = F.when(d0.isNotNull() & d1.isNotNull() & blank2, F.struct("row_no", d0.alias("start"), d1.alias("end")))
+    s = sheet.withColumn("_week", week).withColumn("_block", F.floor(F.col("row_no") / fill_rows))
+    above = Window.partitionBy("sheet", "_block").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("sheet").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (s.groupBy("sheet", "_block").agg(F.max("_week").alias("_last"))
+               .select("sheet", "_block", F.last("_last", ignorenulls=True).over(before).alias("_carried")))
+    s = s.withColumn("_own", F.last("_week", ignorenulls=True).over(above)).join(carried, ["sheet", "_block"])
+    s = s.withColumn("_active", F.coalesce("_own", "_carried"))
     op = strip(F.col("c0"))
     return (
-        s.where(~F.col("_hdr") & F.col("week_start").isNotNull() & F.col("week_end").isNotNull())
+        s.where(F.col("_week").isNull() & F.col("_active").isNotNull())
         .withColumn("operator_raw", op)
         .withColumn("shift", classify_shift(F.col("c2")))
         .where(op.isNotNull() & (F.length(op) > 0) & F.col("shift").isNotNull())
-        .select("sheet", "row_no", "operator_raw", "shift", "week_start", "week_end")
+        .select("sheet", "row_no", "operator_raw", "shift", F.col("_active.start").alias("week_start"), F.col("_active.end").alias("week_end"))
     )
 
 
@@ -66,6 +73,7 @@ def apply_rules(days: DataFrame, rules: DataFrame, shifts: DataFrame) -> DataFra
     wildcards; executive compared lower-cased); no rule -> the shift's default
     hours; 'off' removes the day; a 'cutoff' date clips the end and drops
     shifts starting at or after the cutoff."""
+    rules = bounded_broadcast(rules)                      # once; the hint stays with what is derived below
     prio = rules.where(F.col("action") != "cutoff")
     cut = rules.where(F.col("action") == "cutoff").select(F.col("date").alias("_cdate"), F.col("end").alias("_cut"))
     # A rule names each of executive, date, weekday and shift or leaves it open, so a
@@ -74,10 +82,10 @@ def apply_rules(days: DataFrame, rules: DataFrame, shifts: DataFrame) -> DataFra
     open_ = F.lit("*")
     days_of = F.when(F.col("weekday_from").isNull() & F.col("weekday_to").isNull(), F.array(open_)).otherwise(F.transform(
         F.sequence(F.coalesce("weekday_from", F.lit(0)), F.coalesce("weekday_to", F.lit(6))), named))
-    r = bounded_broadcast(prio.select(
+    r = prio.select(
         F.coalesce(named(F.lower("executive")), open_).alias("_ex"), F.coalesce(named(F.col("date")), open_).alias("_d"),
         F.explode(days_of).alias("_w"), F.coalesce(named(F.col("shift")), open_).alias("_sh"),
-        F.col("priority").alias("_p"), F.col("action").alias("_a"), F.col("start").alias("_s"), F.col("end").alias("_e")))
+        F.col("priority").alias("_p"), F.col("action").alias("_a"), F.col("start").alias("_s"), F.col("end").alias("_e"))
     own = [named(F.lower("executive")), named(F.col("fecha")), named(F.col("weekday")), named(F.col("shift"))]
     forms = [F.struct(*[(own[i] if form >> i & 1 else open_).alias(n) for i, n in enumerate(("_ex", "_d", "_w", "_sh"))])
              for form in range(16)]
@@ -99,8 +107,7 @@ def apply_rules(days: DataFrame, rules: DataFrame, shifts: DataFrame) -> DataFra
     )
     out = out.withColumn("inicio_dt", combine(F.col("fecha"), F.concat(F.col("hora_inicio"), F.lit(":00")))) \
              .withColumn("fin_dt", combine(F.col("fecha"), F.concat(F.col("hora_fin"), F.lit(":00"))))
-    cutb = bounded_broadcast(cut)
-    out = out.join(cutb, F.col("fecha") == F.col("_cdate"), "left")
+    out = out.join(cut, F.col("fecha") == F.col("_cdate"), "left")
     cut_ts = combine(F.col("fecha"), F.concat(F.col("_cut"), F.lit(":00")))
     out = (
         out.where(F.col("_cut").isNull() | (F.col("inicio_dt") < cut_ts))
@@ -138,6 +145,14 @@ def shift_windows(schedule: DataFrame) -> DataFrame:
         F.min("inicio_dt").alias("inicio_dt"), F.max("fin_dt").alias("fin_dt"))
 
 
+def stored_windows(windows: DataFrame) -> DataFrame:
+    """The windows written once to the shared folder: what joins them knows their number from the files and
+    does not build the calendar again."""
+    path = scratch_path(windows.sparkSession, "windows")
+    windows.write.parquet(path)
+    return windows.sparkSession.read.schema(windows.schema).parquet(path)
+
+
 def _lead_keys(leads: DataFrame) -> DataFrame:
     return leads.withColumn("_lead_ts", combine(F.col("in_date"), F.col("in_time")))
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..dims import dim_excluded_chat, dim_inbox, dim_owner
 from ..functions import date_in_text, safe_name, strip
-from ..operators.capture import (apply_capture_policy, capture_summary, dedupe_messages, eligible_chats,
+from ..operators.capture import (apply_capture_policy, capture_summary, chat_page_messages, dedupe_messages, eligible_chats,
                                  node_messages, page_nodes, recent_chats, skip_processed)
 from ..operators.chats import chat_first_response, inbound_counts, parse_chat_export
 from ..operators.inbox import inbox_first_response
-from ..sources.adapters import (capture_log, chat_export_rows, conversation_export_rows, inbox_messages,
+from ..sources.adapters import (capture_log, chat_export_rows, chat_pages, conversation_export_rows, inbox_messages,
                                 read_table)
 from .registry import query
 
@@ -113,6 +113,13 @@ def q_page_messages(spark, sf):
     return node_messages(page_nodes(read_table(spark, sf, "pages"), "href"))
 
 
+@query("chat_page_messages")
+def q_chat_page_messages(spark, sf):
+    """Stored chat pages -> message nodes and media bubbles -> collected messages."""
+    found = chat_page_messages(chat_pages(read_table(spark, sf, "conversations")))
+    return dedupe_messages(found.withColumn("contact", F.concat(F.lit("conv "), F.col("page_id").cast("string"))))
+
+
 @query("safe_name")
 def q_safe_name(spark, sf):
     raw = chat_export_rows(read_table(spark, sf, "events"))

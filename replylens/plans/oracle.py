@@ -204,6 +204,18 @@ SELECT page_id, CAST(pos AS BIGINT) AS pos, value, text,
             ELSE '[ADJUNTO]' END AS message
 FROM e""")
 
+# A bubble's row gives its media message; the element with the meta gives the meta with its text (empty for audio).
+oracle("chat_page_messages", """
+WITH c AS (SELECT 'conv ' || conv_id AS contact, turn % 5 AS k, '[turn ' || turn || '] x > y:' AS meta,
+                  translate(coalesce(text, ''), '<>&', '   ') AS t FROM conversations),
+m AS (
+  SELECT contact, meta, trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text, '' AS preview FROM c WHERE k > 2
+  UNION ALL SELECT contact, meta, '', '' FROM c WHERE k = 0
+  UNION ALL SELECT contact, meta, '[AUDIO]', '' FROM c WHERE k = 0
+  UNION ALL SELECT contact, '', '[ADJUNTO]', replace(trim(substr(t, 1, 20), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), chr(10), ' ') FROM c WHERE k = 1
+  UNION ALL SELECT contact, '', '[ADJUNTO]', '' FROM c WHERE k = 2)
+SELECT contact, meta, text FROM (SELECT DISTINCT * FROM m)""")
+
 oracle("safe_name", f"""
 WITH {CHAT_ROWS},
 n AS (SELECT DISTINCT contact || ' / ' || executive || ' #1' AS name FROM chat),

@@ -95,6 +95,13 @@ MAX_TITLE_LEN = 60
 MEDIA_AUDIO = "[AUDIO]"
 MEDIA_ATTACHMENT = "[ADJUNTO]"
 PREVIEW_CHARS = 80
+# Marker elements of a message bubble: (attribute, words its value is or holds, whether it is them, needs role=button, kind).
+MEDIA_MARKERS = [
+    ("data-icon", ["audio-play", "ptt-play"], True, False, "AUDIO"),
+    ("aria-label", ["Abrir foto", "Descargar", "Download"], False, True, "ADJUNTO"),
+]
+META_ATTRIBUTE = "data-pre-plain-text"
+BUBBLE_ROLE = "row"
 # Yes/no flag words of lead files.
 FLAG_YES = "SI"
 FLAG_NO = "NO"

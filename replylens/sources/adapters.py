@@ -239,3 +239,22 @@ def capture_log(events: DataFrame) -> DataFrame:
     return per.where(uid % 4 != 0).select(
         F.concat(F.lit("contact "), uid.cast("string")).alias("contact"), status.alias("status"),
         F.when(status.isin("ok", "timed_out"), F.col("messages")).otherwise(F.lit(0)).cast("bigint").alias("messages"))
+
+
+# ---------------------------------------------------------------- B9 stored chat pages
+def chat_pages(conversations: DataFrame) -> DataFrame:
+    """conversations -> one stored chat page each (page_id, html): bubbles with nested elements of one name, the meta on
+    an inner element, comments, unclosed tags, and markers by ``turn % 5`` (0: audio with a meta, 1: an
+    attachment without meta, 2: a picture alone, others: text)."""
+    text, kind = F.translate(F.coalesce("text", F.lit("")), "<>&", "   "), F.col("turn") % 5
+    head = F.concat(F.lit('<div class="in" data-pre-plain-text="[turn '), F.col("turn").cast("string"), F.lit('] x > y: ">'))
+    body = (F.when(kind == 0, F.concat(head, F.lit("</div><span data-icon='audio-play'></span>")))
+            .when(kind == 1, F.concat(F.lit("<div><span>"), F.substring(text, 1, 20), F.lit('</span></div><b ROLE=button aria-label="Descargar archivo"></b>')))
+            .when(kind == 2, F.lit('<div><div><img src="x.png"></div></div>'))
+            .otherwise(F.concat(head, F.lit("<p><span>"), F.substring(text, 1, 3), F.lit("</span><div><!-- <div>no -->"),
+                                F.substring(text, 4, 1_000_000), F.lit("</div></div>"))))
+    bubble = F.concat(F.lit("<div role=row><i>"), body, F.lit("</div>\n"))
+    return conversations.groupBy(F.col("conv_id").alias("page_id")).agg(
+        F.concat(F.lit("<script>var a = '<div role=row>';</script><div>"),
+                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", bubble.alias("b")))), lambda x: x["b"]), ""),
+                 F.lit("</div>")).alias("html"))

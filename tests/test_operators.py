@@ -212,6 +212,47 @@ def test_page_nodes(spark):
     assert [(r["value"], r["text"]) for r in rows] == [("[9:00] Ana:", "Hi there")]
 
 
+def test_page_nodes_nest(spark):
+    pages = spark.createDataFrame([(1, '<div data-m=out>a<!-- <div data-m="no"> --><div data-m=\'in > x\'>b<br>c</div></span> d<p>e</div>'
+                                       '<div title=" data-m=no" >f</div><span data-m="g"/>h<DIV DATA-M="open">i<script>if (a < b) "</div>"</script> j < k')],
+                                  "page_id bigint, html string")
+    rows = page_nodes(pages, "data-m", tag=None).orderBy("pos").collect()
+    assert [(r["pos"], r["value"], r["text"]) for r in rows] == [
+        (0, "out", "abc de"), (1, "in > x", "bc"), (2, "g", ""), (3, "open", "i j < k")]
+    deep = spark.createDataFrame([(1, "<div data-m=x>" * 2000 + "t" + "</div>" * 2000)], "page_id bigint, html string")
+    rows = page_nodes(deep, "data-m", tag="div").collect()
+    assert len(rows) == 2000 and {r["text"] for r in rows} == {"t"}
+
+
+def test_bubbles_and_media_kinds(spark):
+    from replylens.operators.capture import chat_page_messages
+    html = ('<div role="row"><div><div data-pre-plain-text="[9:00] Ana: "><span>Hi</span> there</div></div></div>'
+            '<div role="row"><div data-pre-plain-text="[9:01] Ana: "></div><span data-icon="ptt-play"></span>0:12</div>'
+            '<div role="row"><span role="button" aria-label="Abrir foto grande"></span></div>'
+            '<div role="row"><span aria-label="Download"></span>no button</div>'
+            '<div role="row"><img src="a"><b> </b></div><div role="row">only text<img src="a"></div>')
+    got = chat_page_messages(spark.createDataFrame([(1, html)], "page_id bigint, html string")).orderBy("pos").collect()
+    assert [(r["meta"], r["text"], r["kind"], r["raw_text"]) for r in got] == [
+        ("[9:00] Ana:", "Hi there", None, "Hi there"), ("[9:01] Ana:", "", "AUDIO", "0:12"), ("[9:01] Ana:", "", None, ""),
+        ("", "", "ADJUNTO", ""), ("", "", "ADJUNTO", "")]
+
+
+def test_forward_fill_in_blocks(spark):
+    from replylens.operators.schedule import sheet_operator_rows
+    rows, want, week = [], [], None
+    for i in range(60):
+        if i in (4, 5, 26):
+            week = f"2024-01-{i + 1:02d}"
+            rows.append(("s", i, week, week, None))
+        else:
+            rows.append(("s", i, f"agent_{i}", None, "Tarde"))
+            want += [(i, week)] if week else []
+    sheet = spark.createDataFrame(rows + [("t", 1, "agent_x", None, "Tarde")], "sheet string, row_no bigint, c0 string, c1 string, c2 string")
+    for block in (1, 7, 1000):
+        got = sheet_operator_rows(sheet, block).orderBy("row_no").collect()
+        assert [(r["row_no"], r["week_start"].isoformat()) for r in got] == want
+
+
 def test_dedupe_keep_latest_answer(spark):
     new = lead_rows(spark, [
         ("agent_a", "9", "SI", "NO", "2024-01-01", "09:00:00", None, None, "a.csv"),

@@ -3,8 +3,8 @@
 Two texts are linked when the Jaccard similarity of their sets of five-word
 shingles (lower-cased words; a shorter text is one shingle) is at least 0.8.
 
-1. Exact copies (one text hash) are folded into a class, represented by its
-   smallest id; only classes are joined, so copies are never paired.
+1. Exact copies (one text hash) are folded into a class with a number of its own; only
+   classes are joined, so copies are never paired and equal ids never mix texts.
 2. Every set is embedded into ``SLOTS`` min-hash tokens; the share of equal tokens
    estimates the similarity.
 3. Chosen paths: a run starts with one bucket of all sets. A bucket picks one or
@@ -29,8 +29,8 @@ n_links (other texts linked to this text).
 
 Defined cases: texts null or without a word have no shingles, no copies and no
 links; a row without an id is returned with class_id null; rows that share an
-id are one document; equal rows are copies of each other; an empty table gives
-no rows; extra columns are ignored.
+id but not a text belong to the groups of their texts; equal rows are copies of each
+other; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -113,6 +113,10 @@ def tokens(low: np.ndarray) -> np.ndarray:
     return (low >> U(48)).astype("<u2")
 
 
+def text_key(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
 def sketch(docs: DataFrame, runs: int) -> DataFrame:
     """doc_id, key (text hash; null without words), tokens (bytes), paths (the first buckets of every run). The first
     split uses whole hashes: with short tokens unrelated sets would meet more often the more sets there are."""
@@ -124,7 +128,7 @@ def sketch(docs: DataFrame, runs: int) -> DataFrame:
             keys, low, at = [], [], []
             for i, text in enumerate(b.column("text").to_pylist()):
                 s = shingle(text)
-                keys.append(xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")) if len(s) else None)
+                keys.append(text_key(text) if len(s) else None)
                 if len(s):
                     low.append(low_hashes(s))
                     at.append(i)
@@ -357,13 +361,15 @@ def verify(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def shingled(docs: DataFrame) -> DataFrame:
+    """(key, shingles) of every text."""
     def run(batches):
         shingle = Shingler()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array([shingle(x).tobytes() for x in b.column("text").to_pylist()], pa.binary())],
-                                             names=["rep", "shingles"])
+            texts = [x or "" for x in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"key": pa.array([text_key(x) for x in texts], pa.binary()),
+                                              "shingles": pa.array([shingle(x).tobytes() for x in texts], pa.binary())})
 
-    return docs.select("rep", "text").mapInArrow(run, "rep long, shingles binary")
+    return docs.select("text").mapInArrow(run, "key binary, shingles binary")
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -395,35 +401,43 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, recall: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
-    """doc_id, class_id, text_id, n_copies, n_links for every document."""
-    marks = materialize(sketch(docs, runs_for(recall)), "join-sketch")
-    # Exact copies: the class takes the sketch of its smallest id (all are equal).
+def linked_texts(marks: DataFrame, docs: DataFrame, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+    """One row a text class: key, rep (its smallest id), n_copies, n_links, root (one class of its group), of the
+    documents with an id and a word. ``marks``: their written sketch."""
+    # Exact copies: the class takes the sketch of a row of its smallest id (all are equal).
     classes = (marks.where("key is not null and doc_id is not null").groupBy("key")
-               .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies")))
-    names = materialize(classes, "join-classes")
-    owners = names.groupBy("rep").agg(F.min("key").alias("key"))
-    own = marks.join(owners.withColumnRenamed("rep", "doc_id"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id"])
-    sets = materialize(own.select(F.col("doc_id").alias("rep"), "tokens", "paths"), "join-sets")
+               .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies")))
+    names = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "join-classes")
+    own = marks.join(names.select("key", "doc_id", "rep"), ["doc_id", "key"]).dropDuplicates(["rep"])
+    sets = materialize(own.select("rep", "tokens", "paths"), "join-sets")
     found = materialize(tiles(leaves(sets, leaf), block), "join-tiles")
     keyed = found.groupBy("rep").agg(F.collect_set("path").alias("paths"))
     keyed = sets.select("rep", "tokens").join(keyed, "rep").select("rep", "tokens", "paths").mapInArrow(_sorted_keys, "rep long, tokens binary, keys binary")
     tile = ["path", "ti", "tj"]
     rows = found.join(keyed, "rep").repartition(*tile).sortWithinPartitions(*tile)
     likely = materialize(screen(rows), "join-likely")
-    ids = likely.select("rep").distinct()
+    wanted = names.select("rep", "key", "doc_id").join(likely.select("rep").distinct(), "rep", "left_semi")
+    wanted = materialize(wanted, "join-ids")
     # Ids of at most MAX_BROADCAST_IDS sets (8 MB) are broadcast to the scan; more go through a shuffle join.
-    ids = materialize(ids, "join-ids")
-    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
-    rows = likely.join(shingled(texts).groupBy("rep").agg(F.min("shingles").alias("shingles")), "rep")
-    linked = materialize(verify(rows.repartition(*tile).sortWithinPartitions(*tile, "rep")), "join-links")
+    ids = wanted.select("doc_id").distinct()
+    ids = F.broadcast(ids) if wanted.count() <= MAX_BROADCAST_IDS else ids
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    # Repeated rows of one id and text give a class once.
+    full = wanted.select("rep", "key").join(shingled(texts), "key").groupBy("rep").agg(F.min("shingles").alias("shingles"))
+    linked = materialize(verify(likely.join(full, "rep").repartition(*tile).sortWithinPartitions(*tile, "rep")), "join-links")
     n_links = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
     roots = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    named = (names.select("key", "rep", "n_copies").join(n_links, "rep", "left")
-             .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("key", F.coalesce("root", "rep").alias("class_id"), F.col("rep").alias("text_id"), "n_copies",
-                     F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+    return (names.join(n_links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("key", F.col("doc_id").alias("rep"), "n_copies", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+                    F.coalesce("root", "rep").alias("root")))
+
+
+def near_duplicates(docs: DataFrame, recall: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+    """doc_id, class_id, text_id, n_copies, n_links for every document."""
+    marks = materialize(sketch(docs, runs_for(recall)), "join-sketch")
+    texts = materialize(linked_texts(marks, docs, leaf, block), "join-texts")
+    least = texts.groupBy("root").agg(F.min("rep").alias("class_id"))
+    named = texts.join(least, "root").select("key", "class_id", F.col("rep").alias("text_id"), "n_copies", "n_links")
     with_key = join_per_key(marks.select("doc_id", "key").where("key is not null and doc_id is not null"), named, ["key"], "inner")
     alone = marks.where("key is null or doc_id is null").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"),
@@ -431,6 +445,27 @@ def near_duplicates(docs: DataFrame, recall: float = TARGET_RECALL, leaf: int =
     return with_key.select("doc_id", "class_id", "text_id", "n_copies", "n_links").unionByName(alone)
 
 
+def distinct_documents(docs: DataFrame, recall: float = TARGET_RECALL) -> DataFrame:
+    """One row of every group of linked texts: that of the smallest id (of its texts, the one of smallest key). Rows
+    without an id or without a word all stay. Columns as in ``docs``."""
+    marks = materialize(sketch(docs, runs_for(recall)), "join-sketch")
+    texts = linked_texts(marks, docs)
+    kept = materialize(texts.groupBy("root").agg(F.min(F.struct("rep", "key")).alias("k")).select("k.*"), "join-kept")
+    # The whole row travels as one column, so no column of the documents can clash.
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text", F.struct("*").alias("doc"))
+
+    def keys(batches):
+        for b in batches:
+            found = [text_key(x) if x and x.split() else None for x in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array(found, pa.binary()), b.column("doc")], names=["rep", "key", "doc"])
+
+    kind = rows.schema["doc"].dataType.simpleString()
+    rows = rows.mapInArrow(keys, f"rep long, key binary, doc {kind}")
+    first = rows.where("rep is not null and key is not null").join(kept, ["rep", "key"], "left_semi").dropDuplicates(["rep", "key"])
+    rest = rows.where("rep is null or key is null")
+    return first.unionByName(rest).select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+
+
 def _sorted_keys(batches):
     """(rep, tokens, paths) -> the paths as ascending unsigned 64-bit keys in bytes."""
     for b in batches:

@@ -149,6 +149,21 @@ def test_pipeline_stages_on_documents(spark):
     assert not any(re.search(r"[a-z0-9.]+@mail[0-9]\.example\.com", r["text"]) for r in masked.values())
 
 
+def test_equal_ids_do_not_mix_texts(spark):
+    """Ids that stand for several texts: each text is linked by itself, and no unique text is lost."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = b.replace("b29", "other")
+    rows = [(5, a, 1), (5, b, 2), (9, b, 3), (9, near, 4), (3, c, 5), (3, c, 6), (None, c, 7), (8, "", 8), (8, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    got = sorted((r["doc_id"] is None, r["doc_id"], r["class_id"], r["text_id"], r["n_copies"], r["n_links"]) for r in nj.near_duplicates(df).collect()
+                 if r["doc_id"] is not None)
+    assert [x[1:] for x in got] == [(3, 3, 3, 2, 0), (3, 3, 3, 2, 0), (5, 5, 5, 1, 0), (5, 5, 5, 2, 1), (8, 8, 8, 1, 0), (8, 8, 8, 1, 0),
+                                    (9, 5, 5, 2, 1), (9, 5, 9, 1, 1)]
+    kept = sorted((r["key"], r["text"]) for r in corpus_pipeline.near_dups(spark, df, SMOKE).collect())
+    keys = [k for k, _ in kept]
+    assert [k for k in keys if k not in (5, 6)] == [1, 2, 7, 8, 9] and len(set(keys) & {5, 6}) == 1
+
+
 def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, SMOKE).toPandas()
     assert len(out) and {"doc_id", "n_tokens", "bucket", "batch", "slot"} <= set(out.columns)

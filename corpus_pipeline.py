@@ -31,11 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without an id stay; of equal ids one row stays."""
-    groups = ngram_join.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """Rows without an id or without a word stay; of equal rows one stays."""
+    return ngram_join.distinct_documents(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

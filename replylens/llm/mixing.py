@@ -16,7 +16,7 @@
 A hot source is spread over the shards; no window spans more than one shard
 (about ``shard_rows`` rows over all sources) except those over the list of
 sources. Defined cases: null text has size 0; a null source is a source of its
-own; size 0 takes 0; repeated ids share a place on the line in any order of
+own; size 0 takes 0; rows without an id are placed by their texts; repeated ids share a place on the line in any order of
 equals; an empty table gives an empty mix; extra columns are ignored.
 """
 
@@ -36,7 +36,12 @@ SEED = "mix-1"
 
 def seeded_key(seed: str, key: Column) -> Column:
     """Seeded order key as hex text (md5, so that plain SQL can repeat it)."""
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary"))
+    return F.md5(F.concat(F.lit(seed + ":"), key.cast("string")).cast("binary"))
+
+
+def _text_name() -> Column:
+    """Stands for the id of a row without one."""
+    return F.concat(F.lit("null-"), F.coalesce(F.xxhash64("text").cast("string"), F.lit("")))
 
 
 def _source_key(src: Column) -> Column:
@@ -97,10 +102,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD
     """Per document: doc_id, size, source_size, target, taken, and where it lies: passes
     (whole takes), and the list ``parts`` of (first word, words) taken once more."""
     b = F.lit(block_words).cast("long")
-    sizes = materialize(docs.select("doc_id", _source_key(F.col("source")).alias("skey"), word_count(F.col("text")).alias("size")),
+    name = F.when(F.col("doc_id").isNull(), _text_name()).alias("name")
+    sizes = materialize(docs.select("doc_id", name, _source_key(F.col("source")).alias("skey"), word_count(F.col("text")).alias("size")),
                         "mix-sizes")
     n_shards = max(1, -(-sizes.count() // shard_rows))
-    placed = (sizes.withColumn("order_key", seeded_key(seed, F.col("doc_id")))
+    placed = (sizes.withColumn("order_key", seeded_key(seed, F.coalesce(F.col("doc_id").cast("string"), "name")))
               .withColumn("shard", F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") % n_shards))
     shards = placed.groupBy("skey", "shard").agg(F.sum("size").alias("shard_size"))
     sources = target_sizes(shards.groupBy("skey").agg(F.sum("shard_size").alias("source_size")), max_repeats)
@@ -140,10 +146,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: a document is repeated once per whole pass and, where
     blocks are taken once more, once with just those words (joined by one space
-    unless the text is taken whole). Documents of no words are not in a mix."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id")
-    plan = mix(docs, **options)
-    plan = (plan.select(key, F.col("size").alias("words"), F.struct("taken", "passes", "parts").alias("take"))
+    unless the text is taken whole). Documents of no words are not in a mix. Rows
+    without an id are told apart by their texts, so they are no group of their own."""
+    key = F.coalesce(F.col("doc_id").cast("string"), _text_name()).alias("id")
+    plan = mix(docs.withColumn("doc_id", key), **options)
+    plan = (plan.select(F.col("doc_id").alias("id"), F.col("size").alias("words"), F.struct("taken", "passes", "parts").alias("take"))
             .groupBy("id", "words").agg(F.sort_array(F.collect_list("take")).alias("takes")))
     # The whole row travels as one column, so no column of the documents can clash.
     rows = docs.select(key, word_count(F.col("text")).alias("words"), F.struct("*").alias("doc")).where("words > 0")
@@ -154,7 +161,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     text = F.col("doc.text")
     words = F.regexp_extract_all(text, F.lit("(" + WORD_RUN + ")"), F.lit(1))
     rest = F.col("take.taken") - F.col("take.passes") * F.col("words")
-    cut = F.array_join(F.flatten(F.transform("take.parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    # The words are bound once; written into the inner function, they would be split again for every part.
+    cut = F.get(F.transform(F.array(words), lambda all_: F.array_join(F.flatten(F.transform(
+        "take.parts", lambda p: F.slice(all_, (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")), F.lit(0))
     extra = F.when(rest == 0, F.array().cast("array<string>")).when(rest == F.col("words"), F.array(text)).otherwise(F.array(cut))
     copies = F.concat(F.array_repeat(text, F.col("take.passes").cast("int")), extra)
     out = rows.select("doc", F.explode(copies).alias("new"))

@@ -10,7 +10,7 @@ speaks for the element. An element with an unlikely name, or a form, that holds
 of the unlinked text around it stays (readers' comments and cookie notices do not),
 and when nothing is left the names are not used at all. Every block of text passes points to its ancestors: one, plus one
 a comma, plus up to three for length; the parent gets all, the grandparent half,
-further ancestors less. A container's points are discounted by the share of its
+further ancestors less (up to 64 of them). A container's points are discounted by the share of its
 text inside links. The best container is kept, widened to the article or main
 element around it; without one, to its parent and to the elements further out as
 long as others in them hold prose too. On that way everything beside it stays, bare
@@ -18,7 +18,8 @@ text as well, except what is mostly links and, directly in the body, what is nei
 prose nor a kind of text.
 
 Text of a block has white space folded and references decoded; blocks are
-joined in page order by one space. Nothing is capped.
+joined in page order by one space. No text is capped; the work grows with the length of
+the page, however deep its elements lie in each other.
 
 Defined cases: null, empty and text-free pages give the empty string; a page
 without any block element is one block; repeated rows are extracted as rows;
@@ -51,6 +52,8 @@ SOFT = frozenset(["form"])       # left out by kind, unless it holds the page
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "thead", "tr", "td", "th")}
 WALLS = frozenset("ul ol dl table select article body div section".split())
+P_WALLS = WALLS | {"td", "th", "li"}
+LEVELS = 64                      # ancestors a block passes points to; further ones would get less than 1 / 189
 
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|sponsor\w*|promo\w*|banner\w*|comments?|commentlist|respond|repl(?:y|ies)|disqus|cookies?\w*|"
@@ -72,11 +75,41 @@ PRIOR = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "dropped", "name", "points", "chars", "linked")
+    """``depth``: elements above it; ``scope``: the nearest article or main element, itself included; ``within``: it or one
+    above it is an article by kind or name (None: not looked at yet); ``held``: an article below it has spoken for it."""
+    __slots__ = ("tag", "parent", "kids", "dropped", "name", "points", "chars", "linked", "depth", "scope", "within", "held", "prose")
 
     def __init__(self, tag, parent, name=""):
         self.tag, self.parent, self.kids, self.name = tag, parent, [], name
         self.dropped, self.points, self.chars, self.linked = False, 0.0, 0, 0
+        self.depth = parent.depth + 1 if parent is not None else 0
+        self.scope = self if tag in ("article", "main") else parent.scope if parent is not None else None
+        self.within, self.held, self.prose = None, False, 0
+
+
+class Open:
+    """The open elements, by tag, so that no search walks up the tree."""
+
+    def __init__(self, root: Node):
+        self.here, self.by_tag = root, {}
+
+    def push(self, node: Node) -> None:
+        self.here = node
+        self.by_tag.setdefault(node.tag, []).append(node)
+
+    def nearest(self, tag: str, walls=frozenset()):
+        """The nearest open element of that tag, or None when a wall comes first."""
+        found = self.by_tag.get(tag)
+        if not found:
+            return None
+        depth = found[-1].depth
+        return None if any(w[-1].depth > depth for t in walls if (w := self.by_tag.get(t))) else found[-1]
+
+    def close(self, node: Node) -> None:
+        """Ends the element and all that are open in it."""
+        while self.here is not node.parent:
+            self.by_tag[self.here.tag].pop()
+            self.here = self.here.parent
 
 
 def _names(attrs: str) -> tuple[str, str]:
@@ -86,48 +119,43 @@ def _names(attrs: str) -> tuple[str, str]:
     return " ".join(found.values()), found.get("role", "")
 
 
-def parse(page: str) -> tuple[Node, list[Node]]:
-    """The tree of a page, and the elements left out by name (or as a form) in page order; kids are nodes and
-    strings (already decoded)."""
+def parse(page: str) -> tuple[Node, list[Node], list[Node]]:
+    """The tree of a page, all its elements in page order, and those left out by name (or as a form); kids are nodes
+    and strings (already decoded)."""
     root, suspects = Node("#root", None), []
-    here, at, n = root, 0, len(page)
+    nodes, tree, at, n = [root], Open(root), 0, len(page)
     lower = None
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
-            here.kids.append(entities.unescape(page[at:]))
+            tree.here.kids.append(entities.unescape(page[at:]))
             break
         m = TOKEN.match(page, lt)
         if m is None:                                   # a bare "<" is text
-            here.kids.append(entities.unescape(page[at:lt + 1]))
+            tree.here.kids.append(entities.unescape(page[at:lt + 1]))
             at = lt + 1
             continue
         if lt > at:
-            here.kids.append(entities.unescape(page[at:lt]))
+            tree.here.kids.append(entities.unescape(page[at:lt]))
         at = m.end()
         if m.group(2) is None:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            if tag == "p" and not _open(here, "p"):
-                continue
-            up = _open(here, tag)
-            if up is not None:
-                here = up.parent
+            if (up := tree.nearest(tag)) is not None:
+                tree.close(up)
             continue
-        if tag in CLOSES_P or tag == "p":
-            up = _open(here, "p", WALLS | {"td", "th", "li"})
-            if up is not None:
-                here = up.parent
+        if (tag in CLOSES_P or tag == "p") and (up := tree.nearest("p", P_WALLS)) is not None:
+            tree.close(up)
         for other in ENDS.get(tag, ()):
-            up = _open(here, other, WALLS)
-            if up is not None:
-                here = up.parent
+            if (up := tree.nearest(other, WALLS)) is not None:
+                tree.close(up)
         attrs = m.group(3)
         name, role = _names(attrs) if "=" in attrs else ("", "")
-        node = Node(tag, here, name)
+        node = Node(tag, tree.here, name)
         node.dropped = tag in DROPPED or _boiler(node, role)
-        here.kids.append(node)
+        tree.here.kids.append(node)
+        nodes.append(node)
         if node.dropped and (tag in SOFT or tag not in DROPPED):
             suspects.append(node)
         if tag in ("article", "main") and not node.dropped:
@@ -143,28 +171,8 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             close = page.find(">", end)
             at = n if close < 0 else close + 1
         elif tag not in VOID and not attrs.endswith("/") or tag in BLOCK and tag not in VOID:
-            here = node
-    return root, suspects
-
-
-def _open(node: Node, tag: str, walls=frozenset()):
-    """The nearest open element of that tag, or None when a wall comes first."""
-    while node.parent is not None:
-        if node.tag == tag:
-            return node
-        if node.tag in walls:
-            return None
-        node = node.parent
-    return None
-
-
-def _inside(node: Node, *tags) -> bool:
-    node = node.parent
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
+            tree.push(node)
+    return root, nodes, suspects
 
 
 def _boiler(node: Node, role: str) -> bool:
@@ -187,22 +195,30 @@ def _boiler(node: Node, role: str) -> bool:
     return bool(bad)
 
 
+def _speaks(node: Node) -> bool:
+    """An article or main element, or one with an article's name."""
+    return node.tag in ("article", "main") or bool(node.name) and node.tag not in ("html", "body") and any(
+        OWN_HEADER.search(w) and not UNLIKELY.search(w) for w in node.name.split() if not STATE.search(w))
+
+
 def _in_article(node: Node) -> bool:
-    """Inside an article or main element, or one with an article's name."""
-    up = node.parent
-    while up is not None:
-        if up.tag in ("article", "main") or up.name and up.tag not in ("html", "body") and any(
-                OWN_HEADER.search(w) and not UNLIKELY.search(w) for w in up.name.split() if not STATE.search(w)):
-            return True
+    """Inside an element that speaks for an article. What is found is kept, so an element is looked at once."""
+    new, up = [], node.parent
+    while up is not None and up.within is None:
+        new.append(up)
         up = up.parent
-    return False
+    known = up is not None and up.within
+    for up in reversed(new):
+        up.within = known = known or _speaks(up)
+    return known
 
 
 def _holds_article(node: Node) -> None:
     """An article inside an element of an unlikely name (a layout with a sidebar, say) or inside a form speaks for
     that element, unless it is about readers' comments or other articles."""
     up = node.parent
-    while up is not None:
+    while up is not None and not up.held:
+        up.held = True
         if up.dropped and (up.tag in SOFT or up.tag not in DROPPED) and not READERS.search(up.name):
             up.dropped = False
         up = up.parent
@@ -213,36 +229,33 @@ def _may_stay(node: Node) -> bool:
     return node.tag in SOFT or node.tag not in DROPPED and not READERS.search(node.name) and not NEVER.search(node.name)
 
 
-def _prose(node: Node) -> int:
-    """Unlinked characters of a subtree, with the elements whose names do not settle the case."""
-    chars, stack = 0, [node]
-    while stack:
-        for kid in stack.pop().kids:
-            if isinstance(kid, str):
-                chars += len(" ".join(kid.split()))
-            elif kid.tag != "a" and (not kid.dropped or _may_stay(kid)):
-                stack.append(kid)
-    return chars
+def _count_prose(nodes: list[Node]) -> None:
+    """Unlinked characters of every subtree, with the elements whose names do not settle the case; children first."""
+    for node in reversed(nodes):
+        node.prose = sum(len(" ".join(k.split())) if isinstance(k, str) else 0 if k.tag == "a" or k.dropped and not _may_stay(k) else k.prose
+                         for k in node.kids)
 
 
-def _keep_prose(suspects: list[Node], blocks) -> bool:
+def _keep_prose(nodes: list[Node], suspects: list[Node], blocks) -> bool:
     """Take back in the elements that hold most of the unlinked text around them: of the article or main element they
     are in, or of a page whose article and main elements (if any) hold no text. True if any was."""
-    marked = any(linked < len(text) and (block.tag in ("article", "main") or _inside(block, "article", "main")) for block, text, linked in blocks)
-    whole, changed = {}, False
-    for node in suspects:
+    marked = any(linked < len(text) and block.scope is not None for block, text, linked in blocks)
+    _count_prose(nodes)
+    clear, changed = {}, False                            # whether nothing at or above an element is left out
+    for node in suspects:                                 # in page order, so those above a suspect are settled
         if not node.dropped or not _may_stay(node):
             continue
-        up = scope = node.parent
-        inner = False
-        while up is not None and not up.dropped:
-            inner = inner or up.tag in ("article", "main")
-            scope, up = (scope if scope.tag in ("article", "main") else up), up.parent
-        if up is not None or marked and not inner:        # inside another one that is left out, or beside the article
+        new, up = [], node.parent
+        while up is not None and id(up) not in clear:
+            new.append(up)
+            up = up.parent
+        free = up is None or clear[id(up)]
+        for up in reversed(new):
+            free = clear[id(up)] = free and not up.dropped
+        inner = node.parent.scope
+        if not free or marked and inner is None:          # inside another one that is left out, or beside the article
             continue
-        if id(scope) not in whole:
-            whole[id(scope)] = _prose(scope)
-        if 2 * _prose(node) > whole[id(scope)]:
+        if 2 * node.prose > (inner or nodes[0]).prose:
             node.dropped, changed = False, True
     return changed
 
@@ -298,9 +311,9 @@ def main_text(page: str | None) -> str:
     """The page's main text ('' if none)."""
     if not page or not page.strip():
         return ""
-    root, suspects = parse(page)
+    root, nodes, suspects = parse(page)
     blocks = _blocks(root)
-    if suspects and _keep_prose(suspects, blocks):
+    if suspects and _keep_prose(nodes, suspects, blocks):
         blocks = _blocks(root)
     if not blocks:
         for node in suspects:
@@ -308,22 +321,27 @@ def main_text(page: str | None) -> str:
         blocks = _blocks(root)
     if not blocks:
         return ""
-    scored = {}
     for block, text, linked in blocks:
         # A block that is mostly links is a list of links, not prose.
         points = (1.0 + text.count(",") + min(len(text) / 100.0, 3.0)) * (1.0 - linked / len(text))
-        up, level = block if block.tag not in ("p", "pre", "li", "td", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6") else block.parent, 1
-        while up is not None:
-            if id(up) not in scored:
-                up.points = PRIOR.get(up.tag, 0.0) + (25.0 if up.name and LIKELY.search(up.name) else 0.0)
-                scored[id(up)] = up
+        up = block if block.tag not in ("p", "pre", "li", "td", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6") else block.parent
+        up.chars += len(text)
+        up.linked += linked
+        for level in range(1, LEVELS + 1):
             up.points += points / (1 if level == 1 else 2 if level == 2 else 3 * (level - 1))
-            up.chars += len(text)
-            up.linked += linked
-            up, level = up.parent, level + 1
-    for node in scored.values():
-        node.points *= 1.0 - node.linked / node.chars
-    best = max(scored.values(), key=lambda x: (x.points, x.chars))
+            up = up.parent
+            if up is None:
+                break
+    scored = {}
+    for node in reversed(nodes):                          # children first: the lengths of whole subtrees
+        if node.chars:
+            node.points += PRIOR.get(node.tag, 0.0) + (25.0 if node.name and LIKELY.search(node.name) else 0.0)
+            node.points *= 1.0 - node.linked / node.chars
+            scored[id(node)] = node
+            if node.parent is not None:
+                node.parent.chars += node.chars
+                node.parent.linked += node.linked
+    best = max(scored.values(), key=lambda x: (x.points, x.chars, x.depth))
     top, up = best, best
     while up is not None:
         if up.tag in ("article", "main"):

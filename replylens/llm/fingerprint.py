@@ -21,6 +21,8 @@ text of one string holds fewer than 2^31 sentences, so no lane of one text wraps
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -100,30 +102,73 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.least(F.greatest(est, F.lit(0.0)), F.lit(1.0)))
 
 
+def _array(values) -> str:
+    return "array(" + ", ".join(f"{int(v)}L" for v in values) + ")"
+
+
+def _position(values: list[int], at: str) -> str:
+    """SQL for the number of the last of the ascending ``values`` that is not above ``at`` (0: the first): a search in two
+    steps over blocks of about the square root of their number."""
+    step = max(1, math.isqrt(len(values)))
+    blocks = [values[i:i + step] for i in range(0, len(values), step)]
+    block = f"greatest(1, size(filter({_array(b[0] for b in blocks)}, v -> v <= {at})))"
+    return (f"transform(array({block}), b -> (b - 1) * {step} + greatest(1, size(filter(element_at(array({', '.join(map(_array, blocks))}), b), "
+            f"v -> v <= {at}))) - 1)[0]")
+
+
+def id_ranges(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[Column, int]:
+    """(bucket of a row, greatest number of buckets that share an id). Buckets are cut at quantiles of the ids, so
+    clustered ids make no large one; an id that holds several quantiles, and the rows without an id, are split
+    further by the hash of the text. Numbers grow with (id, hash), null ids first."""
+    n = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids")).first()
+    ranges = min(MAX_RANGES, max(1, -(-n["ids"] // bucket_rows)))
+    at = []
+    if ranges > 1:
+        shares = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+        at = docs.agg(F.expr(f"percentile_approx(doc_id, array({shares}), {4 * ranges})").alias("q")).first()["q"] or []
+    held = Counter(at)
+    heavy = {v: c for v, c in held.items() if c > 1}
+    starts = sorted({-(1 << 63) + 1, *held, *(v + 1 for v in heavy if v < (1 << 63) - 1)})
+    cells = [1 + heavy.get(v, 0) for v in starts]
+    nulls = min(MAX_RANGES, max(1, -(-(n["n"] - n["ids"]) // bucket_rows)))
+    first = [nulls + sum(cells[:i]) for i in range(len(cells))] if heavy else None
+
+    def cell(count: Column) -> Column:
+        """Equal parts of the range of the hash."""
+        return F.least(F.floor((F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(1 << 63))), 33).cast("double") / (1 << 31)) * count), count - 1).cast("long")
+
+    place = F.expr(_position(starts, "doc_id")).cast("long")
+    known = place + nulls
+    if heavy:
+        known = F.expr(f"element_at({_array(first)}, cast(_place + 1 as int))") + cell(F.expr(f"element_at({_array(cells)}, cast(_place + 1 as int))"))
+    bucket = F.when(F.col("doc_id").isNull(), cell(F.lit(nulls)) if nulls > 1 else F.lit(0).cast("long")).otherwise(known)
+    return (place, bucket), max([nulls, *cells])
+
+
 def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(bucket, place, home, doc_id, text, next_text): every document with the text of the
     next by ascending id (null ids first), the last with the first's.
 
-    Ids are cut into equal ranges of about ``bucket_rows`` ids; a range's first
-    document is also sent to the range before it (``home`` false there), so the
-    text crosses the network once and no window spans more than a range.
-    Clustered ids make some ranges larger, which their sort then spills. Rows of
-    one id are ordered by text; equal rows are interchangeable."""
-    ids = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi, n = ids["lo"] or 0, ids["hi"] or 0, ids["n"]
-    ranges = min(MAX_RANGES, max(1, -(-n // bucket_rows)))
-    width = max(1, -(-(hi - lo + 1) // ranges))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - lo) / width).cast("long"), F.lit(-1).cast("long"))
-    firsts = docs.select(bucket.alias("fb"), "doc_id").groupBy("fb").agg(F.min("doc_id").alias("first_id"))
+    Rows go to buckets of about ``bucket_rows`` (``id_ranges``); a bucket's first
+    document is also sent to the bucket before it (``home`` false there), so the
+    text crosses the network once and no window spans more than a bucket. Rows of
+    one id are ordered by the hash of the text; equal rows are interchangeable."""
+    (place, bucket), shared = id_ranges(docs, bucket_rows)
+    text = F.coalesce("text", F.lit(""))
+    # The hash splits only buckets that share an id; otherwise no text is read for it.
+    rows = docs.select("doc_id", text.alias("text"), (F.xxhash64(text) if shared > 1 else F.lit(0).cast("long")).alias("h"))
+    rows = rows.withColumn("_place", place).withColumn("b", bucket).drop("_place")
+    firsts = rows.groupBy(F.col("b").alias("fb")).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.min("h").alias("first_h"))
     around = W.partitionBy(F.lit(0)).orderBy("fb")
     everything = around.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    firsts = firsts.select("fb", "first_id", F.coalesce(F.lag("fb").over(around), F.last("fb").over(everything)).alias("before"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), bucket.alias("b"))
-    # At most MAX_RANGES + 1 rows of three numbers: a broadcast with a fixed bound.
-    rows = rows.join(F.broadcast(firsts), (F.col("b") == F.col("fb")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left")
+    firsts = firsts.select("fb", "first_id", "first_h", F.col("first_id").eqNullSafe(F.col("last_id")).alias("one_id"),
+                           F.coalesce(F.lag("fb").over(around), F.last("fb").over(everything)).alias("before"))
+    # At most 2 * MAX_RANGES rows a kind of five numbers: a broadcast with a fixed bound.
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (~F.col("one_id") | (F.col("h") == F.col("first_h")))
+    rows = rows.join(F.broadcast(firsts), (F.col("b") == F.col("fb")) & is_first, "left")
     at_home, guest = F.struct(F.col("b").alias("bucket"), F.lit(True).alias("home")), F.struct(F.col("before").alias("bucket"), F.lit(False).alias("home"))
     sent = rows.select("doc_id", "text", F.explode(F.when(F.col("before").isNull(), F.array(at_home)).otherwise(F.array(at_home, guest))).alias("to"))
-    w = W.partitionBy("bucket").orderBy(F.desc("home"), F.asc_nulls_first("doc_id"), "text")
+    w = W.partitionBy("bucket").orderBy(F.desc("home"), F.asc_nulls_first("doc_id"), F.xxhash64("text"), "text")
     return (sent.select("to.bucket", "to.home", "doc_id", "text")
             .withColumn("place", F.row_number().over(w)).withColumn("next_text", F.lead("text").over(w)))
 

@@ -3,10 +3,12 @@
 import hashlib
 import itertools
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from replylens.llm import fingerprint as fp
@@ -120,6 +122,33 @@ def test_mixed_documents_hold_the_taken_words(spark, odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).count() == 0
 
 
+def test_mixed_documents_equal_the_plan_word_by_word(spark):
+    """The pipeline's stage against texts cut in Python by the plan's passes and parts."""
+    rng = np.random.default_rng(9)
+    rows = [(i if i % 9 else None, " ".join(f"w{i}x{k}" for k in range(int(rng.integers(0, 60)))), f"s{i % 4}") for i in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    options = dict(block_words=5, shard_rows=60)
+    texts = {(i, size(t)): t for i, t, _ in rows if i is not None}
+    want = Counter()
+    for r in mixing.mix(docs.where("doc_id is not null"), **options).collect():
+        words = WORDS.findall(texts[r["doc_id"], r["size"]])
+        if r["size"]:
+            want[r["doc_id"], " ".join(words)] += r["passes"]
+            cut = [w for p in r["parts"] for w in words[p["first"]:p["first"] + p["words"]]]
+            want[r["doc_id"], " ".join(cut)] += bool(cut)
+    got = Counter((r["doc_id"], r["text"]) for r in mixing.mixed_documents(docs.where("doc_id is not null"), **options).collect())
+    assert got == +want
+    taken = {(r["doc_id"], r["taken"]) for r in mixing.mix(docs, **options).collect() if r["doc_id"] is None}
+    assert len({t for _, t in taken}) > 2                     # rows without an id are placed apart
+
+
+def test_mixing_is_linear_in_the_text(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(160_000)), f"s{i}") for i in range(3)], "doc_id long, text string, source string")
+    began = time.time()
+    out = mixing.mixed_documents(docs).select(F.size(F.split("text", " ")).alias("n")).agg(F.sum("n")).first()[0]
+    assert abs(out - 480_000) <= 3 * 64 and time.time() - began < 60
+
+
 # --- fingerprints
 
 def test_fingerprint_contract(spark, odd_docs, no_docs):
@@ -138,6 +167,73 @@ def test_fingerprint_contract(spark, odd_docs, no_docs):
     assert fp.fingerprints(odd_docs).count() == odd_docs.count() and fp.fingerprints(no_docs).count() == 0
 
 
+def lanes(text):
+    """Sentences, exact lanes and sketch words of a text, summed paragraph by paragraph in Python."""
+    def h(x, mark):
+        first = xxhash.xxh64_intdigest(x.encode(), 42)
+        return xxhash.xxh64_intdigest(mark.encode(), first)
+    n, exact, sums = 0, [0] * fp.EXACT, np.zeros((fp.PLANES, 2, fp.LANES), object)
+    for p in text.split("\n"):
+        if not p.strip(" "):
+            continue
+        for i in range(fp.EXACT):
+            exact[i] = (exact[i] + (h(p, f"x{i}") & fp.LOW)) % 2 ** 32
+        for s in [x for x in re.split(r"[.!?]+", p) if x.strip(" ")] or [p]:
+            n += 1
+            for plane in range(fp.PLANES):
+                v = h(s.strip(" "), f"s{plane}")
+                for b in range(fp.LANES):
+                    sums[plane, 0, b] += v >> b & 1
+                    sums[plane, 1, b] += v >> (b + 31) & 1
+    return n, exact, sums
+
+
+def brute_likeness(a, b):
+    if a[0] == b[0] and a[1] == b[1] and (a[2] == b[2]).all():
+        return 1.0
+    x, y = 2 * a[2] - a[0], 2 * b[2] - b[0]
+    both = (x * x).sum() + (y * y).sum()
+    return min(1.0, max(0.0, 2.0 * (x * y).sum() / both)) if both else 0.0
+
+
+def hexed(v):
+    words = [v[0], *v[1], *(int(v[2][p, 0, b]) + (int(v[2][p, 1, b]) << 31) for p in range(fp.PLANES) for b in range(fp.LANES))]
+    return "".join(f"{w:016X}" for w in words)
+
+
+def signed_hash(text):
+    x = xxhash.xxh64_intdigest(text.encode(), 42)
+    return x - 2 ** 64 if x >= 2 ** 63 else x
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 3, 7, 1000])
+def test_fingerprints_equal_brute_force(spark, bucket_rows):
+    """Clustered ids with far outliers, one id and the null id in many rows, equal rows."""
+    rng = np.random.default_rng(bucket_rows)
+    draw = lambda: "".join(rng.choice(["One line here. ", "Two! ", "\n", "more words", "...", "é", "  "], int(rng.integers(0, 12))))
+    ids = [*range(5000, 5040), -(10 ** 15), 10 ** 17, *[77] * 30, *[None] * 25, 2 ** 62]
+    rows = [(i, draw()) for i in ids] + [(78, None), (5003, draw())]
+    rows += [rows[0], rows[45]]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, bucket string")
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, signed_hash(r[1]), r[1]))
+    want = Counter()
+    for k, (i, t) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][1]
+        edited = t[:len(t) - len(t) // 2] + nxt[:len(t) // 2]
+        a, b, c = lanes(t), lanes(edited), lanes(nxt)
+        want[(i, len(t), hashlib.sha256(edited.encode()).hexdigest(), hexed(a), hexed(b), round(brute_likeness(a, b), 9), round(brute_likeness(a, c), 9))] += 1
+    got = Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9),
+                   round(r["near_next"], 9)) for r in fp.fingerprints(docs, bucket_rows).collect())
+    assert got == want
+
+
+def test_ranges_hold_few_rows_whatever_the_ids(spark):
+    ids = [*range(8000), 10 ** 15, *[123] * 4000, *[None] * 3000]
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    sizes = fp.with_next(docs, 500).where("home").groupBy("bucket").count().collect()
+    assert sum(r["count"] for r in sizes) == len(ids) and max(r["count"] for r in sizes) <= 1500
+
+
 def vec(spark, text):
     df = spark.createDataFrame([(0, text)], "k int, t string")
     return fp.vector_sums(df, ["k"], "t").select(fp.packed().alias("v"))
@@ -305,3 +401,15 @@ def test_extract_frame(spark):
             plain = re.sub(r"<br>", " ", body[1])
             plain = __import__("html").unescape(re.sub(r"<[^>]*>", " ", plain))
             assert got[r["page_id"]].split() == plain.split()
+
+
+@pytest.mark.parametrize("page", [
+    "".join('<div class="sidebar">' for _ in range(6000)) + "Some prose, and more. " * 20,
+    "<b>" * 8000 + "".join(f"<p>paragraph {i}, and so on" for i in range(8000)),
+    "<p><td>" + "<span>" * 8000 + "<div>x, y" * 4000,
+    '<div class="notice">some prose here, and there ' * 8000,
+    "<article>" + "<header>h" * 8000], ids=["named divs", "open inline", "open block", "nested prose", "headers"])
+def test_deep_pages_take_linear_time(page):
+    began = time.time()
+    html_extract.main_text(page)
+    assert time.time() - began < 3

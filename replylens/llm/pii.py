@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from .common import bounded_ids
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_DOCS = 400
+MAX_DOCS = 400                   # documents learned from, chosen by seeded hash of the id
+DOC_PIECES = 2                   # pieces learned from in each of them, chosen by hash of the piece
 MADE_UP = 900
 WINDOW = 64
 PIECE = 32 * WINDOW              # characters of a run read at a time
@@ -409,18 +410,19 @@ def _window_numbers(text: str) -> list[int]:
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS, made: int = MADE_UP, epochs: int = EPOCHS):
-    """The network, from a bounded sample of documents that hold an anchor and from made-up spans."""
+    """The network, from a bounded sample (at most ``max_docs`` documents that hold an anchor, ``DOC_PIECES`` pieces of
+    each, whatever their length) and from made-up spans."""
     some = docs.where(F.col("text").rlike("[0-9@]"))
     ids = bounded_ids(some, "doc_id", max_docs, "pii")
     # At most max_docs ids: a broadcast with a fixed bound.
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
 
     def pieces(batches):
-        """Only the neighbourhood of each anchor leaves the executors, with its base spans."""
+        """Only the neighbourhood of some anchors leaves the executors, with its base spans."""
         for b in batches:
             out = []
             for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                spans, at = base_spans(text), -1
+                spans, at, found = base_spans(text), -1, {}
                 for m in ANCHOR.finditer(text):
                     if m.start() < at:
                         continue
@@ -429,15 +431,17 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, made: int = MADE_UP, epochs
                     inside = [(k, s - a, e - a) for k, s, e in spans if a <= s and e <= z]
                     cut = [s for _, s, e in spans if s < a < e or s < z < e]
                     if not cut:
-                        out.append((i, text[a:z], ",".join(f"{k}:{s}:{e}" for k, s, e in inside)))
+                        found[text[a:z]] = ",".join(f"{k}:{s}:{e}" for k, s, e in inside)
+                chosen = sorted(found, key=lambda x: hashlib.md5(x.encode("utf-8", "surrogatepass")).digest())[:DOC_PIECES]
+                out += [(i, piece, found[piece]) for piece in chosen]
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array([o[0] for o in out], pa.int64()), "piece": pa.array([o[1] for o in out], pa.string()),
                                               "spans": pa.array([o[2] for o in out], pa.string())})
 
     got = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, "doc_id long, piece string, spans string").collect()
-    got = sorted((r["doc_id"], r["piece"], r["spans"]) for r in got)
+    got = sorted({(r["doc_id"], r["piece"], r["spans"]) for r in got})       # an id may stand in several rows
     real = [(p, [tuple(map(int, s.split(":"))) for s in sp.split(",")] if sp else []) for _, p, sp in got]
     words = sorted({w for p, _ in real for w in p.split() if w.isalpha()})[:2000]
-    x, y, live = labelled_windows(real[: 2 * max_docs] + made_up(words, made))
+    x, y, live = labelled_windows(real + made_up(words, made))
     return fit(x, y, live, epochs)
 
 

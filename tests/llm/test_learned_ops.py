@@ -1,6 +1,7 @@
 """Classifiers, language ID and PII: held-out accuracy on the given tables, exact rules by brute force, odd inputs."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -103,11 +104,61 @@ def test_nnpu_recovers_positives_among_unlabelled():
     toxic = lambda: np.concatenate([clean(), rng.choice(np.arange(1, 6, dtype="u4"), 2)])
     pos = [np.unique(toxic()) for _ in range(150)]
     unl = [np.unique(toxic() if i % 10 == 0 else clean()) for i in range(900)]
-    features, w, b = toxicity.fit(pos, unl, 0.1)
+    codes = np.arange(400, dtype="u4")
+    n, m = (np.bincount(np.concatenate(x), minlength=400) for x in (pos, unl))
+    features = toxicity.best_codes(codes, n, m, len(pos), len(unl))
+    assert set(range(1, 6)) <= set(features)
+    prior = toxicity.held_prior(n[features], m[features], len(pos), len(unl), 0.3)
+    assert 0.05 < prior < 0.2
+    w, b = toxicity.fit(toxicity.design(pos, features), toxicity.design(unl, features), prior)
     score = toxicity.sigmoid(toxicity.design([np.unique(toxic()) for _ in range(200)] + [np.unique(clean()) for _ in range(200)], features) @ w + b)
     assert (score[:200] >= 0.7).mean() > 0.85 and (score[200:] >= 0.7).mean() < 0.03
 
 
+@pytest.mark.parametrize("prior,negative", [(0.2, False), (0.9, True)])
+def test_nnpu_slopes_are_the_gradient_of_the_corrected_risk(prior, negative):
+    """Against numerical derivatives: of p E[l(+)] + E_u[l(-)] - p E_p[l(-)], or up the last two terms where they are negative."""
+    rng = np.random.default_rng(7)
+    zp, zu = rng.normal(2.0 if negative else 0.0, 1, 9), rng.normal(-3.0 if negative else 0.0, 1, 14)
+    clean = lambda p, u: np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+    whole = lambda p, u: prior * np.logaddexp(0, -p).mean() + clean(p, u)
+    assert (clean(zp, zu) < -toxicity.SLACK) == negative
+    goal = (lambda p, u: -toxicity.STEP_BACK * clean(p, u)) if negative else whole
+    dp, du = toxicity.slopes(zp, zu, prior)
+    for k in range(len(zp)):
+        e = np.eye(len(zp))[k] * 1e-5
+        assert dp[k] == pytest.approx((goal(zp + e, zu) - goal(zp - e, zu)) / 2e-5, abs=1e-7)
+    for k in range(len(zu)):
+        e = np.eye(len(zu))[k] * 1e-5
+        assert du[k] == pytest.approx((goal(zp, zu + e) - goal(zp, zu - e)) / 2e-5, abs=1e-7)
+
+
+def test_best_codes_equal_the_likelihood_ratio():
+    rng = np.random.default_rng(3)
+    n, m, n_pos, n_unl = rng.integers(0, 30, 50), rng.integers(0, 300, 50), 30, 400
+
+    def gain(a, c):
+        if a < toxicity.MIN_POSITIVE_DOCS or a / n_pos <= c / n_unl:
+            return 0.0
+        share = (a + c + 0.5) / (n_pos + n_unl + 1)
+        side = lambda k, t: (k * math.log(k / t / share) if k else 0) + ((t - k) * math.log((1 - k / t) / (1 - share)) if k < t else 0)
+        return side(a, n_pos) + side(c, n_unl)
+    want = [i for i in range(50) if gain(int(n[i]), int(m[i])) >= toxicity.MIN_GAIN]
+    assert toxicity.best_codes(np.arange(50), n, m, n_pos, n_unl).tolist() == want
+
+
+def test_toxicity_learns_from_every_unlabelled_row(spark):
+    """Shards of a few rows: all rows count, and the models still find the toxic words."""
+    rng = np.random.default_rng(1)
+    words = [f"word{i}" for i in range(200)]
+    rows = [(i, " ".join([*rng.choice(words, 20), *(rng.choice(["vile", "nasty", "hateful"], 2) if i % 8 == 0 else [])])) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(0, 1200, 2)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, lambda i: ~held_out(i, 3, 1), shard_rows=150)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    assert np.mean([got[i] for i in range(0, 1200, 8)]) > 0.9 and np.mean([got[i] for i in range(1200) if i % 8]) < 0.02
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(2)
     x = rng.random((1500, len(quality.FEATURES)))

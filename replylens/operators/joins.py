@@ -77,8 +77,8 @@ def join_per_key(big: DataFrame, per_key: DataFrame, keys: list[str], how: str =
         copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
     hot_b = F.broadcast(hot)
-    partners = per_key.join(hot_b, keys, "left_semi")       # <= one row per hot key
-    hot_part = big.join(hot_b, keys, "left_semi").join(F.broadcast(partners), keys, how)
+    partners = per_key.join(hot_b, keys, "left_semi")       # one row per hot key, if the caller keeps its word
+    hot_part = big.join(hot_b, keys, "left_semi").join(bounded_broadcast(partners, max_keys), keys, how)
     cold_part = big.join(hot_b, keys, "left_anti").join(per_key.join(hot_b, keys, "left_anti"), keys, how)
     return hot_part.unionByName(cold_part)
 

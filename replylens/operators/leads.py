@@ -64,9 +64,14 @@ def raw_new_leads(frames) -> DataFrame | None:
     return out
 
 
+def empty_leads(spark) -> DataFrame:
+    """No lead rows, in the canonical columns and types."""
+    return spark.createDataFrame([], S.LEAD_SCHEMA)
+
+
 def prepare_new_leads(df, as_of, source_rank: int = 1) -> DataFrame | None:
     """New lead files (one frame or a list; Spanish headers, all text) -> canonical
-    typed rows. The layouts are unioned as text first, so the parsing
+    typed rows (None when no frame has a wanted column). The layouts are unioned as text first, so the parsing
     expressions are built and run once. Dates are parsed leniently (relative
     words resolved against ``as_of``); times are normalised after the union
     with the history."""

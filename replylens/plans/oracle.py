@@ -121,6 +121,8 @@ SELECT executive, contact, dt, strftime(dt, '%H:%M:%S') AS msg_time, author FROM
 oracle("chat_first_response", first_response_sql(CHAT_M))
 oracle("conversation_first_response", first_response_sql(CONV_M))
 
+oracle("chat_rows_csv", first_response_sql(CHAT_M))
+
 oracle("inbound_counts", f"""
 WITH r AS ({first_response_sql(CHAT_M)})
 SELECT has_inbound, count(*) AS chats, CAST(grouping(has_inbound) AS BOOLEAN) AS is_total
@@ -237,7 +239,9 @@ SELECT DISTINCT contact, meta, text || ' said "hi", ok;' || chr(10) || '"x", \\
 oracle("inbox_scan_skip_bad_files", f"""WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT}""".replace(
     "FROM inbox WHERE inbox_id BETWEEN 0 AND 4",
     "FROM inbox WHERE inbox_id BETWEEN 0 AND 4 AND NOT (inbox_id = 2 AND message_id % 64 IN "
-    "(SELECT DISTINCT message_id % 64 FROM inbox WHERE inbox_id = 2 AND message_id % 97 = 0))"))
+    "(SELECT DISTINCT message_id % 64 FROM inbox WHERE inbox_id = 2 AND message_id % 97 = 0))").replace(
+    "CAST(fr.conversation_id AS VARCHAR) AS lead_id",
+    "CASE WHEN fr.conversation_id % 3 = 0 THEN 'A-' ELSE '' END || CAST(fr.conversation_id AS VARCHAR) AS lead_id"))
 
 oracle("export_by_executive", f"""
 WITH {INBOX_ROWS},{_REPLY_REFERENCE}{_INBOX_SELECT}""")

@@ -194,6 +194,8 @@ SELECT source_file, lead_id, in_time, entry_segment FROM r5""")
 
 oracle("scored_leads", f"{SCORED} SELECT {SCORED_COLS} FROM r5")
 
+oracle("aliased_leads", f"{SCORED} SELECT {SCORED_COLS} FROM r5")
+
 oracle("map_executive", f"""
 WITH {FACTS}
 SELECT 'order_' || CAST(k AS VARCHAR) AS source_file,
@@ -408,4 +410,4 @@ oracle("slice_csv_roundtrip", ORACLE["lead_csv_roundtrip"]
 
 oracle("history_own_columns", f"""WITH {FACTS},{HISTORY}
 SELECT executive, lead_id, in_date, in_time, CASE WHEN CAST(lead_id AS BIGINT) % 7 = 0 THEN 'VIP manual' ELSE score END AS score,
-       entry_segment, 'nota "' || lead_id || '", fin' AS "Notas" FROM history""")
+       entry_segment, 'nota "' || lead_id || '",' || chr(10) || 'fin' AS "Notas" FROM history""")

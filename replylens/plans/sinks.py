@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..dims import dim_inbox
+from ..dims import dim_inbox, dim_owner
 from ..functions import yes_flag
 from ..operators.capture import dedupe_messages
-from ..operators.chats import parse_chat_export
+from ..operators.chats import chat_first_response, parse_chat_export
 from ..operators.inbox import inbox_first_response
 from ..operators.leads import coerce_history
 from ..operators.profile import executive_date_slice
@@ -33,8 +33,10 @@ def q_scan_mixed_headers(spark, sf):
     without reply columns, one in a sub-folder) plus files with no wanted column."""
     root = scratch_path(spark, "lead-files")
     _, new = files(spark, sf)
+    wide = [F.lit("x").alias(f"an own column of the user, number {i}") for i in range(2_500)]
     for i, f in enumerate(new_file_frames(new)):
-        _csv(f, f"{root}/week/sub/batch_{i}" if i == 2 else f"{root}/batch_{i}")
+        # The first layout begins with a header of more than 64 KB of other columns.
+        _csv(f.select(*wide, *f.columns) if i == 0 else f, f"{root}/week/sub/batch_{i}" if i == 2 else f"{root}/batch_{i}")
     _csv(read_table(spark, sf, "events").select("event_id", "event_type"), f"{root}/unrelated")
     return read_new_leads(spark, [root, f"{root}/missing-folder"], AS_OF)
 
@@ -67,6 +69,8 @@ def inbox_fixture(spark, sf):
     root = scratch_path(spark, "inbox-export")
     m = inbox_messages(read_table(spark, sf, "events"))
     txt = F.date_format("sent_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    # Every third conversation has a text id.
+    m = m.withColumn("conversation_id", F.concat(F.when(F.col("conversation_id") % 3 == 0, "A-").otherwise(""), F.col("conversation_id").cast("string")))
     m = m.withColumn("sent_at", F.when((F.col("inbox_id") == 2) & (F.col("message_id") % 97 == 0),
                                        F.lit("not a date")).otherwise(txt))
     m = m.withColumn("box", F.col("inbox_id")).withColumn("bucket", F.col("message_id") % FIXTURE_BUCKETS)
@@ -107,6 +111,14 @@ def q_messages_csv_roundtrip(spark, sf):
     return read_chat_export(spark, root).select("contact", "meta", "text")
 
 
+@query("chat_rows_csv")
+def q_chat_rows_csv(spark, sf):
+    """One row per chat, written as a lead file by executive, lead and time, and read back as history."""
+    path = scratch_path(spark, "chat-rows")
+    write_lead_csv(chat_first_response(parse_chat_export(chat_export_rows(read_table(spark, sf, "events"))), dim_owner(spark)), path)
+    return read_history(spark, path).select("executive", "lead_id", "has_inbound", "has_outbound", "in_date", "in_time", "out_date", "out_time")
+
+
 @query("slice_csv_roundtrip")
 def q_slice_csv_roundtrip(spark, sf):
     """One executive's leads of four years, written as a lead file and read back."""
@@ -121,7 +133,7 @@ def q_history_own_columns(spark, sf):
     history, _ = files(spark, sf)
     odd = F.col("ID_LEAD").cast("long") % 7 == 0
     history = (history.withColumn("Score Tiempo Respuesta", F.when(odd, F.lit("VIP manual")).otherwise(F.col("Score Tiempo Respuesta")))
-               .withColumn("Notas", F.concat(F.lit('nota "'), F.col("ID_LEAD"), F.lit('", fin'))))
+               .withColumn("Notas", F.concat(F.lit('nota "'), F.col("ID_LEAD"), F.lit('",\nfin'))))
     path = scratch_path(spark, "own-history")
     write_lead_csv(coerce_history(history), path, sort=False, header=history.columns)
     return read_history(spark, path).select("executive", "lead_id", "in_date", "in_time", "score", "entry_segment", "Notas")

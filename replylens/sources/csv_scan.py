@@ -147,16 +147,17 @@ def scan_csv(spark: SparkSession, folders, ext: str = ".csv", recursive: bool =
     return frames
 
 
-def read_new_leads(spark: SparkSession, folders, as_of, ext: str = ".csv") -> DataFrame | None:
+def read_new_leads(spark: SparkSession, folders, as_of, ext: str = ".csv") -> DataFrame:
     """All new lead files under ``folders`` (recursive), aligned to the lead schema;
-    files without any wanted column are skipped. None when nothing usable."""
-    from ..operators.leads import prepare_new_leads
+    files without any wanted column are skipped. No usable file: no rows, same schema."""
+    from ..operators.leads import empty_leads, prepare_new_leads
     frames = []
     for df in scan_csv(spark, folders, ext, wanted={*S.NEW_LEAD_HEADERS, "source_file"}):
         d = df.withColumn("source_file", F.coalesce(F.col("source_file"), F.col(FILE))) \
             if "source_file" in df.columns else df.withColumnRenamed(FILE, "source_file")
         frames.append(d.drop(FILE, PATH))
-    return prepare_new_leads(frames, as_of)
+    found = prepare_new_leads(frames, as_of)
+    return found if found is not None else empty_leads(spark)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

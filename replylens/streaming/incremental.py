@@ -52,9 +52,8 @@ def consolidate_stream(spark: SparkSession, inbox: str, base: str, history: Data
 
     def merge(batch: DataFrame, epoch: int) -> None:
         paths = [r["file"] for r in batch.select("file").distinct().collect()]  # file names only
-        new = read_new_leads(spark, paths, as_of) if paths else None
-        if new is not None:
-            merge_leads(spark, base, new)
+        if paths:
+            merge_leads(spark, base, read_new_leads(spark, paths, as_of))
 
     q = (files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

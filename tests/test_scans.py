@@ -162,6 +162,14 @@ def test_line_breaks_in_lead_and_history_cells(spark, tmpdir_fresh):
     assert notes == {"1": 'one\n\ntwo, "three"', "2": "plain", "3": "x\r\ny"}
 
 
+def test_nothing_usable_is_an_empty_frame(spark, tmpdir_fresh):
+    from replylens import schema as S
+    write(f"{tmpdir_fresh}/x.csv", "foo,bar\n1,2\n")
+    for folder in (tmpdir_fresh, f"{tmpdir_fresh}/none"):
+        out = read_new_leads(spark, folder, AS_OF)
+        assert out.count() == 0 and out.columns == S.LEAD_SCHEMA.fieldNames()
+
+
 def test_text_conversation_ids(spark, tmpdir_fresh):
     head = "conversation_id,inbox_id,sender_type,sent_at,contact_name,content\n"
     write(f"{tmpdir_fresh}/a.csv", head + "A-7,0,Contact,2024-01-01 15:00:00,c,hi\nA-8,0,User,2024-01-01 15:05:00,c,ok\n12.0,0,User,2024-01-01 15:05:00,c,ok\n")

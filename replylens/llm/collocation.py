@@ -5,12 +5,13 @@ pieces into words. Phrases never cross a piece. Everything is counted per langua
 
 1. Level by level (1 to ``MAX_WORDS`` words) numpy prefix polynomials fingerprint
    every phrase (``textscan``); a task adds up its fingerprints and the shuffle adds
-   up the tasks'. A row is (fingerprint, occurrences, least and greatest check
-   value, pointer to a document that holds it): no phrase text is shuffled.
+   up the tasks'. No phrase text is shuffled: a row is (fingerprint, occurrences) and, of
+   frequent ones, least and greatest check value and a pointer to a document that holds it.
 2. A phrase can reach ``MIN_COUNT`` only if both phrases of one word less did. The
    frequent fingerprints of a level become a bit table of at most ``TABLE_BITS``
    bits (its size is fixed, so it may be broadcast whatever the data); the next
-   level counts only what passes it. The table has no false negatives, so nothing
+   scan counts only what passes it, and finds check values and pointers of the
+   frequent phrases of the level before, so rare phrases cost 16 bytes. The table has no false negatives, so nothing
    frequent is lost; when it fills up it merely prunes less.
 3. Collisions: every occurrence also has a second, independent fingerprint. Where the
    least and greatest differ, or the document pointed to shows two texts, the
@@ -47,8 +48,8 @@ COVERED = 80                         # per cent of a phrase's count at which a l
 SCALE = 2_000_000
 TABLE_BITS = 1 << 27                 # 16 MB: bound of what is broadcast
 BLOCK_BITS = 1 << 19
-HELD = 1_000_000                     # fingerprints a task holds before it hands them on
-MAX_BROADCAST = 500_000              # frequent fingerprints sent to the scan of the documents; more are joined by a shuffle
+HELD = 100_000                       # fingerprints a task holds before it hands them on
+SLICE = 1 << 18                      # bytes of texts scanned together
 COUNTS = "n int, fp long, a long, low long, high long, locator long"
 U = np.uint64
 
@@ -118,58 +119,77 @@ def bit_table(fps: DataFrame, most: int = TABLE_BITS) -> np.ndarray:
     return table
 
 
-def _summed(parts):
-    """Adds up (fp, a, low, high, locator) arrays by fp."""
-    fp, a, low, high, loc = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(fp, kind="stable")
-    fp = fp[order]
-    cut = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.empty(0, "i8")
-    if not len(cut):
-        return fp, a, low, high, loc
-    return (fp[cut], np.add.reduceat(a[order], cut), np.minimum.reduceat(low[order], cut),
-            np.maximum.reduceat(high[order], cut), np.minimum.reduceat(loc[order], cut))
-
-
-def count_level(docs: DataFrame, n: int, table=None, min_count: int = MIN_COUNT, bits: int = 64) -> DataFrame:
-    """Frequent n-word fingerprints (COUNTS). Level 1 has the words per language too, as rows of n = 0."""
-    def rows(k, fp, a, low, high, loc):
+class Sums:
+    """Adds up rows (fp, then one array for each way of adding) by fp; hands them on when many are held."""
+
+    def __init__(self, *ways):
+        self.ways, self.parts, self.size = ways, [], 0
+
+    def add(self, *arrays):
+        """Sums to hand on now (or None)."""
+        self.parts.append(arrays)
+        self.size += len(arrays[0])
+        if self.size <= 2 * HELD:
+            return None
+        self.parts = [self.total()]
+        self.size = len(self.parts[0][0])
+        return self.take() if self.size > HELD else None
+
+    def total(self):
+        fp, *rest = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(fp, kind="stable")
+        fp = fp[order]
+        cut = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.empty(0, "i8")
+        return fp[cut], *(way.reduceat(x[order], cut) if len(cut) else x for way, x in zip(self.ways, rest))
+
+    def take(self):
+        out, self.parts, self.size = self.total() if self.parts else None, [], 0
+        return out if out is not None and len(out[0]) else None
+
+
+def count_level(docs: DataFrame, n: int, most: int, table=None, min_count: int = MIN_COUNT, bits: int = 64) -> DataFrame:
+    """One scan (COUNTS): the n-word fingerprints that may be frequent with their occurrences (none when n > ``most``), and
+    the frequent ones of one word less with check values and pointer. Level 1 has the words per language too,
+    as rows of n = 0."""
+    def rows(k, fp, a, *more):
+        none = pa.nulls(len(fp), pa.int64())
+        low, high, loc = more or (none, none, none)
         return pa.RecordBatch.from_pydict({"n": np.full(len(fp), k, "i4"), "fp": fp.view("i8"), "a": a.astype("i8"),
-                                           "low": low.view("i8"), "high": high.view("i8"), "locator": loc})
+                                           "low": low, "high": high, "locator": loc})
 
     def run(batches):
-        scan, held, size, totals = Phrases(bits), [], 0, {}
+        scan, totals = Phrases(bits), {}
+        counts, shown = Sums(np.add), Sums(np.add, np.minimum, np.maximum, np.minimum)
         shorter = None if table is None else table.value
         for b in batches:
             lang, locator = (np.asarray(b.column(c)) for c in ("lang_key", "locator"))
-            for s in slices(b.column("text")):
+            for s in slices(b.column("text"), SLICE):
                 salt, loc = lang[s.rows.start:s.rows.stop], locator[s.rows.start:s.rows.stop]
                 words = scan.words(s)
-                at, fp, check = scan.phrases(words, n, salt.view("u8"))
                 if n == 1:
                     for key, c in zip(*np.unique(salt[words[2]], return_counts=True)):
                         totals[int(key)] = totals.get(int(key), 0) + int(c)
                 else:
-                    where, part, _ = scan.phrases(words, n - 1, salt.view("u8"))
-                    good = np.zeros(len(words[0]) + 1, bool)
-                    good[where[passes(shorter, part)]] = True
-                    keep = good[at] & good[at + 1]
-                    at, fp, check = at[keep], fp[keep], check[keep]
-                # Signed order of the check values, as Spark compares them.
-                check = check.view("i8")
-                held.append((fp, np.ones(len(fp), "i8"), check, check, loc[words[2][at]]))
-                size += len(fp)
-                if size > 2 * HELD:
-                    held = [_summed(held)]
-                    size = len(held[0][0])
-                    if size > HELD:
-                        yield rows(n, *held[0])
-                        held, size = [], 0
-        if held:
-            yield rows(n, *_summed(held))
+                    where, part, check = scan.phrases(words, n - 1, salt.view("u8"))
+                    ok = passes(shorter, part)
+                    where, part, check = where[ok], part[ok], check[ok].view("i8")    # signed, as Spark compares them
+                    out = shown.add(part, np.ones(len(part), "i8"), check, check, loc[words[2][where]])
+                    if out:
+                        yield rows(n - 1, *out)
+                if n <= most:
+                    at, fp, _ = scan.phrases(words, n, salt.view("u8"))
+                    if n > 1:
+                        good = np.zeros(len(words[0]) + 1, bool)
+                        good[where] = True
+                        fp = fp[good[at] & good[at + 1]]
+                    out = counts.add(fp, np.ones(len(fp), "i8"))
+                    if out:
+                        yield rows(n, *out)
+        for k, left in ((n, counts.take()), (n - 1, shown.take())):
+            if left:
+                yield rows(k, *left)
         if totals:
-            keys = np.array(list(totals), "i8")
-            zero = np.zeros(len(keys), "i8")
-            yield rows(0, keys, np.array(list(totals.values()), "i8"), zero, zero, zero)
+            yield rows(0, np.array(list(totals), "i8"), np.array(list(totals.values()), "i8"))
 
     found = docs.select("text", "lang_key", "locator").mapInArrow(run, COUNTS)
     found = found.groupBy("n", "fp").agg(F.sum("a").alias("a"), F.min("low").alias("low"), F.max("high").alias("high"),
@@ -184,7 +204,7 @@ def _texts(docs: DataFrame, wanted: str, max_words: int, bits: int) -> DataFrame
         scan = Phrases(bits)
         for b in batches:
             lang, langs, lists = np.asarray(b.column("lang_key")), b.column("lang"), b.column(wanted)
-            for s in slices(b.column("text")):
+            for s in slices(b.column("text"), SLICE):
                 salt, words = lang[s.rows.start:s.rows.stop].view("u8"), scan.words(s)
                 data = s.data.tobytes()
                 look = [np.sort(np.asarray(lists[i].values).view("u8")) for i in s.rows]
@@ -218,7 +238,7 @@ def _recounted(docs: DataFrame, odd: DataFrame, max_words: int, min_count: int,
         scan = Phrases(bits)
         for b in batches:
             lang, langs = np.asarray(b.column("lang_key")), b.column("lang")
-            for s in slices(b.column("text")):
+            for s in slices(b.column("text"), SLICE):
                 salt, words = lang[s.rows.start:s.rows.stop].view("u8"), scan.words(s)
                 data, out = s.data.tobytes(), {}
                 for n in range(1, max_words + 1):
@@ -245,23 +265,31 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int
     lang = F.coalesce(F.col("lang"), F.lit("und"))
     docs = docs.select("text", lang.alias("lang"), F.xxhash64(lang).alias("lang_key"),
                        F.xxhash64(F.col("doc_id").cast("string"), lang, "text").alias("locator")).where("text is not null")
-    levels, table = [], None
-    for n in range(1, max_words + 1):
-        level = materialize(count_level(docs, n, table, min_count, bits), "phrases-level")
-        levels.append(level)
+    found = totals = table = None
+    for n in range(1, max_words + 2):
+        level = materialize(count_level(docs, n, max_words, table, min_count, bits), "phrases-level")
+        if n == 1:
+            totals = (level.where("n = 0").select(F.col("fp").alias("lang_key"), F.col("a").alias("n_words"))
+                      .join(docs.select("lang", "lang_key").distinct(), "lang_key").select("lang", "n_words"))
+        else:
+            shown = level.where(F.col("n") == n - 1)
+            found = shown if found is None else found.unionByName(shown)
         own = level.where(F.col("n") == n)
-        if n == max_words or not own.limit(1).count():
+        if n == 1 or own.limit(1).count():
+            table = spark.sparkContext.broadcast(bit_table(own))
+        else:
             break
-        table = spark.sparkContext.broadcast(bit_table(own))
-    totals = (levels[0].where("n = 0").select(F.col("fp").alias("lang_key"), F.col("a").alias("n_words"))
-              .join(docs.select("lang", "lang_key").distinct(), "lang_key").select("lang", "n_words"))
-    found = levels[0].where("n > 0")
-    for level in levels[1:]:
-        found = found.unionByName(level)
-    wanted = found.where("low = high").groupBy("locator").agg(F.collect_set("fp").alias("fps"))
-    if found.count() <= MAX_BROADCAST:
-        wanted = F.broadcast(wanted)
-    shown = _texts(docs.join(wanted, "locator"), "fps", max_words, bits).select("lang", "fp", "n", "phrase").distinct()
+    # A phrase points to its document of least hash, so few documents are pointed to: a bit table finds them in the scan,
+    # and only their texts are shuffled.
+    wanted = materialize(found.where("low = high").groupBy("locator").agg(F.collect_set("fp").alias("fps")), "phrases-wanted")
+    shared = spark.sparkContext.broadcast(bit_table(wanted.select(F.col("locator").alias("fp"))))
+
+    def pointed(batches):
+        for b in batches:
+            yield b.filter(pa.array(passes(shared.value, np.asarray(b.column("locator")).view("u8"))))
+
+    texts = docs.select("text", "lang", "lang_key", "locator").mapInArrow(pointed, "text string, lang string, lang_key long, locator long")
+    shown = _texts(texts.join(wanted, "locator"), "fps", max_words, bits).select("lang", "fp", "n", "phrase").distinct()
     shown = materialize(shown.join(found.where("low = high").select("n", "fp", "a"), ["n", "fp"]), "phrases-shown")
     # One text a fingerprint, or the fingerprint is counted again by text.
     double = shown.groupBy("n", "fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("n", "fp")

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK = 1 << 20                      # bytes hashed at a time
+CHUNK = 1 << 18                      # bytes hashed at a time
 SLICE = 1 << 21                      # bytes of texts handled together (one longer text is a slice of its own)
 
 
@@ -110,15 +110,16 @@ class Slice:
         return np.searchsorted(self.first, at, side="right") - 1
 
 
-def slices(texts: pa.Array, limit: int = SLICE):
-    """The texts of a column (null: empty) as slices of about ``limit`` bytes."""
-    raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
-    at = 0
-    while at < len(raw):
-        to, size = at, 0
-        while to < len(raw) and (to == at or size + len(raw[to]) < limit):
-            size += len(raw[to]) + 1
-            to += 1
-        lengths = np.array([len(t) + 1 for t in raw[at:to]], "i8")
-        yield Slice(range(at, to), np.frombuffer(b"\n".join(raw[at:to]) + b"\n", "u1"), np.cumsum(lengths) - lengths)
-        at = to
+def slices(texts: pa.Array, limit: int = SLICE, rows: int = 256):
+    """The texts of a column (null: empty) as slices of about ``limit`` bytes and at most ``rows`` texts."""
+    for lo in range(0, len(texts), rows):
+        raw = [t or b"" for t in texts.slice(lo, rows).cast(pa.binary()).to_pylist()]
+        at = 0
+        while at < len(raw):
+            to, size = at, 0
+            while to < len(raw) and (to == at or size + len(raw[to]) < limit):
+                size += len(raw[to]) + 1
+                to += 1
+            lengths = np.array([len(t) + 1 for t in raw[at:to]], "i8")
+            yield Slice(range(lo + at, lo + to), np.frombuffer(b"\n".join(raw[at:to]) + b"\n", "u1"), np.cumsum(lengths) - lengths)
+            at = to

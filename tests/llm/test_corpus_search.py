@@ -187,7 +187,6 @@ def test_collocations_equal_brute_force(spark, phrase_rows, bits, count, top):
 
 def test_collocations_hand_on_what_they_hold(spark, phrase_rows, monkeypatch):
     monkeypatch.setattr(collocation, "HELD", 50)
-    monkeypatch.setattr(collocation, "MAX_BROADCAST", 3)
     monkeypatch.setattr(collocation, "TABLE_BITS", 1 << 13)
     got = collocation.collocations(docs_of(spark, phrase_rows), min_count=10).count()
     assert got == len(brute_phrases(phrase_rows, 10))

@@ -159,6 +159,27 @@ def test_toxicity_learns_from_every_unlabelled_row(spark):
     assert np.mean([got[i] for i in range(0, 1200, 8)]) > 0.9 and np.mean([got[i] for i in range(1200) if i % 8]) < 0.02
 
 
+def test_shallow_trees_and_quads_take_the_best_split():
+    """One cut of a tree, and the 2 x 2 split of a pair's table, against all of them."""
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        n = int(rng.integers(2, 12))
+        g, h, c = rng.normal(size=n), rng.random(n) + 0.1, rng.integers(0, 40, n).astype(float)
+        value = lambda a, b: g[a:b].sum() ** 2 / (h[a:b].sum() + 1.0)
+        cuts = [(value(0, k) + value(k, n) - value(0, n), k) for k in range(1, n)
+                if min(c[:k].sum(), c[k:].sum()) >= quality.MIN_LEAF]
+        gain, k = max(cuts, default=(0, 0))
+        parts = [(0, k), (k, n)] if gain > 1e-9 else [(0, n)]
+        want = np.concatenate([np.full(b - a, -g[a:b].sum() / (h[a:b].sum() + 1.0)) for a, b in parts])
+        assert np.allclose(quality.shallow_tree(g, h, c, cuts=1), want)
+        G, H = rng.normal(size=(n, 5)), rng.random((n, 5)) + 0.1
+        score = lambda i, j: sum(G[r, s].sum() ** 2 / (H[r, s].sum() + 1.0)
+                                 for r in (slice(0, i), slice(i, None)) for s in (slice(0, j), slice(j, None))) - G.sum() ** 2 / (H.sum() + 1.0)
+        best = max(((score(i, j), i, j) for i in range(1, n) for j in range(1, 5)))
+        got = quality.best_quad(G, H)
+        assert got[0] == pytest.approx(best[0]) and got[1:] == best[1:]
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(2)
     x = rng.random((1500, len(quality.FEATURES)))

@@ -1,5 +1,4 @@
-"""Join helpers: size-checked broadcast, skew-safe per-key join, the "next value
-after an anchor" join, and small dimension values.
+"""Join helpers: size-checked broadcast, skew-safe per-key join, and small dimension values.
 
 Broadcast is only used behind a row-count check (a bounded ``limit().count()``
 job). Above the bound the plain join is returned and Spark plans a shuffle
@@ -83,25 +82,6 @@ def join_per_key(big: DataFrame, per_key: DataFrame, keys: list[str], how: str =
     return hot_part.unionByName(cold_part)
 
 
-def next_after(rows: DataFrame, keys: list[str], value: str, anchors: DataFrame,
-               anchor: str, out: str, hot_rows: int | None = None) -> DataFrame:
-    """Per key, the smallest ``value`` strictly greater than the key's ``anchor``.
-
-    ``anchors`` holds one row per key (only the keys that need an answer).
-    This replaces a window over the whole group: the group is never gathered
-    in one task. The join is skew-safe (``join_per_key``: hot keys meet a
-    broadcast anchor, the rest a shuffle join, which AQE may turn into a
-    broadcast at run time), and the final ``min`` is partially aggregated
-    before its shuffle.
-    """
-    return (
-        join_per_key(rows.select(*keys, value), anchors.select(*keys, anchor), keys, "inner", hot_rows)
-        .where(F.col(value) > F.col(anchor))
-        .groupBy(*keys)
-        .agg(F.min(value).alias(out))
-    )
-
-
 def small_values(df: DataFrame, col: str, max_rows: int = 10_000) -> list | None:
     """Distinct values of a small dimension column as a Python list (for an
     ``isin`` test kept inside the scan stage), or None when the dimension

@@ -11,6 +11,7 @@ from replylens.dims import dim_inbox, dim_owner
 from replylens.operators.capture import apply_capture_policy
 from replylens.operators.chats import chat_first_response
 from replylens.operators.inbox import inbox_first_response
+from replylens.operators.joins import join_per_key
 from replylens.operators.joins import HOT_KEY_CONF
 from replylens.operators.leads import dedupe_leads
 
@@ -67,7 +68,18 @@ def test_inbox_hot_conversation(spark, low_hot_threshold):
     got = {tuple(r) for r in out.collect()}
     assert got == inbox_brute(rows)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [conversation_id" in plan         # hot key met its anchor by broadcast
+    assert "WindowGroupLimit" in plan                           # two rows of a kind a task, whatever the conversation
+
+
+@pytest.mark.parametrize("max_keys", [100, 2])
+def test_hot_keys_meet_their_partners_by_broadcast_or_salt(spark, max_keys):
+    big = spark.createDataFrame([(i % 5 if i % 2 else None if i % 14 == 0 else 0, i) for i in range(3000)], "k int, v int")
+    per = spark.createDataFrame([(0, "a"), (1, "b"), (3, "c"), (9, "d")], "k int, name string")
+    for how in ("inner", "left"):
+        got = join_per_key(big, per, ["k"], how, hot_rows=100, max_keys=max_keys)
+        assert sorted(map(str, got.select("k", "v", "name").collect())) == sorted(map(str, big.join(per, "k", how).select("k", "v", "name").collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin [k" in plan) == (max_keys == 100) or "_salt" in plan
 
 
 def test_chat_hot_contact(spark):

@@ -109,12 +109,13 @@ def page_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     return pages.select(id_col, F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(_TOKEN), F.lit(0)).alias("tok"))
 
 
-def elements(tokens: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """(id, at, end, tag): places of an element's start tag and end tag among the page's tokens (the end of the page
+def elements(tokens: DataFrame, id_col: str = "page_id", name: str | None = None) -> DataFrame:
+    """(id, at, end, tag) of the elements (of one name, if given): places of an element's start tag and end tag among the page's tokens (the end of the page
     where there is none). Tags are balanced name by name: an element ends where as many of its name
     are open as before it, so it may hold others of its name and unclosed ones of other names."""
+    wanted = F.col("tag").rlike(rf"(?i)^</?{name}[\s/>]" if name else _TAG)
     tags = (tokens.select(id_col, F.size("tok").alias("n"), F.posexplode("tok").alias("at", "tag"))
-            .where(F.col("tag").rlike(_TAG) & ~F.col("tag").rlike(_RAW))
+            .where(wanted & ~F.col("tag").rlike(_RAW))
             .withColumn("name", F.lower(F.regexp_extract("tag", r"^</?([a-zA-Z][^\s/>]*)", 1)))
             .withColumn("closes", F.startswith("tag", F.lit("</"))))
     alone = F.col("name").isin(_VOID) | F.endswith("tag", F.lit("/>"))
@@ -150,10 +151,7 @@ def page_nodes(pages: DataFrame, attribute: str = "href", id_col: str = "page_id
     that of inner elements included (which are nodes of their own too). ``tag=None`` takes
     elements of any name (the message nodes of a stored chat page carry their meta in an attribute)."""
     tokens = page_tokens(pages, id_col, html_col)
-    found = elements(tokens, id_col)
-    if tag is not None:
-        found = found.where(F.lower(F.regexp_extract("tag", r"^<([a-zA-Z][^\s/>]*)", 1)) == tag.lower())
-    found = found.withColumn("value", attribute_value(F.col("tag"), attribute)).where(F.col("value").isNotNull())
+    found = elements(tokens, id_col, tag).withColumn("value", attribute_value(F.col("tag"), attribute)).where(F.col("value").isNotNull())
     return _numbered(found.join(tokens, id_col), id_col).select(id_col, "pos", "value", _text().alias("text"))
 
 

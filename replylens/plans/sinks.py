@@ -15,7 +15,7 @@ from ..operators.chats import chat_first_response, parse_chat_export
 from ..operators.inbox import inbox_first_response
 from ..operators.leads import coerce_history
 from ..operators.profile import executive_date_slice
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sinks import write_by_executive, write_lead_csv, write_messages, write_snapshot
 from ..sources.adapters import AS_OF, chat_export_rows, inbox_messages, read_table
 from ..sources.csv_scan import read_chat_export, read_history, read_inbox_export, read_new_leads
@@ -142,9 +142,10 @@ def q_history_own_columns(spark, sf):
 @query("lead_csv_roundtrip")
 def q_lead_csv_roundtrip(spark, sf):
     """Scored leads written as history snapshots by two runs of one day (the first without its answered leads);
-    the next run's history is the published one."""
+    the next run's history is the published one. Two sorted writes read the leads (each samples its order first), so they
+    are scored once and stored."""
     root = scratch_path(spark, "history")
-    leads = scored_leads(spark, sf)
+    leads = stored(scored_leads(spark, sf), "scored")
     write_snapshot(leads.where("not has_outbound"), root, AS_OF)
     write_snapshot(leads, root, AS_OF)
     return read_history(spark, root)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "replylens") -> SparkSession:
@@ -53,3 +53,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     base = checkpoint_root(spark)
     return f"{base}/replylens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once under the shared checkpoint folder: what reads them several times does not compute
+    them again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -232,3 +232,23 @@ def test_quotes_inside_plain_cells_open_nothing(spark, tmpdir_fresh):
     ((_, broken, _),) = header_groups(spark, tmpdir_fresh)
     assert not broken
     assert [r["record"] for r in records_of(spark, tmpdir_fresh, 1 << 20)] == ["a,b", '5" pipe,say "hi', '"x, ""y""",2', '"",z"']
+
+
+def test_snapshots_of_one_run_score_the_leads_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from replylens.operators.leads import build_leads, coerce_history
+    from replylens.plans import sinks
+    cols = ["Ejecutivo", "ID_LEAD", "Mensaje Entrante", "Mensaje Saliente", "Fecha Entrante", "Hora Entrante", "Fecha Saliente", "Hora Saliente"]
+    rows = [(f"agent_{i % 3}", str(i), "SI", "SI" if i % 2 else "NO", "2024-01-02", "10:00:00", *(("2024-01-02", "10:05:00") if i % 2 else (None, None)))
+            for i in range(30)]
+    leads = build_leads(coerce_history(spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))), None)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+    monkeypatch.setattr(sinks, "scored_leads", lambda *_: leads.withColumn("lead_id", F.udf(counted, "string").asNondeterministic()("lead_id")))
+    got = {r["lead_id"]: (r["executive"], r["response_time"]) for r in sinks.q_lead_csv_roundtrip(spark, "").collect()}
+    assert got == {str(i): (f"agent_{i % 3}", "00:05:00" if i % 2 else None) for i in range(30)}
+    assert seen.value == 30

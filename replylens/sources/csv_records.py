@@ -5,8 +5,7 @@ multi-line mode reads such a file in one task; here the lines of a file are
 read by splits, as any text, and put together again:
 
 1. A line changes the state "inside a quoted cell" in one of four ways (kept, flipped,
-   closed, opened), found from its quotes alone. ``file_profile`` needs just this,
-   in one scan: a file in which no line of the closed state ends open has no
+   closed, opened), found from its quotes alone. ``file_profile`` needs just this: a file in which no line of the closed state ends open has no
    broken record, and the plain reader may split it.
 2. For the other files, the state before a line follows from the lines before it in its
    split (a window over one split) and the state at the split's start, which follows
@@ -45,14 +44,28 @@ def ends_open(value: Column, inside: bool) -> Column:
     return F.when(F.contains(value, F.lit('"')), state).otherwise(F.lit(inside))
 
 
+# Number of a line in its task, and the bits of a hash that fit beside it in a long.
+_PLACE, _MARK = 1 << 33, 1 << 30
+
+
 def file_profile(spark: SparkSession, files: list[str]) -> DataFrame:
     """(path, head, broken) of the files with a line: the whole first line, and whether some record goes on over a
-    line break (or a cell holds a bare carriage return, which the plain reader would take for one)."""
-    value = F.col("value")
+    line break (or a cell holds a bare carriage return, which the plain reader would take for one).
+
+    No task holds the lines that it reads: a first scan keeps two numbers a file (the place of its first line with some
+    bits of that line's hash, and ``broken``), a second one the few lines of these bits, the first of which
+    is the head whatever the others are."""
+    value, lines = F.col("value"), text_lines(spark, files)
+    mark = F.pmod(F.xxhash64(value), F.lit(_MARK))
     bare = F.contains(F.rtrim(value, F.lit("\r")), F.lit("\r"))
-    rows = text_lines(spark, files).select("path", (ends_open(value, False) | bare).alias("broken"),
-                                           F.when(F.col("block") == 0, F.struct("pos", "value")).alias("first"))
-    return rows.groupBy("path").agg(F.min("first.pos").alias("_p"), F.min("first").alias("first"), F.max("broken").alias("broken")).select(
+    rows = lines.select("path", (ends_open(value, False) | bare).alias("broken"),
+                        F.when(F.col("block") == 0, F.col("pos") % _PLACE * _MARK + mark).alias("at"))
+    per = rows.groupBy("path").agg(F.max("broken").alias("broken"), F.min("at").alias("at"))
+    # One row a file, as in the listing that the driver has.
+    marks = F.broadcast(per.select("path", "broken", (F.col("at") % _MARK).alias("mark")))
+    found = lines.where(F.col("block") == 0).withColumn("mark", mark).join(marks, ["path", "mark"])
+    found = found.groupBy("path", "broken", "value").agg(F.min("pos").alias("pos"))
+    return found.groupBy("path").agg(F.min(F.struct("pos", "value")).alias("first"), F.max("broken").alias("broken")).select(
         "path", F.rtrim(F.col("first.value"), F.lit("\r")).alias("head"), "broken")
 
 

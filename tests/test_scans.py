@@ -252,3 +252,19 @@ def test_snapshots_of_one_run_score_the_leads_once(spark, monkeypatch):
     got = {r["lead_id"]: (r["executive"], r["response_time"]) for r in sinks.q_lead_csv_roundtrip(spark, "").collect()}
     assert got == {str(i): (f"agent_{i % 3}", "00:05:00" if i % 2 else None) for i in range(30)}
     assert seen.value == 30
+
+
+def test_profile_holds_no_lines(spark, tmpdir_fresh):
+    """No sort or sorted aggregate in the stages that scan the files; heads are right wherever files share a task or repeat lines."""
+    from replylens.sources.csv_records import file_profile
+    from replylens.sources.csv_scan import _list_files
+    write(f"{tmpdir_fresh}/a.csv", "x,y\n1,2\nx,y\nx,y\n")
+    write(f"{tmpdir_fresh}/b.csv", "z\n" * 50, bom=True)
+    write(f"{tmpdir_fresh}/c.csv", '\nx,y\n1,"2\n3"\n')
+    write(f"{tmpdir_fresh}/d.csv", "y,x\r\n")
+    heads = file_profile(spark, _list_files(spark, [tmpdir_fresh], ".csv", True))
+    stages = heads._jdf.queryExecution().executedPlan().toString().split("Exchange")
+    scans = [s for s in stages if "FileScan text" in s]
+    assert scans and not any("Sort" in s for s in scans)
+    assert {r["path"][-5:]: (r["head"], r["broken"]) for r in heads.collect()} == {
+        "a.csv": ("x,y", False), "b.csv": ("z", False), "c.csv": ("", True), "d.csv": ("y,x", False)}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..dims import dim_owner
 from ..operators.chats import mark_owner, parse_chat_export
 from ..operators.leads import coerce_history
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.adapters import AS_OF, chat_export_rows, read_table
 from ..streaming import (consolidate_stream, dedupe_stream, first_response_stream, open_sessions, parse_export_stream, read_export_stream,
                          run_available, session_counts)
@@ -46,13 +46,14 @@ def run_staged(spark, df, make, name, ts="ts"):
 
 def _messages(spark, sf, collected_again=False):
     """Parsed chat messages with whole texts; ``collected_again`` adds a second copy of every fifth
-    event, as a collector that scrolls back would."""
+    event, as a collector that scrolls back would. Parsed once and stored: the cut, both stagings and the
+    closing step read them."""
     events = read_table(spark, sf, "events")
     if collected_again:
         events = events.unionByName(events.where(F.col("event_id") % 5 == 0))
     msgs = parse_chat_export(chat_export_rows(events))
     msgs = mark_owner(msgs, dim_owner(spark)).withColumn("ts", F.col("dt").cast("timestamp"))
-    return msgs.select("executive", "contact", "meta", "text", "role", "ts")
+    return stored(msgs.select("executive", "contact", "meta", "text", "role", "ts"), "messages")
 
 
 @query("stream_message_dedupe")

@@ -219,3 +219,21 @@ def test_raw_export_stream_rejects_what_does_not_parse(spark):
     assert sorted((r["executive"], r["role"], r["text"]) for r in got) == [("Ana", "contact", "hola\ntwo"), ("Ana", "owner", "ok")]
     bad = run(spark, rejected, "raw-bad").collect()
     assert sorted((r["contact"], r["reason"]) for r in bad) == [("c1", "meta"), ("c1", "meta"), ("only one cell", "cells")]
+
+
+def test_a_session_query_parses_its_messages_once(spark, tmpdir_fresh, monkeypatch):
+    from replylens.plans import streams
+    times = [T(2024, 1, 2, 9, 0) + dt.timedelta(minutes=20 * i + 400 * (i // 3)) for i in range(9)]
+    events = [(i, t, 7, ("view", "purchase", "error")[i % 3], 1.0, "p") for i, t in enumerate(times)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").write.parquet(
+        f"{tmpdir_fresh}/events.parquet")
+    seen, parse = spark.sparkContext.accumulator(0), streams.parse_chat_export
+
+    def counted(x):
+        seen.add(1)
+        return x
+    monkeypatch.setattr(streams, "parse_chat_export", lambda raw: parse(raw).withColumn(
+        "contact", F.udf(counted, "string").asNondeterministic()("contact")))
+    got = sorted((r["contact"], r["session_start"], r["session_end"], r["messages"]) for r in streams.q_stream_sessions(spark, tmpdir_fresh).collect())
+    assert got == [("contact 7", times[i], times[i + 2] + dt.timedelta(minutes=30), 3) for i in (0, 3, 6)]
+    assert seen.value == len(events)

@@ -282,6 +282,39 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(df.where("id < 3"), df.where("id = 0")).count() == 2   # fewer candidates than k
 
 
+def test_top_k_broadcasts_nothing(spark):
+    """Blocks go to every rack, so a plan that takes them for small would send all their copies through the driver."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    got = topk.top_k(df, df.where("id % 9 = 0"), k=3, tile_rows=8, query_rows=4, fan_in=2)
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(whole, [q for q in whole if q[0] % 9 == 0], 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("top, tile", [(9, 16), (9, 1000), (3000, 16), (10 ** 8, 16), (2 ** 62, 16)])
+def test_rack_keeps_the_best_over_its_tiles(top, tile):
+    """Single and double floats and wrapping integers; ties within and across tiles, repeated ids, own rows, ascending scores."""
+    rng = np.random.default_rng(7)
+    vecs = rng.integers(-top, top, (600, 3), endpoint=True)
+    vecs[200:400] = vecs[0]
+    vecs[400:500] = np.sort(vecs[400:500], axis=0)
+    ids = np.r_[rng.permutation(500), np.repeat([3, 7, 900], [40, 40, 20])]
+    rack = topk._Rack([(ids[i:i + 37], vecs[i:i + 37]) for i in range(0, 600, 37)], tile)
+    asked = np.array([3, 7, 900, -1, 444, 10 ** 6])
+    q = np.r_[rng.integers(-top, top, (5, 3), endpoint=True), vecs[:1]]
+    row, found, score = rack.search(asked, q, 5)
+    scores = q @ vecs.T
+    want = []
+    for r, a in enumerate(asked):
+        want += [(r, i, -s) for s, i in sorted((-int(s), int(i)) for s, i in zip(scores[r], ids) if i != a)[:5]]
+    assert list(zip(row.tolist(), found.tolist(), score.tolist())) == want
+    few = topk._Rack([(ids[:3], vecs[:3])], tile).search(ids[:1], vecs[:1], 5)
+    assert len(few[0]) == 2
+
+
 def test_top_k_of_large_components(spark):
     rows = [(i, [(-1.0) ** i * (1e7 + i), 0.5]) for i in range(20)] + [(100, [2.0, 1.0]), (101, [1e300, 0.0]), (102, [1.1e7, -1.1e7])]
     df = spark.createDataFrame(rows, "id long, vec array<double>")
